@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The campaign monitor is a batch pipeline; it has no stream, watermark,
+trigger or stateful construct, so nothing here is built.  Daily refreshes
+run the batch plans (see ``plans.pipeline``).
+"""
