@@ -1,8 +1,16 @@
-"""Materialisation: reliable checkpoints in the cluster's shared folder."""
+"""Materialisation: intermediate tables written once to shared storage.
+
+A dataset read by several later steps is written once as Parquet and read
+back, the way the campaign SQL creates its tables: later steps then scan
+columnar files (with pushdown and file-size statistics) instead of
+recomputing the plan, and a lost executor costs a re-read, not a replay of
+the whole lineage.
+"""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,14 +39,35 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Eager reliable checkpoint of ``df`` (survives executor loss, cuts lineage)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+class Store:
+    """Where intermediate tables go.
+
+    ``Store(spark)`` uses a fresh folder under the session's checkpoint
+    root; ``Store(spark, path)`` writes named tables under ``path`` (the
+    pipeline's sinks), overwriting earlier runs.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None, fmt: str = "parquet"):
+        self.spark = spark
+        self.fmt = fmt
+        self.root = (root or f"{checkpoint_root(spark).rstrip('/')}/lettermon-{uuid.uuid4().hex}")
+
+    def path(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}"
+
+    def put(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        w = df.write.mode("overwrite").format(self.fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(self.path(name))
+        return self.get(name)
+
+    def get(self, name: str) -> DataFrame:
+        return self.spark.read.format(self.fmt).load(self.path(name))
 
 
-def small_side(df: DataFrame, max_rows: int) -> DataFrame:
-    """A derived table expected to be small: computed once into the shared
-    checkpoint folder, then broadcast if a bounded count proves it holds at
-    most ``max_rows`` rows (otherwise it joins by shuffle)."""
-    return bounded_broadcast(materialize(df), max_rows)
+def small_side(store: Store, name: str, df: DataFrame, max_rows: int) -> DataFrame:
+    """A derived table expected to be small: written once, then broadcast if
+    a bounded count proves it holds at most ``max_rows`` rows (otherwise it
+    joins by shuffle)."""
+    return bounded_broadcast(store.put(name, df), max_rows)

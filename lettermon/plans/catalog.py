@@ -11,68 +11,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .. import config as C
+from ..operators.materialize import Store
 from ..sources.fixtures import fixture_tables
-from . import monitor as M
-from . import provision as P
 from . import reports as R
-
-
-class Monitor:
-    """All datasets of one monitor run, built lazily from one set of tables."""
-
-    def __init__(self, tables, cfg: C.MonitorConfig = C.DEFAULT):
-        self.t, self.cfg = tables, cfg
-        self._memo: dict[str, DataFrame] = {}
-
-    def _get(self, name, build):
-        if name not in self._memo:
-            self._memo[name] = build()
-        return self._memo[name]
-
-    def clients(self):
-        return self._get("clients", lambda: P.clients(self.t, self.cfg))
-
-    def product_groups(self):
-        return self._get("product_groups", lambda: P.product_groups(self.clients(), self.t, self.cfg))
-
-    def client_products(self):
-        return self._get("client_products",
-                         lambda: P.client_products(self.clients(), self.t, self.cfg))
-
-    def provision(self):
-        return self._get("provision", lambda: P.provision(self.clients(), self.t, self.cfg))
-
-    def daily_provision_rate(self):
-        return self._get("rate", lambda: P.daily_provision_rate(self.provision(), self.cfg))
-
-    def base(self):
-        return self._get("base", lambda: M.monitor_base(self.t, self.cfg))
-
-    def base_client(self):
-        return self._get("base_client", lambda: M.monitor_base_client(self.base()))
-
-    def payment(self):
-        return self._get("payment", lambda: M.monitor_payment(
-            self.base(), M.eligible_payments(self.t, self.cfg), self.cfg))
-
-    def payment_cum(self, method: str = "window"):
-        return self._get(f"cum_{method}", lambda: M.monitor_payment_cum(self.payment(), method))
-
-    def daily_recovery(self):
-        return R.daily_recovery(self.base(), self.payment(), self.cfg)
-
-    def debt_paid(self):
-        return R.debt_paid(self.base_client(), self.payment_cum())
-
-    def repaid_clients(self):
-        return R.repaid_clients(self.base_client(), self.payment_cum(),
-                                self.daily_provision_rate(), self.cfg)
+from .pipeline import Monitor
 
 
 def _on(build: Callable[[Monitor], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Monitor(fixture_tables(spark, sf_dir)))
+        return build(Monitor(fixture_tables(spark, sf_dir), store=Store(spark)))
     return run
 
 
@@ -89,8 +36,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q10_daily_recovery": _on(lambda m: m.daily_recovery()),
     "a10_debt_paid": _on(lambda m: m.debt_paid()),
     "q11_repaid_clients": _on(lambda m: m.repaid_clients()),
-    "q12_provision_coverage": _on(lambda m: R.provision_coverage(m.daily_provision_rate())),
-    "q13_provision_dump": _on(lambda m: m.daily_provision_rate().select("*")),
+    "q12_provision_coverage": _on(lambda m: m.provision_coverage()),
+    "q13_provision_dump": _on(lambda m: m.stored("pre_lit_daily_provision").select("*")),
     "q14_distinct_channels": _on(lambda m: R.distinct_values(m.t.dc_product, "skp_product_channel")),
     "q15_distinct_product_codes": _on(lambda m: R.distinct_values(m.t.dc_product, "code_product")),
 }

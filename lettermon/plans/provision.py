@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.exprs import money, product_group
 from ..operators.aggregates import ratio_to_base
-from ..operators.joins import bounded_broadcast
-from ..operators.materialize import small_side
 from ..sources.tables import Tables
 
 CLIENT_COLUMNS = ("skp_client", "property", "pilot", "date_decision", "extraction_date",
                   "skp_credit_case", "due_amount")
+CONTRACT_KEYS = ("skp_client", "skp_credit_case", "date_decision")
 RESULT_COLUMNS = ("property", "extraction_date", "pilot", "skp_client", "due_amount",
                   "product_group", "skp_credit_case")
 PROVISION_KEYS = ("property", "pilot", "extraction_date", "code_dpd_tol_subbucket",
                   "product_group", "provision_rate")
+PRODUCT_GROUPS = 9  # outcomes of functions.exprs.product_group
 PRODUCT_JOINS = {
     "product": ("skp_product",),
     "product_date": ("skp_product", "date_decision"),
@@ -28,15 +28,22 @@ PRODUCT_JOINS = {
 
 
 def clients(t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
-    """Distinct campaign cases of every arm, tagged with the arm's property."""
+    """Distinct campaign cases of every arm, tagged with the arm's property.
+
+    Each arm carries its own property value, so one DISTINCT over the union
+    equals the union of per-arm DISTINCTs.  The rows are hash-partitioned
+    on the contract join keys (client, case, decision date) first: that one
+    shuffle serves both the DISTINCT and the contract join.
+    """
     arms = []
     for arm in cfg.arms:
         df = t[arm.source].withColumnsRenamed(arm.columns)
         arms.append(df.where(F.col("extraction_date") >= F.lit(arm.start))
-                    .select("skp_client", F.lit(arm.property).alias("property"), "pilot",
-                            "date_decision", "extraction_date", "skp_credit_case", "due_amount")
-                    .distinct())
-    return reduce(DataFrame.unionByName, arms)
+                    .select(*CLIENT_COLUMNS[:1], F.lit(arm.property).alias("property"),
+                            *CLIENT_COLUMNS[2:]))
+    return (reduce(DataFrame.unionByName, arms)
+            .repartition(*CONTRACT_KEYS)
+            .distinct())
 
 
 def product_groups(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
@@ -49,7 +56,7 @@ def product_groups(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
     joins broadcast after a bounded size check.  ``keep_case`` keeps
     ``skp_credit_case`` in the result (for ``product_join="case"``).
     """
-    dims = {n: bounded_broadcast(t[n], cfg.broadcast_max_rows)
+    dims = {n: t.small(n, cfg.broadcast_max_rows)
             for n in ("dc_product", "cl_credit_type", "cl_credit_acquisition_chnl",
                       "dc_goods_type")}
     cc = t.dc_credit_case.join(
@@ -69,7 +76,7 @@ def product_groups(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
 
 def _contracts(cl: DataFrame, t: Tables) -> DataFrame:
     c = t.dc_contract.select("skp_client", "skp_credit_case", "date_decision", "skp_product")
-    return cl.join(c, ["skp_client", "skp_credit_case", "date_decision"])
+    return cl.join(c, list(CONTRACT_KEYS))
 
 
 def client_products(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
@@ -92,14 +99,24 @@ def product_weights(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT)
     Joining contracts to this instead of the raw table gives each case one
     row per group with a multiplicity, which sums exactly like the
     many-to-many join without materialising its copies.
+
+    With ``product_join="product"`` the result has at most one row per
+    (product, group): at most ``PRODUCT_GROUPS`` times the rows of
+    ``dc_product``, so a bounded count of that dimension proves it small
+    and it is marked for broadcast without being computed first.
     """
     keys = list(PRODUCT_JOINS[cfg.product_join])
     prod = product_groups(cl, t, cfg, keep_case=cfg.product_join == "case")
-    return (prod.groupBy(*keys, F.col("goods_type").alias("product_group"))
-            .agg(F.count(F.lit(1)).cast("decimal(9,0)").alias("weight")))
+    w = (prod.groupBy(*keys, F.col("goods_type").alias("product_group"))
+         .agg(F.count(F.lit(1)).cast("decimal(9,0)").alias("weight")))
+    if cfg.product_join == "product" and t.rows_within(
+            "dc_product", cfg.broadcast_max_rows // PRODUCT_GROUPS):
+        return F.broadcast(w)
+    return w
 
 
-def provision(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
+def provision(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
+              weights: DataFrame | None = None) -> DataFrame:
     """Receivable, provision amount and distinct case/client counts per
     property, pilot, date, DPD sub-bucket, product group and rate.
 
@@ -107,12 +124,15 @@ def provision(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> Dat
     date); a (group, bucket) pair without a rate drops out.  The product
     side is the weighted table of :func:`product_weights`: the amounts are
     ``sum(due * weight)`` and ``sum(due * rate * weight)``, exact decimals
-    equal to summing over the many-to-many rows.
+    equal to summing over the many-to-many rows.  Pass ``weights`` already
+    materialised (and broadcast when small) to avoid joining a plan whose
+    size is only known at run time.
     """
     keys = list(PRODUCT_JOINS[cfg.product_join])
-    weights = small_side(product_weights(cl, t, cfg), cfg.broadcast_max_rows)
-    buckets = bounded_broadcast(t.dc_dpd_tol_bucket, cfg.broadcast_max_rows)
-    rates = bounded_broadcast(t.ft_coll_provision_rate, cfg.broadcast_max_rows)
+    if weights is None:
+        weights = product_weights(cl, t, cfg)
+    buckets = t.small("dc_dpd_tol_bucket", cfg.broadcast_max_rows)
+    rates = t.small("ft_coll_provision_rate", cfg.broadcast_max_rows)
     dpd = t.dpd_snapshot.select("skp_credit_case", "extraction_date", "skp_dpd_tol_bucket")
     rows = (_contracts(cl, t)
             .join(dpd, ["skp_credit_case", "extraction_date"])
@@ -131,6 +151,43 @@ def provision(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> Dat
                     "provision_rate"))
 
 
+def provision_as_written(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
+    """:func:`provision` computed over the expanded many-to-many rows of
+    :func:`client_products`, as the campaign SQL does (for measurement)."""
+    buckets = t.small("dc_dpd_tol_bucket", cfg.broadcast_max_rows)
+    rates = t.small("ft_coll_provision_rate", cfg.broadcast_max_rows)
+    dpd = t.dpd_snapshot.select("skp_credit_case", "extraction_date", "skp_dpd_tol_bucket")
+    rows = (client_products(cl, t, cfg)
+            .join(dpd, ["skp_credit_case", "extraction_date"])
+            .join(buckets, "skp_dpd_tol_bucket")
+            .join(rates.withColumnRenamed("flag_bucket", "code_dpd_tol_subbucket"),
+                  ["product_group", "code_dpd_tol_subbucket"]))
+    due, rate = F.col("due_amount"), F.col("provision_rate")
+    return (rows.groupBy(*PROVISION_KEYS)
+            .agg(money(F.sum(due)).alias("amt_receivable"),
+                 F.sum(due * rate).cast("decimal(38,8)").alias("amt_provision"),
+                 F.count_distinct("skp_credit_case").alias("cnt_case"),
+                 F.count_distinct("skp_client").alias("cnt_client"))
+            .select("property", "pilot", "extraction_date", "amt_receivable", "amt_provision",
+                    "cnt_case", "cnt_client", "code_dpd_tol_subbucket", "product_group",
+                    "provision_rate"))
+
+
+def daily_provision_rate_join_form(prov: DataFrame, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
+    """:func:`daily_provision_rate` as the campaign SQL writes it: totals
+    joined with the base pilot's totals (for measurement)."""
+    totals = (prov.groupBy("property", "extraction_date", "pilot")
+              .agg(F.sum("amt_provision").alias("amt_provision_total")))
+    base = (prov.where(F.col("pilot") == cfg.base_pilot)
+            .groupBy("property", "extraction_date", "pilot")
+            .agg(F.sum("amt_provision").alias("amt_provision_total_base"))
+            .drop("pilot"))
+    return (totals.join(base, ["extraction_date", "property"])
+            .select("property", "extraction_date", "pilot",
+                    (F.col("amt_provision_total_base").cast("double")
+                     / F.col("amt_provision_total").cast("double")).alias("daily_provision_rate")))
+
+
 def daily_provision_rate(prov: DataFrame, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
     """Provision of the base pilot over provision of each pilot, per property
     and extraction date; (property, date) without the base pilot drop out."""
