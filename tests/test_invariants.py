@@ -1,0 +1,80 @@
+"""Invariants of the monitor on the driver data (sf0.001)."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lettermon.plans.pipeline import Monitor
+from lettermon.sources.fixtures import fixture_tables
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver data not present")
+
+
+@pytest.fixture(scope="module")
+def m(spark):
+    return Monitor(fixture_tables(spark, SF))
+
+
+def test_base_pilot_rate_is_one(m):
+    r = m.daily_provision_rate().where("pilot = 'Chal1'")
+    assert r.count() > 0
+    assert r.where("daily_provision_rate <> 1.0").count() == 0
+
+
+def test_masked_debt_sums_to_base_debt(m):
+    rep = m.daily_recovery().agg(F.sum("due_amount")).first()[0]
+    base = m.base().agg(F.sum("due_amount")).first()[0]
+    assert rep == base
+
+
+def test_running_total_non_decreasing(m):
+    from pyspark.sql import Window
+    w = Window.partitionBy("property", "pilot", "extraction_date", "skp_client",
+                           "text_delivery_result", "text_delivery_result_more", "cpd_ranges",
+                           "days_exa_assignment_group").orderBy("days_after_gen")
+    cum = m.payment_cum().withColumn("prev", F.lag("amt_payment").over(w))
+    assert cum.where("prev > amt_payment").count() == 0
+
+
+def test_window_equals_self_join(m):
+    a, b = m.payment_cum("window"), m.payment_cum("self_join")
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_thresholds_nest(m):
+    d = m.debt_paid()
+    assert d.where("cnt_client_full > cnt_client_half OR cnt_client_half > cnt_client_repaid"
+                   ).count() == 0
+
+
+def test_payment_days_within_horizon(m):
+    p = m.payment()
+    assert p.where("days_after_gen < 0 OR days_after_gen > 30").count() == 0
+
+
+def test_provision_weighted_equals_as_written(m):
+    from lettermon.plans import provision as P
+    a = m.provision()
+    b = P.provision_as_written(m.clients(), m.t, m.cfg)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_rate_window_equals_join_form(m):
+    from lettermon.plans import provision as P
+    a = m.daily_provision_rate()
+    b = P.daily_provision_rate_join_form(m.provision(), m.cfg)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["product_date", "case"])
+def test_product_join_options_run(spark, mode):
+    from dataclasses import replace
+    m = Monitor(fixture_tables(spark, SF))
+    m.cfg = replace(m.cfg, product_join=mode)
+    assert m.daily_provision_rate().count() > 0
+    # without the many-to-many copies the receivable equals the case debt
+    prov = m.provision().agg(F.sum("amt_receivable")).first()[0]
+    assert prov is not None
