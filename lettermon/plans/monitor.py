@@ -98,13 +98,22 @@ def eligible_payments(t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
             .select("skp_client", "skp_credit_case", "date_payment_incoming", "amt_payment"))
 
 
+def payment_pairs(base: DataFrame, payments: DataFrame,
+                  cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
+    """Each base row with each eligible payment of its client and case made
+    0..horizon days after generation (``days_after_gen`` added)."""
+    anchors = base.select(*CLIENT_GRAIN, "skp_credit_case")
+    pairs = within_horizon(anchors, payments, ["skp_client", "skp_credit_case"],
+                           "extraction_date", "date_payment_incoming", cfg.horizon_days)
+    return pairs.withColumn("days_after_gen",
+                            days_between("date_payment_incoming", "extraction_date"))
+
+
 def monitor_payment(base: DataFrame, payments: DataFrame,
                     cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
     """Payments 0..horizon days after letter generation, summed per client,
     segment and payment day (``payments`` already filtered to eligible)."""
-    anchors = base.select(*CLIENT_GRAIN, "skp_credit_case")
-    pairs = within_horizon(anchors, payments, ["skp_client", "skp_credit_case"],
-                           "extraction_date", "date_payment_incoming", cfg.horizon_days)
+    pairs = payment_pairs(base, payments, cfg)
     return (pairs.groupBy(*CLIENT_GRAIN, "date_payment_incoming")
             .agg(money(F.sum("amt_payment")).alias("amt_payment"))
             .select(*CLIENT_GRAIN, "date_payment_incoming",

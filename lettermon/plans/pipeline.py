@@ -106,8 +106,12 @@ class Monitor:
 
     # reports
     def daily_recovery(self):
-        return R.daily_recovery(self.shared("monitor_base"), self.stored("monitor_payment"),
-                                self.cfg)
+        base = self.shared("monitor_base")
+        if "monitor_payment" in self._stored:
+            payment = self._stored["monitor_payment"]
+        else:  # read once: aggregate the pairs straight to segment x day
+            payment = M.payment_pairs(base, M.eligible_payments(self.t, self.cfg), self.cfg)
+        return R.daily_recovery(base, payment, self.cfg)
 
     def debt_paid(self):
         return R.debt_paid(self.stored("monitor_base_client"),

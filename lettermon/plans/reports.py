@@ -35,7 +35,10 @@ def segment_base(base: DataFrame) -> DataFrame:
 
 
 def segment_payments(payment: DataFrame) -> DataFrame:
-    """Payments per segment and day after generation."""
+    """Payments per segment and day after generation.
+
+    ``payment`` is monitor_payment or, equally, the un-aggregated payment
+    pairs it sums (a sum of per-client sums is the sum)."""
     return (payment.groupBy(*SEGMENT, DAY)
             .agg(money(F.sum("amt_payment")).alias("amt_payment")))
 
