@@ -118,9 +118,14 @@ class Monitor:
                            self.stored("monitor_payment_cum"))
 
     def repaid_clients(self):
-        return R.repaid_clients(self.shared("monitor_base_client"),
-                                self.stored("monitor_payment_cum"),
-                                self.stored("pre_lit_daily_provision"), self.cfg)
+        if "monitor_base_client" in self._stored:
+            return R.repaid_clients(self._stored["monitor_base_client"],
+                                    self.stored("monitor_payment_cum"),
+                                    self.stored("pre_lit_daily_provision"), self.cfg)
+        # monitor_base_client read once: count segment clients on monitor_base
+        return R.repaid_clients(self.base_client(), self.stored("monitor_payment_cum"),
+                                self.stored("pre_lit_daily_provision"), self.cfg,
+                                clients_from=self.shared("monitor_base"))
 
     def provision_coverage(self):
         return R.provision_coverage(self.stored("pre_lit_daily_provision"))

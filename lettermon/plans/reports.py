@@ -78,7 +78,8 @@ def debt_paid(base_client: DataFrame, payment_cum: DataFrame) -> DataFrame:
 
 
 def repaid_clients(base_client: DataFrame, payment_cum: DataFrame, rate: DataFrame,
-                   cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
+                   cfg: C.MonitorConfig = C.DEFAULT, clients_from: DataFrame | None = None
+                   ) -> DataFrame:
     """Report 2: repaid clients per segment and day, raw and scaled by the
     daily provision rate of the segment's (property, date, pilot).
 
@@ -86,9 +87,12 @@ def repaid_clients(base_client: DataFrame, payment_cum: DataFrame, rate: DataFra
     and the rate table inner (segments without a rate drop out).  The
     segment client count stays on the first row (NULL day last); the
     scaled count is repeated on every row.  Sorted by segment and day,
-    NULLs last.
+    NULLs last.  The distinct clients per segment are counted on
+    ``clients_from`` if given (monitor_base has the same clients per
+    segment as monitor_base_client), else on ``base_client``.
     """
-    base = base_client.groupBy(*SEGMENT).agg(F.count_distinct("skp_client").alias("cnt_client"))
+    src = base_client if clients_from is None else clients_from
+    base = src.groupBy(*SEGMENT).agg(F.count_distinct("skp_client").alias("cnt_client"))
     paid = debt_paid(base_client, payment_cum)
     r = rate.select("property", "extraction_date", "pilot", "daily_provision_rate")
     j = (base.join(paid, key_match(base, paid, SEGMENT, cfg.null_safe_segments))
