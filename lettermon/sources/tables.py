@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import EMPTY_AS_NULL, SCHEMAS
+from .schemas import DIMENSIONS, EMPTY_AS_NULL, SCHEMAS
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
@@ -102,8 +102,10 @@ class Tables:
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> "Tables":
         root = root.rstrip("/")
-        return cls({n: (lambda n=n: spread(spark.read.parquet(_table_path(root, n))))
-                    for n in SCHEMAS})
+        def read(n: str) -> DataFrame:
+            df = spark.read.parquet(_table_path(root, n))
+            return df if n in DIMENSIONS else spread(df)  # dimensions are broadcast
+        return cls({n: (lambda n=n: read(n)) for n in SCHEMAS})
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, names: Mapping[str, str] | None = None) -> "Tables":
