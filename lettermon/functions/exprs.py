@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -101,7 +100,3 @@ def ratio(num, den) -> Column:
 def money(c) -> Column:
     """Money sums in one wide exact type."""
     return _col(c).cast("decimal(38,2)")
-
-
-def date_lit(d: dt.date) -> Column:
-    return F.lit(d)

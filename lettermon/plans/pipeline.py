@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from .. import config as C
-from ..operators.joins import bounded_broadcast
-from ..operators.materialize import Store
+from ..operators.materialize import Store, small_side
 from ..sources.tables import Tables
 from . import monitor as M
 from . import provision as P
@@ -75,8 +74,7 @@ class Monitor:
             w = P.product_weights(self.clients(), self.t, self.cfg)
             if self.store is None or self.cfg.product_join == "product":
                 return w  # "product": size proven from dc_product, already broadcast
-            return bounded_broadcast(self.store.put("product_weights", w),
-                                     self.cfg.broadcast_max_rows)
+            return small_side(self.store, "product_weights", w, self.cfg.broadcast_max_rows)
         return self._plan("product_weights", build)
 
     def provision(self):
