@@ -15,29 +15,15 @@ def running_total(df: DataFrame, partition: Sequence[str], order: str, value: st
     The frame is RANGE from the start to the current ``order`` value, so rows
     that tie on ``order`` (peers, e.g. the same day in other segments of the
     same partition) are all included -- the result equals a triangular
-    self-join on ``partition`` with ``a.order >= b.order`` followed by a sum,
-    at one sort per partition instead of a quadratic join.
+    self-join on ``partition`` with ``a.order >= b.order`` followed by a sum
+    (the oracle checks exactly that), at one sort per partition and without
+    emitting any pair of rows.
     """
     w = (Window.partitionBy(*partition).orderBy(order)
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return df.withColumn(out or value, F.sum(value).over(w))
 
 
-def running_total_self_join(df: DataFrame, partition: Sequence[str], order: str, value: str,
-                            group: Sequence[str]) -> DataFrame:
-    """The same running sum written as the triangular self-join + GROUP BY.
-
-    Kept to measure against :func:`running_total`; quadratic in the rows per
-    partition.  ``group`` are the output grouping columns of the left side.
-    """
-    a, b = df.alias("a"), df.alias("b")
-    cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in partition]
-    cond.append(F.col(f"a.{order}") >= F.col(f"b.{order}"))
-    return (a.join(b, cond, "inner")
-            .groupBy(*[F.col(f"a.{g}").alias(g) for g in group])
-            .agg(F.sum(F.col(f"b.{value}")).alias(value)))
-
-
 def first_row_number(partition: Sequence[str], order: str) -> Column:
     """row_number() per ``partition`` ordered ascending with NULLs last."""
     w = Window.partitionBy(*partition).orderBy(F.asc_nulls_last(order))

@@ -12,14 +12,9 @@ from .. import config as C
 from ..functions.exprs import age_bucket, days_between, delivery_class, delivery_detail, \
     eligible_payment, money, week_start
 from ..operators.intervals import within_horizon
-from ..operators.windows import running_total, running_total_self_join
+from ..operators.windows import running_total
 from ..sources.tables import Tables
 
-BASE_COLUMNS = (
-    "property", "pilot", "skp_client", "extraction_date", "skp_credit_case", "date_assigned",
-    "due_amount", "cpd_ranges", "days_exa_assignment_group", "text_delivery_result_more",
-    "text_delivery_result",
-)
 CLIENT_GRAIN = (
     "property", "pilot", "extraction_date", "skp_client", "text_delivery_result",
     "text_delivery_result_more", "cpd_ranges", "days_exa_assignment_group",
@@ -121,22 +116,16 @@ def monitor_payment(base: DataFrame, payments: DataFrame,
                     "amt_payment"))
 
 
-def monitor_payment_cum(payment: DataFrame, method: str = "window") -> DataFrame:
+def monitor_payment_cum(payment: DataFrame) -> DataFrame:
     """Running payment total per client and day since generation.
 
     The running sum is keyed by the client only (property, pilot, date,
     client), not by segment, so same-day payments of the client in other
-    segments are included.  Rows with a NULL client key cannot match
-    themselves in the key equality and drop out.  ``method="self_join"``
-    evaluates the triangular self-join instead (for measurement).
+    segments are included (RANGE frame).  Rows with a NULL client key
+    cannot match themselves in the campaign SQL's key equality and drop out.
     """
     keyed = payment.where(F.expr(" AND ".join(f"{k} IS NOT NULL" for k in C.CLIENT_KEY))
                           & F.col("days_after_gen").isNotNull())
     out_cols = [*CLIENT_GRAIN, "days_after_gen", "amt_payment"]
-    if method == "self_join":
-        cum = running_total_self_join(keyed, C.CLIENT_KEY, "days_after_gen", "amt_payment",
-                                      [*CLIENT_GRAIN, "days_after_gen"])
-    else:
-        cum = running_total(keyed.select(*out_cols), C.CLIENT_KEY, "days_after_gen",
-                            "amt_payment")
+    cum = running_total(keyed.select(*out_cols), C.CLIENT_KEY, "days_after_gen", "amt_payment")
     return cum.select(*CLIENT_GRAIN, "days_after_gen", money("amt_payment").alias("amt_payment"))

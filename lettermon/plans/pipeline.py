@@ -96,11 +96,8 @@ class Monitor:
         return self._plan("payment", lambda: M.monitor_payment(
             self.shared("monitor_base"), M.eligible_payments(self.t, self.cfg), self.cfg))
 
-    def payment_cum(self, method: str = "window"):
-        src = self.stored("monitor_payment")
-        if method != "window":
-            return M.monitor_payment_cum(src, method)
-        return self._plan("cum", lambda: M.monitor_payment_cum(src))
+    def payment_cum(self):
+        return self._plan("cum", lambda: M.monitor_payment_cum(self.stored("monitor_payment")))
 
     # reports
     def daily_recovery(self):

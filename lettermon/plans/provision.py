@@ -151,28 +151,6 @@ def provision(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
                     "provision_rate"))
 
 
-def provision_as_written(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
-    """:func:`provision` computed over the expanded many-to-many rows of
-    :func:`client_products`, as the campaign SQL does (for measurement)."""
-    buckets = t.small("dc_dpd_tol_bucket", cfg.broadcast_max_rows)
-    rates = t.small("ft_coll_provision_rate", cfg.broadcast_max_rows)
-    dpd = t.dpd_snapshot.select("skp_credit_case", "extraction_date", "skp_dpd_tol_bucket")
-    rows = (client_products(cl, t, cfg)
-            .join(dpd, ["skp_credit_case", "extraction_date"])
-            .join(buckets, "skp_dpd_tol_bucket")
-            .join(rates.withColumnRenamed("flag_bucket", "code_dpd_tol_subbucket"),
-                  ["product_group", "code_dpd_tol_subbucket"]))
-    due, rate = F.col("due_amount"), F.col("provision_rate")
-    return (rows.groupBy(*PROVISION_KEYS)
-            .agg(money(F.sum(due)).alias("amt_receivable"),
-                 F.sum(due * rate).cast("decimal(38,8)").alias("amt_provision"),
-                 F.count_distinct("skp_credit_case").alias("cnt_case"),
-                 F.count_distinct("skp_client").alias("cnt_client"))
-            .select("property", "pilot", "extraction_date", "amt_receivable", "amt_provision",
-                    "cnt_case", "cnt_client", "code_dpd_tol_subbucket", "product_group",
-                    "provision_rate"))
-
-
 def daily_provision_rate_join_form(prov: DataFrame, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
     """:func:`daily_provision_rate` as the campaign SQL writes it: totals
     joined with the base pilot's totals (for measurement)."""

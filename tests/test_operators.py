@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lettermon.operators.aggregates import ratio_to_base, threshold_agg
 from lettermon.operators.intervals import within_horizon
 from lettermon.operators.joins import bounded_broadcast, join_on_keys
-from lettermon.operators.windows import mask_repeats, running_total, running_total_self_join
+from lettermon.operators.windows import mask_repeats, running_total
 
 D = dt.date
 
@@ -27,8 +27,6 @@ def test_running_total_counts_peers(spark):
         "client string, seg string, day int, amt decimal(18,2)")
     got = {(r.seg, r.day): r.amt for r in running_total(df, ["client"], "day", "amt").collect()}
     assert got == {("s1", 3): M("20.00"), ("s2", 3): M("20.00"), ("s1", 5): M("21.00")}
-    sj = running_total_self_join(df, ["client"], "day", "amt", ["client", "seg", "day"])
-    assert {(r.seg, r.day): r.amt for r in sj.collect()} == got
 
 
 def test_mask_repeats_null_order_last(spark):
