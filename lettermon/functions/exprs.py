@@ -40,18 +40,15 @@ def days_between(end, start) -> Column:
 def age_bucket(end, start) -> Column:
     """Assignment-age bucket label of ``end - start`` days.
 
-    Seven-day buckets ``0-6`` … ``56-62``, then everything from 63 days on in
-    the top bucket; negative or NULL ages get NULL.
+    Seven-day buckets ``0-6`` … ``56-62`` (bucket ``k`` is labelled
+    ``7k-(7k+6)``), everything from 63 days on in the top bucket; negative or
+    NULL ages get NULL.
     """
     d = days_between(end, start)
-    out = None
-    for i in range(C.AGE_BUCKET_COUNT):
-        lo, hi = i * C.AGE_BUCKET_DAYS, i * C.AGE_BUCKET_DAYS + C.AGE_BUCKET_DAYS - 1
-        cond = d.between(lo, hi)
-        label = f"{lo}-{hi}"
-        out = F.when(cond, label) if out is None else out.when(cond, label)
-    top = C.AGE_BUCKET_COUNT * C.AGE_BUCKET_DAYS
-    return out.when(d >= top, C.AGE_BUCKET_TOP_LABEL)
+    lo = F.floor(d / C.AGE_BUCKET_DAYS) * C.AGE_BUCKET_DAYS
+    label = F.concat(lo.cast("string"), F.lit("-"), (lo + (C.AGE_BUCKET_DAYS - 1)).cast("string"))
+    return (F.when(d >= C.AGE_BUCKET_COUNT * C.AGE_BUCKET_DAYS, C.AGE_BUCKET_TOP_LABEL)
+            .when(d >= 0, label))
 
 
 def week_start(d) -> Column:
