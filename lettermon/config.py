@@ -170,7 +170,7 @@ class MonitorConfig:
     payment_start: dt.date = PAYMENT_START
     product_join: str = "product"
     null_safe_segments: bool = False
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = 1_000_000
 
 
 DEFAULT = MonitorConfig()

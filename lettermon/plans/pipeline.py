@@ -73,7 +73,7 @@ class Monitor:
         def build():
             w = P.product_weights(self.clients(), self.t, self.cfg)
             if self.store is None or self.cfg.product_join == "product":
-                return w  # "product": size proven from dc_product, already broadcast
+                return w  # "product": broadcast iff the dc_product bound proves it small
             return small_side(self.store, "product_weights", w, self.cfg.broadcast_max_rows)
         return self._plan("product_weights", build)
 
