@@ -27,11 +27,13 @@ def main(argv=None) -> None:
                     choices=["product", "product_date", "case"])
     ap.add_argument("--null-safe-segments", action="store_true")
     ap.add_argument("--report-format", default="parquet")
+    ap.add_argument("--partition-sinks", action="store_true",
+                    help="lay the sinks out by extraction_date")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("lettermon").getOrCreate()
     tables = Tables.from_catalog(spark) if a.catalog else Tables.from_parquet(spark, a.inputs)
     cfg = replace(DEFAULT, product_join=a.product_join, null_safe_segments=a.null_safe_segments)
-    run(tables, a.out, cfg, a.report_format)
+    run(tables, a.out, cfg, a.report_format, a.partition_sinks)
 
 
 if __name__ == "__main__":

@@ -56,7 +56,17 @@ class Store:
         return f"{self.root.rstrip('/')}/{name}"
 
     def put(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        w = df.write.mode("overwrite").format(self.fmt)
+        """Write ``df`` as table ``name`` (overwrite) and return it read back.
+
+        With ``partition_by`` the table is laid out in one folder per value;
+        rows are first rebalanced on those columns (a ``REBALANCE`` hint), so
+        each value is written by few tasks and few files, while AQE splits a
+        value that holds a large share of the rows over several tasks.
+        """
+        w = df
+        if partition_by:
+            w = df.hint("rebalance", *partition_by)
+        w = w.write.mode("overwrite").format(self.fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(self.path(name))

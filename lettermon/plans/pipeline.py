@@ -35,8 +35,9 @@ class Monitor:
     """
 
     def __init__(self, tables: Tables, cfg: C.MonitorConfig = C.DEFAULT,
-                 store: Store | None = None):
+                 store: Store | None = None, partition_by: dict | None = None):
         self.t, self.cfg, self.store = tables, cfg, store
+        self.partition_by = partition_by or {}
         self._plans: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
 
@@ -49,7 +50,8 @@ class Monitor:
         if self.store is None:
             return self.stored(name)
         if name not in self._stored:
-            self._stored[name] = self.store.put(name, getattr(self, _BUILDERS[name])())
+            self._stored[name] = self.store.put(name, getattr(self, _BUILDERS[name])(),
+                                                self.partition_by.get(name))
         return self._stored[name]
 
     def stored(self, name: str) -> DataFrame:
@@ -136,12 +138,16 @@ _BUILDERS = {
 
 
 def run(tables: Tables, out: str, cfg: C.MonitorConfig = C.DEFAULT,
-        report_format: str = "parquet") -> dict[str, DataFrame]:
+        report_format: str = "parquet", partition_sinks: bool = False) -> dict[str, DataFrame]:
     """Build every table of the monitor into ``out`` (overwriting) and write
-    the two reports next to them; returns the reports read back."""
+    the two reports next to them; returns the reports read back.
+
+    ``partition_sinks`` lays the case/client/payment tables out by
+    ``extraction_date`` so readers of a date range prune folders."""
     spark = tables[next(iter(tables.names()))].sparkSession
     store = Store(spark, out)
-    m = Monitor(tables, cfg, store)
+    by_date = {n: ["extraction_date"] for n in SINKS if n != "pre_lit_daily_provision"}
+    m = Monitor(tables, cfg, store, by_date if partition_sinks else None)
     for name in SINKS:
         m.shared(name)
     reports = {"daily_recovery": m.daily_recovery(), "repaid_clients": m.repaid_clients()}

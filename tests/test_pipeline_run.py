@@ -28,3 +28,12 @@ def test_run_writes_sinks_and_reports(spark):
     # a second run overwrites instead of failing on existing tables
     run(fixture_tables(spark, SF), out)
     assert spark.read.parquet(f"{out}/monitor_base").count() == 1030
+
+
+def test_run_with_date_partitioned_sinks(spark):
+    out = tempfile.mkdtemp(prefix="lettermon-run-")
+    reports = run(fixture_tables(spark, SF), out, partition_sinks=True)
+    assert any(p.startswith("extraction_date=") for p in os.listdir(f"{out}/monitor_base"))
+    q1 = E.queries()["q10_daily_recovery"](spark, SF)
+    r1 = reports["daily_recovery"].select(*q1.columns)
+    assert r1.count() == 1210 and r1.exceptAll(q1).count() == 0
