@@ -42,7 +42,7 @@ def ratio_to_base(totals: DataFrame, group: Sequence[str], member: str, base: st
     is_base = F.col(member) == base
     return (totals
             .where(F.expr(" AND ".join(f"`{g}` IS NOT NULL" for g in group)))
-            .withColumn("__base", F.max(F.when(is_base, F.col(value))).over(w))
-            .withColumn("__has", F.max(F.when(is_base, F.lit(1))).over(w))
+            .withColumns({"__base": F.max(F.when(is_base, F.col(value))).over(w),
+                          "__has": F.max(F.when(is_base, F.lit(1))).over(w)})
             .where(F.col("__has") == 1)
             .select(*group, member, ratio("__base", value).alias(out)))
