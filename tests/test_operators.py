@@ -1,7 +1,6 @@
 import datetime as dt
 from decimal import Decimal as M
 
-from pyspark.sql import functions as F
 
 from lettermon.operators.aggregates import ratio_to_base, threshold_agg
 from lettermon.operators.intervals import within_horizon
