@@ -150,3 +150,23 @@ def test_cross_segment_counts(spark):
     rep = as_dicts(m.repaid_clients(), ["days_exa_assignment_group"])
     assert [(r["days_exa_assignment_group"], r["cnt_client_repaid"]) for r in rep] == [
         ("0-6", 2), ("14-20", 2)]
+
+
+def test_missing_rate_drops_provision_rows(spark):
+    """A (group, bucket) pair without a provision rate drops out of provision."""
+    dec = D(2018, 1, 1)
+    t = tables(
+        spark,
+        prel_letter_infor_4=[case_360_plus(1, "Chal1", ED, 11, "100.00"),
+                             case_360_plus(2, "Chal1", ED, 12, "300.00")],
+        dc_credit_case=[(c, dec, 1, 3, 2, 1) for c in (11, 12)],
+        dc_product=[(1, 9, "STD1")],
+        dc_contract=[(1, 11, dec, 1), (2, 12, dec, 1)],
+        dpd_snapshot=[(11, ED, 1), (12, ED, 2)],          # case 12 sits in bucket B2
+        ft_coll_provision_rate=[("CD", "B1", M("0.100000"))],  # no CD x B2 rate
+    )
+    m = Monitor(t)
+    prov = as_dicts(m.provision())
+    assert [(r["code_dpd_tol_subbucket"], r["amt_receivable"], r["amt_provision"], r["cnt_case"])
+            for r in prov] == [("B1", M("100.00"), M("10.00000000"), 1)]
+    assert as_dicts(m.daily_provision_rate())[0]["daily_provision_rate"] == 1.0
