@@ -37,6 +37,7 @@ TXT = ("CASE o_orderkey % 11 WHEN 0 THEN 'Delivered' WHEN 1 THEN 'Delivered to c
 PROD = "CAST(FLOOR(o_orderkey / 7) % 50 AS BIGINT)"
 
 ARM_FILTER = "o_orderkey % 3 = {k}"
+DISTINCT_ROWS = ("ppl2_chch_client_list_tmp", "ppl2_iexa_client_list_tmp")  # one row per client/day
 
 SELECTS = {
     "prel_letter_infor_4": (ARM_FILTER.format(k=0), [
@@ -117,7 +118,7 @@ def derive(spark: SparkSession, driver: Callable[[str], DataFrame]) -> dict[str,
         def build() -> DataFrame:
             o = orders()
             df = (o.where(cond) if cond else o).selectExpr(*exprs)
-            return df.distinct() if name.endswith("_client_list_tmp") else df
+            return df.distinct() if name in DISTINCT_ROWS else df
         return build
 
     def results() -> DataFrame:
