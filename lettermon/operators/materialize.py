@@ -25,7 +25,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     one (tests, benchmarks) gets a fresh temporary folder; on a cluster a
     missing setting is an error rather than a machine-local folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return conf
     current = sc.getCheckpointDir()
     if current:
         return current

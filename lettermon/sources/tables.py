@@ -45,8 +45,12 @@ def spread(df: DataFrame) -> DataFrame:
     ``defaultParallelism`` file splits qualify, so at scale this never
     shuffles a large table; filters and column pruning still reach the
     scan below the repartition."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no partition probe in this session kind (e.g. Spark Connect)
+        return df
+    return df.repartition(want) if have < want else df
 
 
 class Tables:
