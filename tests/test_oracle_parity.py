@@ -1,4 +1,4 @@
-"""Every registered query equals its reference-shaped DuckDB SQL (sf0.001).
+"""Every registered query equals its DuckDB oracle SQL (sf0.001).
 
 Exact comparison: decimals compare exactly, doubles bit for bit, row
 multisets order-insensitively, column names as sets.
