@@ -87,7 +87,7 @@ def codewords(classes: int, seed: int = 7, tries: int = 200) -> np.ndarray:
     if classes <= 7:
         splits = range(1, 1 << max(classes - 1, 0))
         return np.array([[1 if s >> k & 1 else -1 for s in splits] for k in range(classes)],
-                        np.int8).reshape(classes, -1)
+                        np.int8).reshape(classes, len(splits))
     rng, best, most = random.Random(seed), None, -1
     bits = int(np.ceil(10 * np.log2(classes)))
     for _ in range(tries):
