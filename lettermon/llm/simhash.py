@@ -79,7 +79,7 @@ def cell(fp: Column, segments: int, reach: int) -> Column:
     out = F.lit(0).cast("long")
     for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
         bits = F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
-        out = out + (F.bit_count(bits) + reach) * F.lit(base ** i)
+        out = out + (F.bit_count(bits) + reach).cast("long") * F.lit(base ** i).cast("long")
     return out
 
 
