@@ -125,9 +125,10 @@ class Page:
             self.blocks[-1].append(text)
 
     def features(self) -> Iterator[tuple[str, int, bool]]:
-        """Each feature with its count and whether it is part of the article."""
+        """Each feature that the scan will score, with its count and whether it is part of the article."""
         for kind, n, _, article, out in self.tokens:
-            yield kind, n or 1, article and not out
+            if not out:
+                yield kind, n or 1, article
 
     def text(self, weights: dict[str, float]) -> str:
         """The blocks of the best run, joined by line ends."""
@@ -156,9 +157,9 @@ def _feature(name: str) -> str:
     return f"tag {name}" if name in BLOCKS or name in INLINE or name in OUT else "tag other"
 
 
-#: Weights where no labelled page tells better, and the least a word gains and a tag costs.
-WORD, TAG = 1.0, -3.0
-LEAST_WORD, LEAST_TAG = 0.05, -0.05
+#: Weights where no labelled page tells, and the least and most a word gains and a tag costs.
+WORD, TAG = 1.0, -1.0
+LEAST_WORD, LEAST_TAG, MOST = 0.05, -0.05, 6.0
 
 
 def learn_weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
@@ -181,11 +182,15 @@ def learn_weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
     counts = (pages.select(F.col(html).cast("string")).mapInArrow(count, "kind string, inside boolean, n long")
               .groupBy("kind").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("inside"),
                                    F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("outside")))
-    weights = {}
-    for r in counts.collect():
-        w = math.log((r["inside"] + 0.5) / (r["outside"] + 0.5))
-        weights[r["kind"]] = min(w, LEAST_TAG) if r["kind"].startswith("tag") else max(w, LEAST_WORD)
-    return weights
+    return {r["kind"]: weight(r["kind"], r["inside"], r["outside"]) for r in counts.collect()}
+
+
+def weight(kind: str, inside: int, outside: int) -> float:
+    """Log odds of a feature, with the sign and the bounds of its kind."""
+    w = math.log((inside + 0.5) / (outside + 0.5))
+    if kind.startswith("tag"):
+        return max(min(w, LEAST_TAG), -MOST)
+    return min(max(w, LEAST_WORD), MOST)
 
 
 def main_text(html: Column, weights: dict[str, float]) -> Column:
