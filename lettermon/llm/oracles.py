@@ -1,5 +1,118 @@
-"""DuckDB SQL of the registered queries that SQL can express."""
+"""DuckDB SQL of the registered queries that SQL can express.
+
+License scan, HTML extraction, language ID, SimHash, BPE and sharding have
+none (automata, learned weights, XXH64, a tokenizer, CRC32); they are tested
+against brute force, held-out accuracy and the tokenizer library instead.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from . import urls
+from .queries import URL_RULES
+
+_UP, _LOW = urls.UPPER, urls.LOWER
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _rule_case(column: str) -> str:
+    """The longest rule that fits, as SQL."""
+    rows = " UNION ALL ".join(f"SELECT '{r.host}' AS h, '{r.path}' AS p, '{r.verdict}' AS v" for r in URL_RULES)
+    value = "h || p" if column == "rule" else "v"
+    return (f"(SELECT {value} FROM ({rows}) WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) "
+            f"ORDER BY length(h || p) DESC LIMIT 1)")
+
+
+def _url_filter() -> str:
+    def level(name, rows):
+        return f"""
+{name}_weight AS (
+  SELECT CASE WHEN g > 1 AND total > g AND between_ + (usual - 1) * within_ > 0 THEN
+           CASE WHEN between_ <= within_ THEN {urls.PRIOR_MOST} ELSE
+             least(greatest((between_ + (usual - 1) * within_) / (between_ - within_) - 1, {urls.PRIOR_LEAST}),
+                   {urls.PRIOR_MOST}) END
+         ELSE {urls.PRIOR_UNKNOWN} END AS k
+  FROM (SELECT g, total, (s - total * power(hits / total, 2)) / nullif(g - 1, 0) AS between_,
+               (hits - s) / nullif(total - g, 0) AS within_,
+               (total - squares / total) / nullif(g - 1, 0) AS usual
+        FROM (SELECT count(*) AS g, CAST(sum(n) AS DOUBLE) AS total, CAST(sum(good) AS DOUBLE) AS hits,
+                     CAST(sum(n * n) AS DOUBLE) AS squares, sum(good * (good / n)) AS s
+              FROM {rows} WHERE n > 0)))"""
+    return f"""
+WITH sites AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{_UP}', '{_LOW}') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+outcomes AS (
+  SELECT host, CAST(quality = 1 AND toxic = 0 AS BIGINT) AS good FROM sites JOIN labels ON doc_id = page_id
+  WHERE (quality = 1 AND toxic = 0) IS NOT NULL),
+hosts AS (
+  SELECT h.host, regexp_extract(regexp_replace(h.host, ':[0-9]*$', ''), '[^.]*$') AS suffix,
+         regexp_extract(regexp_replace(h.host, ':[0-9]*$', ''), '([^.]*\\.)?[^.]*$') AS domain,
+         count(good) AS n, CAST(coalesce(sum(good), 0) AS BIGINT) AS good
+  FROM (SELECT DISTINCT host FROM sites) h LEFT JOIN outcomes o ON o.host = h.host GROUP BY h.host),
+domains AS (SELECT suffix, domain, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY suffix, domain),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM domains GROUP BY suffix),
+overall AS (SELECT coalesce(sum(good) / nullif(sum(n), 0), 0.5) AS p FROM suffixes),
+{level("host", "hosts")},
+{level("domain", "domains")},
+{level("suffix", "suffixes")},
+by_suffix AS (
+  SELECT suffix, (good + k * p) / (n + k) AS p FROM suffixes, suffix_weight, overall),
+by_domain AS (
+  SELECT d.suffix, d.domain, (d.good + k * s.p) / (d.n + k) AS p
+  FROM domains d JOIN by_suffix s ON s.suffix = d.suffix, domain_weight),
+reputation AS (
+  SELECT host AS site, n, good, greatest(m - 1.645 * sqrt(m * (1 - m) / (size + 1)), 0) AS bound
+  FROM (SELECT h.host, h.n, h.good, h.n + k AS size, (h.good + k * d.p) / (h.n + k) AS m
+        FROM hosts h JOIN by_domain d ON d.domain = h.domain AND d.suffix = h.suffix, host_weight))
+SELECT page_id, host, path, {_rule_case("rule")} AS rule,
+       coalesce({_rule_case("verdict")}, CASE WHEN bound >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict,
+       n AS n_labels, good AS n_good, round(bound, 6) AS bound
+FROM sites JOIN reputation ON site = host
+"""
+
+
+EXACT = r"""
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY p) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(p) AS text_sha256
+FROM (SELECT doc_id, length(coalesce(text, '')) AS n,
+             regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS p FROM documents)
+WINDOW w AS (PARTITION BY p ORDER BY n DESC, doc_id)
+"""
+
+DECONTAMINATION = rf"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '{_WORDS}') AS ws FROM benchmark),
+item_grams AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS gram
+  FROM (SELECT item_id, ws, least(5, len(ws)) AS k, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i
+        FROM item_words WHERE len(ws) > 0)),
+items AS (SELECT item_id, count(*) AS shingles FROM item_grams GROUP BY item_id),
+doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_WORDS}') AS ws FROM documents),
+doc_grams AS (
+  SELECT DISTINCT doc_id, k, array_to_string(ws[i:i + k - 1], ' ') AS gram
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM doc_words, (SELECT DISTINCT k FROM item_grams) WHERE len(ws) >= k)),
+shared AS (
+  SELECT doc_id, item_id, count(*) AS shared FROM doc_grams JOIN item_grams USING (k, gram) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, shared, shingles, shared / shingles AS containment
+FROM shared JOIN items USING (item_id) WHERE shared >= greatest(1, ceil(0.8 * shingles - 1e-9))
+"""
+
+# Conversations of the tables hold no tool calls; linking and validation are tested on rows of their own.
+CHATS = """
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS seq, turn, role,
+       '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}' AS json,
+       CAST(0 AS BIGINT) AS n_calls, CAST(NULL AS VARCHAR) AS call_id, TRUE AS valid, '' AS errors
+FROM conversations
+"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": _url_filter(),
+    "op3_exact_dedup": EXACT,
+    "op5_decontamination": DECONTAMINATION,
+    "op9_chat_formatting": CHATS,
+}
