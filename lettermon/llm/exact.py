@@ -67,6 +67,8 @@ def _stateful_session(spark: SparkSession) -> SparkSession:
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # a store takes the disk it fills: with many small stores, space set aside beforehand would be most of it
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     return own
 
 
