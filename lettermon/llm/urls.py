@@ -17,8 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import materialise
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LEVELS = ("suffix", "domain", "host")
 #: A level's prior weighs as much as this many labelled pages: the least, the most, and where it cannot be told.
 PRIOR_LEAST, PRIOR_MOST, PRIOR_UNKNOWN = 1.0, 10_000.0, 20.0
 
@@ -79,19 +80,19 @@ def _prior_weights(groups: DataFrame) -> DataFrame:
     correlation ``rho`` of the beta-binomial; the prior's weight is
     ``1 / rho - 1``, the larger the more alike the groups are.
     """
-    rate = F.col("good") / F.col("n")
+    per_page = F.col("good") * F.try_divide("good", "n")
     sums = groups.groupBy("level").agg(
-        F.count(F.lit(1)).alias("g"), F.sum("n").alias("total"), F.sum("good").alias("hits"),
-        F.sum(F.col("n") * F.col("n")).alias("squares"), F.sum(F.col("good") * rate).alias("s"))
-    total, g = F.col("total").cast("double"), F.col("g")
-    mean = F.col("hits") / total
-    between = (F.col("s") - total * mean * mean) / (g - 1)
-    within = (F.col("hits") - F.col("s")) / (total - g)
-    usual = (total - F.col("squares") / total) / (g - 1)
-    rho = (between - within) / (between + (usual - 1) * within)
+        F.count(F.lit(1)).alias("g"), F.sum("n").cast("double").alias("total"), F.sum("good").alias("hits"),
+        F.sum(F.col("n") * F.col("n")).alias("squares"), F.sum(per_page).alias("s"))
+    total, g = F.col("total"), F.col("g")
+    mean = F.try_divide("hits", "total")
+    between = F.try_divide(F.col("s") - total * mean * mean, g - 1)
+    within = F.try_divide(F.col("hits") - F.col("s"), total - g)
+    usual = F.try_divide(total - F.try_divide("squares", "total"), g - 1)
+    rho = F.try_divide(between - within, between + (usual - 1) * within)
     told = (g > 1) & (total > g) & (between + (usual - 1) * within > 0)
     weight = F.when(~told, F.lit(PRIOR_UNKNOWN)).when(rho <= 0, F.lit(PRIOR_MOST)).otherwise(
-        F.least(F.greatest(1 / rho - 1, F.lit(PRIOR_LEAST)), F.lit(PRIOR_MOST)))
+        F.least(F.greatest(F.try_divide(F.lit(1.0), rho) - 1, F.lit(PRIOR_LEAST)), F.lit(PRIOR_MOST)))
     return sums.select("level", weight.alias("k"))
 
 
@@ -108,28 +109,25 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, z: float = 1.645,
     per_host = (outcomes.where(F.col("good").isNotNull()).groupBy("host")
                 .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("good").cast("long")).alias("good")))
     suffix, domain = domain_levels(F.col("host"), suffixes)
-    known = (hosts.join(per_host, "host", "left").na.fill(0, ["n", "good"])
-             .select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "good"))
+    known = materialise(hosts.join(per_host, "host", "left").na.fill(0, ["n", "good"])
+                        .select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "good"), "hosts")
     # one row per host: the levels above are sums over hosts, not over pages
     grouped = known.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     tops = grouped.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     groups = (known.select(F.lit("host").alias("level"), "n", "good")
               .unionByName(grouped.select(F.lit("domain").alias("level"), "n", "good"))
               .unionByName(tops.select(F.lit("suffix").alias("level"), "n", "good")).where(F.col("n") > 0))
-    weights = _prior_weights(groups).groupBy(F.lit(0).alias("one")).pivot("level", list(LEVELS)).agg(F.first("k"))
-    overall = tops.groupBy(F.lit(0).alias("one")).agg(
-        (F.sum("good").cast("double") / F.nullif(F.sum("n"), F.lit(0))).alias("p"))
-    # one row: the three weights and the overall share
-    model = F.broadcast(overall.join(weights, "one", "left").select(
-        "one", F.coalesce("p", F.lit(0.5)).alias("p"),
-        *[F.coalesce(x, F.lit(PRIOR_UNKNOWN)).alias(f"k_{x}") for x in LEVELS]))
-
-    def shrunk(k, prior):
-        return (F.col("good") + F.col(k) * F.col(prior)) / (F.col("n") + F.col(k))
-    tops = (tops.withColumn("one", F.lit(0)).join(model, "one")
-            .select("suffix", shrunk("k_suffix", "p").alias("p_suffix"), "k_domain", "k_host"))
-    grouped = grouped.join(tops, "suffix").select("domain", "suffix", shrunk("k_domain", "p_suffix").alias("p_domain"),
-                                                  "k_host")
+    # a row per level: three weights
+    weights = _prior_weights(groups).agg(F.map_from_entries(F.collect_list(F.struct("level", "k"))).alias("k")).scalar()
+    overall = tops.agg(F.sum("good").cast("double") / F.nullif(F.sum("n"), F.lit(0))).scalar()
+
+    def shrunk(level: str, prior: Column) -> Column:
+        k = F.coalesce(F.try_element_at(weights, F.lit(level)), F.lit(PRIOR_UNKNOWN))
+        return (F.col("good") + k * prior) / (F.col("n") + k)
+    tops = tops.select("suffix", shrunk("suffix", F.coalesce(overall, F.lit(0.5))).alias("p_suffix"))
+    grouped = grouped.join(tops, "suffix").select(
+        "domain", "suffix", shrunk("domain", F.col("p_suffix")).alias("p_domain"),
+        F.coalesce(F.try_element_at(weights, F.lit("host")), F.lit(PRIOR_UNKNOWN)).alias("k_host"))
     a = F.col("good") + F.col("k_host") * F.col("p_domain")
     size = F.col("n") + F.col("k_host")
     mean = a / size
