@@ -1,0 +1,48 @@
+import pytest
+from pyspark.sql import types as T
+
+DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+                     T.StructField("n_chars", T.LongType()),
+                     # columns that operators use names like these for
+                     T.StructField("digest", T.StringType()), T.StructField("fp", T.StringType()),
+                     T.StructField("component_id", T.StringType()), T.StructField("kept", T.StringType()),
+                     T.StructField("shard", T.StringType()), T.StructField("host", T.StringType()),
+                     T.StructField("n", T.StringType())])
+WORDS = ("Of the ones that were read and then kept, some had been written twice. "
+         "Das ist ein Satz der nicht im anderen Text steht und auch nicht kurz ist.").split()
+
+
+def sentence(i: int, n: int) -> str:
+    return " ".join(WORDS[(i * 7 + k * (i % 5 + 1) + k * k % 11) % len(WORDS)] + ("" if k % 3 else str(i)) for k in range(n))
+
+
+def odd_rows() -> list[tuple]:
+    """Nulls in every column, empty and very long texts, ties, repeated rows, copies."""
+    x = ("x",) * 7
+    rows = [(i, sentence(i, 30 + i), "en" if i % 2 else "de", f"s{i % 3}", 5, *x) for i in range(12)]
+    rows += [
+        (100, None, "en", "s0", None, *x), (101, "", None, None, 0, *(None,) * 7), (102, " \t\r\n", "de", "s1", 4, *x),
+        (None, "a row without an id, of some words", "en", "s1", 1, *x),
+        (None, "a row without an id, of some words", "en", "s1", 1, *x),
+        (103, sentence(3, 33), "de", "s2", 1, *x), (103, sentence(3, 33), "de", "s2", 1, *x),
+        (104, sentence(3, 33) + "  ", "en", None, 1, *x), (1, sentence(1, 31), "en", "s1", 5, *x),
+        (105, "0123 456 !!! ???", "en", "s0", 1, *x), (106, "é" * 10, "de", "s0", 1, *x),
+        (107, sentence(9, 60_000), "en", "s0", 1, *x), (108, "x" * 200_000, "en", "s0", 1, *x),
+        (109, "a\x00b \ufffd \U0001f600 end", None, "s0", 1, *x),
+    ]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def docs(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
+    spark.createDataFrame(odd_rows(), DOCS).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("none") / "documents.parquet")
+    spark.createDataFrame([], DOCS).write.parquet(path)
+    return spark.read.parquet(path)

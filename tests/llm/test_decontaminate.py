@@ -1,0 +1,83 @@
+import math
+import random
+import re
+
+from lettermon.llm.decontaminate import ItemIndex, contaminated, decontaminate
+
+WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def grams(ws, n):
+    return {tuple(ws[i:i + n]) for i in range(len(ws) - n + 1)}
+
+
+def brute(items, text, share=0.8):
+    out = []
+    for item, t in items:
+        ws = words(t)
+        if not ws:
+            continue
+        n = min(5, len(ws))
+        mine = grams(ws, n)
+        found = len(mine & grams(words(text), n))
+        if found >= max(1, math.ceil(share * len(mine) - 1e-9)):
+            out.append((item, found, len(mine)))
+    return out
+
+
+def test_search_loses_nothing():
+    rng = random.Random(11)
+    vocab = [f"w{i}" for i in range(40)]
+    for share in (0.5, 0.8, 1.0):
+        items = [(k, " ".join(rng.choice(vocab) for _ in range(rng.choice([0, 1, 3, 5, 6, 9, 20, 60])))) for k in range(40)]
+        items.append((99, None))
+        index = ItemIndex(items, containment=share)
+        for _ in range(120):
+            parts = []
+            for _ in range(rng.randint(0, 6)):
+                ws = (rng.choice(items)[1] or "").split() if rng.random() < 0.7 else [rng.choice(vocab) for _ in range(10)]
+                if ws and rng.random() < 0.6:
+                    ws = list(ws)
+                    ws[rng.randrange(len(ws))] = "changed"
+                    ws = ws[rng.randint(0, 2):]
+                parts.append(rng.choice([" ", ", ", "\n"]).join(ws).title())
+            text = " ".join(parts)
+            assert sorted(index.search(text.encode())) == sorted(brute(items, text, share))
+
+
+def test_item_inside_a_very_long_text():
+    item = " ".join(f"Unique{i}" for i in range(30))
+    index = ItemIndex([(7, item)])
+    text = "filler words here " * 150_000
+    for at in (0, 1_000_003, len(text)):
+        assert index.search((text[:at] + " " + item + " " + text[at:]).encode()) == [(7, 26, 26)]
+    assert index.search(text.encode()) == []
+    cut = " ".join(item.split()[:24])  # 20 of 26 shingles
+    assert index.search((text + cut).encode()) == []
+
+
+def items_frame(spark, docs):
+    t = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    rows = [(1, t[5]), (2, t[6][:90]), (3, "nothing of this kind is there at all"), (4, None), (5, ""), (None, t[7]),
+            (6, t[5])]
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], "item_id long, text string, doc_id string, shared string"), rows
+
+
+def test_tables(spark, docs, no_docs):
+    items, rows = items_frame(spark, docs)
+    want = sorted((str(r["doc_id"]), str(i), n, m) for r in docs.select("doc_id", "text").collect()
+                  for i, n, m in brute(rows, r["text"]))
+    for block in (200_000, 20):  # one block of items, and many
+        got = contaminated(docs, items, block_words=block)
+        assert sorted((str(r["doc_id"]), str(r["item_id"]), r["shared"], r["shingles"]) for r in got.collect()) == want
+    clean = decontaminate(docs, items)
+    assert clean.columns == docs.columns
+    hit = {w[0] for w in want}
+    assert sorted(str(r[0]) for r in clean.select("doc_id").collect()) == sorted(
+        str(r[0]) for r in docs.select("doc_id").collect() if str(r[0]) not in hit)
+    assert decontaminate(docs, items.limit(0)).count() == docs.count()
+    assert decontaminate(no_docs, items).collect() == []

@@ -1,0 +1,65 @@
+import os
+import zlib
+
+import numpy as np
+import pytest
+
+from lettermon.llm.langid import UNKNOWN, LanguageModel, codewords, has_letter, identify, learn, ngram_blocks
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_codewords_are_apart():
+    for classes in (2, 3, 4, 7, 12, 40):
+        code = codewords(classes)
+        assert code.shape[0] == classes and set(np.unique(code)) <= {-1, 1}
+        apart = [(code[a] != code[b]).sum() for a in range(classes) for b in range(a)]
+        assert min(apart) >= max(1, code.shape[1] // 4)
+    assert codewords(1).shape == (1, 0)
+
+
+def test_answers_do_not_depend_on_neighbours():
+    rng = np.random.default_rng(1)
+    counts = rng.integers(0, 50, (3, 1 << 15)).astype(float)
+    model = LanguageModel.from_counts(["a", "b", "c"], counts)
+    texts = ["one text", "Ein Text!", None, "", "123", "été\x00 à", "x" * 600_000, " \n a"]
+    alone = [model.predict([t])[0] for t in texts]
+    assert model.predict(texts) == alone == model.predict(texts[::-1])[::-1]
+    assert [a[0] == UNKNOWN for a in alone] == [not has_letter(t) for t in texts]
+    assert all(0 <= a[1] <= 1 for a in alone)
+
+
+def test_ngrams_of_a_text():
+    owner, bucket = zip(*ngram_blocks(["ab, ab"]))
+    assert sum(len(o) for o in owner) == 7 + 6 + 5  # of " ab ab " 7, 6 and 5 runs of 1, 2 and 3
+    assert list(ngram_blocks([])) == []
+
+
+def test_odd_documents(docs, no_docs):
+    got = identify(docs).collect()
+    assert len(got) == docs.count()
+    by = {r["doc_id"]: r for r in got}
+    for i in (100, 101, 102, 105):
+        assert (by[i]["lang_pred"], by[i]["score"]) == (UNKNOWN, 0.0)
+    assert {r["lang_pred"] for r in got} <= {"en", "de", UNKNOWN}
+    for i, r in by.items():
+        assert r["held_out"] == (i is not None and zlib.crc32(str(i).encode()) % 4 == 2)
+    assert identify(no_docs).collect() == []
+
+
+def test_without_labels_or_with_one_language(spark):
+    df = spark.createDataFrame([(1, "some text", None), (2, "other", None)], "doc_id long, text string, lang string")
+    assert {r["lang_pred"] for r in identify(df).collect()} == {UNKNOWN}
+    one = spark.createDataFrame([(1, "some text", "xx"), (3, "ja", "xx"), (2, "?", "xx")], "doc_id long, text string, lang string")
+    model = learn(one)
+    assert model.predict(["anything", "?"]) == [("xx", 1.0, False), (UNKNOWN, 0.0, False)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver data not present")
+def test_held_out_accuracy(spark):
+    from lettermon.llm.queries import op6_language_id, table
+
+    got = op6_language_id(spark, SF).join(table(spark, SF, "documents").select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r["held_out"]]
+    assert len(held) > 200
+    assert sum(r["lang_pred"] == r["lang"] for r in held) / len(held) >= 0.98
