@@ -90,11 +90,12 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     groups = keyed_state(rows, "digest", _stay())
     hits = groups.where(F.col("n") > 1).select("digest")
 
-    # full bytes of the hits: copies collapse in the task that reads them
+    # full bytes of the hits: copies collapse in the task that reads them, and
+    # the texts alone are regrouped, so a large group of copies can be split
     texts = (plain.select(digest(F.col("plain")).alias("digest"), "plain").join(hits, "digest", "left_semi")
-             .groupBy("digest", "plain").agg(F.count(F.lit(1)).alias("n")))
-    mixed = materialise(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") > 1)
-                        .select("digest"), "mixed-digests")
+             .select("plain").distinct())
+    mixed = materialise(texts.groupBy(digest(F.col("plain")).alias("digest")).agg(F.count(F.lit(1)).alias("texts"))
+                        .where(F.col("texts") > 1).select("digest"), "mixed-digests")
     out = rows.join(groups, "digest")
     if not mixed.isEmpty():  # digests of several texts: their rows go by the text itself
         split = plain.withColumn("digest", digest(F.col("plain"))).join(mixed, "digest", "left_semi")
