@@ -20,7 +20,9 @@ import hashlib
 import re
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,54 +53,52 @@ class TreeEncoder:
     """Encodes as ``tokenizer`` does.
 
     Texts over ``leaf`` characters become a tree of leaves of that size at
-    most.  Shorter texts are encoded word by word, where a word is what
-    stands between spaces and line ends: no rule of the tokenizer reaches
-    across those, so the ids of a text are those of its words in order.
+    most.  If the tokenizer drops spaces, shorter texts are encoded word by
+    word, where a word is what stands between spaces and line ends: no rule
+    of such a tokenizer reaches across those, so the ids of a text are those
+    of its words in order.
     The ids of words are kept, as most words come again: up to ``memory`` of
     them, and as many older ones.
     """
 
-    def __init__(self, tokenizer, leaf: int = LEAF, window: int = WINDOW, memory: int = 150_000):
+    def __init__(self, tokenizer, leaf: int = LEAF, window: int = WINDOW, memory: int = 400_000):
         self.tok, self.leaf, self.window, self.memory = tokenizer, max(leaf, 2), window, memory
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
         special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        self.by_word = not any(c.isspace() for t in special for c in t)
+        self.by_word = not any(c.isspace() for t in special for c in t) and self._drops_spaces()
         self.margin = 1 + max([3, *map(len, special)])  # 3: the longest contraction that a pattern names
 
+    def _drops_spaces(self) -> bool:
+        def ids(text):
+            return self.tok.encode(text, add_special_tokens=False).ids
+        return not ids(" \t\r\n") and ids("a, b\n c") == ids("a,") + ids("b") + ids("c")
+
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
         return [self._tree(t) if len(t) > self.leaf else self._words(t) if self.by_word
                 else self.tok.encode(t, add_special_tokens=False).ids for t in texts]
 
     def _words(self, text: str) -> list[int]:
-        words = [w for w in _SPACE.split(text) if w]
-        known, older = self.known, self.older
-        if new := [w for w in set(words) if w not in known]:
-            if len(known) + len(new) > self.memory:
-                self.older, self.known = known, {}
-                known, older, new = self.known, known, list(set(words))
-            unseen = []
-            for w in new:
-                ids = older.get(w)
-                if ids is None:
-                    unseen.append(w)
-                else:
-                    known[w] = ids
+        words = _SPACE.split(text)
+        if new := set(words).difference(self.known):
+            if len(self.known) + len(new) > self.memory:
+                self.older, self.known, new = self.known, {}, set(words)
+            seen = {w: self.older[w] for w in new if w in self.older}
+            self.known.update(seen)
+            unseen = list(new.difference(seen))
             for at in range(0, len(unseen), 500):
                 self._learn(unseen[at:at + 500])
-        return [i for w in words for i in known[w]]
+        return list(chain.from_iterable(map(self.known.__getitem__, words)))
 
     def _learn(self, words: list[str]) -> None:
         """Encode words in one go; the characters that tokens stand for tell whose they are."""
         found = self.tok.encode(" ".join(words), add_special_tokens=False)
-        ids, spans, at, end = found.ids, found.offsets, 0, -1
-        for w in words:
-            end += len(w) + 1
-            first = at
-            while at < len(ids) and spans[at][0] < end:
-                at += 1
-            self.known[w] = tuple(ids[first:at])
+        ids = found.ids
+        starts = np.fromiter((s for s, _ in found.offsets), np.int64, len(ids))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        cuts = [0, *np.searchsorted(starts, ends).tolist()]
+        self.known.update((w, tuple(ids[a:b])) for w, a, b in zip(words, cuts, cuts[1:]))
 
     def _cuts(self, text: str, lo: int, hi: int) -> list[int]:
         """Where the halves of ``text[lo:hi]`` and of its halves begin."""
