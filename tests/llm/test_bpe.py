@@ -51,6 +51,15 @@ def test_other_tokenizers_decode_with_their_decoder(spark):
     assert got == {1: (want, "Ünï code 'tis <|endoftext|>\n x"), 2: ([], "")}
 
 
+def test_tokenizers_that_keep_spaces():
+    tok = load_tokenizer(tokenizer_path("byte_bpe_50k.json"))
+    assert not TreeEncoder(tok).by_word
+    for text in texts(9, 100, 200):
+        want = tok.encode(text, add_special_tokens=False).ids
+        for leaf in (30, 10**9):
+            assert TreeEncoder(tok, leaf).encode_batch([text])[0] == want
+
+
 def test_odd_documents(docs, no_docs, tok):
     def sha(s):
         return hashlib.sha256(s.encode()).hexdigest()
