@@ -20,13 +20,14 @@ import hashlib
 import re
 import unicodedata
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import slices
+
 LEAF = 1 << 16
 WINDOW = 8
 _SPACE = re.compile(r"[ \t\r\n]+")
@@ -61,10 +62,10 @@ class TreeEncoder:
     them, and as many older ones.
     """
 
-    def __init__(self, tokenizer, leaf: int = LEAF, window: int = WINDOW, memory: int = 400_000):
+    def __init__(self, tokenizer, leaf: int = LEAF, window: int = WINDOW, memory: int = 250_000):
         self.tok, self.leaf, self.window, self.memory = tokenizer, max(leaf, 2), window, memory
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit integers: a third of a list's memory
+        self.older: dict[str, bytes] = {}
         special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.by_word = not any(c.isspace() for t in special for c in t) and self._drops_spaces()
         self.margin = 1 + max([3, *map(len, special)])  # 3: the longest contraction that a pattern names
@@ -89,16 +90,16 @@ class TreeEncoder:
             unseen = list(new.difference(seen))
             for at in range(0, len(unseen), 500):
                 self._learn(unseen[at:at + 500])
-        return list(chain.from_iterable(map(self.known.__getitem__, words)))
+        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32).tolist()
 
     def _learn(self, words: list[str]) -> None:
         """Encode words in one go; the characters that tokens stand for tell whose they are."""
         found = self.tok.encode(" ".join(words), add_special_tokens=False)
-        ids = found.ids
-        starts = np.fromiter((s for s, _ in found.offsets), np.int64, len(ids))
+        ids = np.array(found.ids, np.int32).tobytes()
+        starts = np.fromiter((s for s, _ in found.offsets), np.int64, len(found))
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        cuts = [0, *np.searchsorted(starts, ends).tolist()]
-        self.known.update((w, tuple(ids[a:b])) for w, a, b in zip(words, cuts, cuts[1:]))
+        cuts = [0, *(4 * np.searchsorted(starts, ends)).tolist()]
+        self.known.update((w, ids[a:b]) for w, a, b in zip(words, cuts, cuts[1:]))
 
     def _cuts(self, text: str, lo: int, hi: int) -> list[int]:
         """Where the halves of ``text[lo:hi]`` and of its halves begin."""
@@ -187,6 +188,11 @@ def load_encoder(path: str, leaf: int = LEAF) -> TreeEncoder:
     return TreeEncoder(load_tokenizer(path), leaf)
 
 
+@lru_cache(maxsize=1)
+def _decimals() -> list[str]:
+    return list(map(str, range(1 << 18)))
+
+
 BPE_TYPE = "struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>"
 _DIGEST = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
@@ -196,8 +202,9 @@ def token_ids(text: Column, path: str, leaf: int = LEAF) -> Column:
     which every executor has."""
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        ids = load_encoder(path, leaf).encode_batch([t or "" for t in texts.to_pylist()])
-        return pa.array(ids, pa.list_(pa.int32()))
+        encoder = load_encoder(path, leaf)
+        return pa.array([ids for some in slices(texts) for ids in encoder.encode_batch([t or "" for t in some])],
+                        pa.list_(pa.int32()))
     return encode(text.cast("string"))
 
 
@@ -215,12 +222,12 @@ def round_trip_digest(text: Column, path: str, leaf: int = LEAF, rows: int = 256
     the ids never leave the task."""
     @F.arrow_udf(BPE_TYPE)
     def digest(texts: pa.Array) -> pa.Array:
-        encoder, out = load_encoder(path, leaf), []
-        for at in range(0, len(texts), rows):
-            batch = encoder.encode_batch([t or "" for t in texts[at:at + rows].to_pylist()])
+        encoder, decimal, out = load_encoder(path, leaf), _decimals(), []
+        for some in slices(texts, rows):
+            batch = encoder.encode_batch([t or "" for t in some])
             for ids, back in zip(batch, decode_batch(encoder.tok, batch)):
                 out.append({"n_tokens": len(ids),
-                            "ids_sha256": hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                            "ids_sha256": hashlib.sha256(" ".join([decimal[i] for i in ids]).encode()).hexdigest(),
                             "decoded_sha256": hashlib.sha256(back.encode()).hexdigest()})
         return pa.array(out, _DIGEST)
     return digest(text.cast("string"))

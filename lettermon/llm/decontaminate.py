@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import slices
 from .scratch import FILE, ROW, located, materialise
 from .words import word_blocks
 
@@ -176,7 +177,7 @@ def _search(docs: DataFrame, index: ItemIndex) -> DataFrame:
     @F.arrow_udf("array<struct<item_id: bigint, shared: bigint, shingles: bigint>>")
     def search(texts: pa.Array) -> pa.Array:
         return pa.array([[dict(zip(("item_id", "shared", "shingles"), x)) for x in index.search(t)]
-                         for t in texts.cast(pa.large_binary()).to_pylist()], kind)
+                         for some in slices(texts.cast(pa.large_binary())) for t in some], kind)
     return (docs.select("doc_id", FILE, ROW, F.explode(search("text")).alias("hit"))
             .select("doc_id", "hit.*", (F.col("hit.shared") / F.col("hit.shingles")).alias("containment"), FILE, ROW))
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import slices
+
 # Element names of HTML by their part in a page, and words that class, id and role use.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre
@@ -170,8 +172,7 @@ def learn_weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
     def count(batches):
         seen: Counter = Counter()
         for batch in batches:
-            for markup in batch.column(0).to_pylist():
-                page = Page(markup)
+            for page in (Page(p) for some in slices(batch.column(0)) for p in some):
                 if page.labelled:
                     for kind, n, inside in page.features():
                         seen[kind, inside] += n
@@ -196,7 +197,7 @@ def weight(kind: str, inside: int, outside: int) -> float:
 def main_text(html: Column, weights: dict[str, float]) -> Column:
     @F.arrow_udf("string")
     def extract(pages: pa.Array) -> pa.Array:
-        return pa.array([Page(p).text(weights) for p in pages.to_pylist()], pa.string())
+        return pa.array([Page(p).text(weights) for some in slices(pages) for p in some], pa.string())
     return extract(html.cast("string"))
 
 

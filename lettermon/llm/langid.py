@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import slices
+
 UNKNOWN = "und"
 MAX_N = 3
 BUCKET_BITS = 15
@@ -184,11 +186,11 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", max_languages
     def count(batches):
         mine = np.zeros(len(languages) * size, np.int64)
         for batch in batches:
-            pairs = [(t, number[x]) for t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                     if x in number]
-            which = np.array([k for _, k in pairs], np.int64)
-            for owner, bucket in ngram_blocks([t for t, _ in pairs], bucket_bits):
-                mine += np.bincount(which[owner] * size + bucket, minlength=len(mine))
+            for texts, langs in zip(slices(batch.column(0)), slices(batch.column(1))):
+                pairs = [(t, number[x]) for t, x in zip(texts, langs) if x in number]
+                which = np.array([k for _, k in pairs], np.int64)
+                for owner, bucket in ngram_blocks([t for t, _ in pairs], bucket_bits):
+                    mine += np.bincount(which[owner] * size + bucket, minlength=len(mine))
         at = np.flatnonzero(mine)
         yield pa.RecordBatch.from_arrays([pa.array(at // size, pa.int64()), pa.array(at % size, pa.int64()),
                                           pa.array(mine[at], pa.int64())], ["lang", "bucket", "n"])
@@ -206,7 +208,7 @@ def predicted(text: Column, model: LanguageModel) -> Column:
 
     @F.arrow_udf("struct<lang_pred: string, score: double, ambiguous: boolean>")
     def predict(texts: pa.Array) -> pa.Array:
-        found = model.predict(texts.to_pylist())
+        found = [x for some in slices(texts) for x in model.predict(some)]
         return pa.array([dict(zip(("lang_pred", "score", "ambiguous"), x)) for x in found], kind)
     return predict(text.cast("string"))
 

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import slices
 from .words import word_blocks
 
 # Phrases whose places are counted, and the notices known by their wording.
@@ -250,7 +251,7 @@ def scan_column(text: Column, scanner: LicenseScanner | None = None) -> Column:
 
     @F.arrow_udf(SCAN_TYPE)
     def scan(texts: pa.Array) -> pa.Array:
-        return pa.array([scanner.row(t) for t in texts.cast(pa.large_binary()).to_pylist()], _ARROW)
+        return pa.array([scanner.row(t) for some in slices(texts.cast(pa.large_binary())) for t in some], _ARROW)
     return scan(text.cast("string"))
 
 

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import slices
 from .components import components
 from .scratch import FILE, ROW, located, materialise
 
@@ -64,7 +65,8 @@ def with_fingerprint(docs: DataFrame, text: str, name: str, shingle: int = 3) ->
     """``docs`` with the fingerprint of column ``text`` (null counts as empty) as long ``name``."""
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array([fingerprint(t, shingle) for t in texts.cast(pa.large_binary()).to_pylist()], pa.int64())
+        return pa.array([fingerprint(t, shingle) for some in slices(texts.cast(pa.large_binary())) for t in some],
+                        pa.int64())
     return docs.withColumn(name, of(F.col(text).cast("string")))
 
 
