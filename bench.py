@@ -54,7 +54,7 @@ def main() -> None:
     inputs = Store(spark)
     derived = fixture_tables(spark, sf_dir)
     for name in derived.names():
-        inputs.put(name, derived[name])
+        inputs.put(name, derived[name].repartition(cpus))  # a warehouse table has several files
     prepare = round(time.perf_counter() - t0, 3)
     tables = Tables.from_parquet(spark, inputs.root)  # opened once per session
 

@@ -1,7 +1,7 @@
 """Run the campaign monitor: ``python -m lettermon --inputs ROOT --out DIR``.
 
-``ROOT`` holds one Parquet table per input (``<name>`` or ``<name>.parquet``);
-with ``--catalog`` the inputs are read from the session catalog instead.
+``ROOT`` holds one Parquet table per input (``<name>``, or with
+``--suffix .parquet`` ``<name>.parquet``) and may be any URI Spark reads; with ``--catalog`` the inputs are read from the session catalog instead.
 Writes the five campaign tables and both reports under ``DIR``.
 """
 
@@ -22,6 +22,9 @@ def main(argv=None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--inputs", help="folder with one Parquet table per input")
     src.add_argument("--catalog", action="store_true", help="read inputs from the catalog")
+    ap.add_argument("--suffix", default="", help="what follows a table's name in the inputs folder")
+    ap.add_argument("--time-zone", help="zone in which timestamps become dates (default: the session's)")
+    ap.add_argument("--zero-provision", default=DEFAULT.zero_provision, choices=["fail", "null"])
     ap.add_argument("--out", required=True, help="output folder (overwritten)")
     ap.add_argument("--product-join", default=DEFAULT.product_join,
                     choices=["product", "product_date", "case"])
@@ -31,8 +34,10 @@ def main(argv=None) -> None:
                     help="lay the sinks out by extraction_date")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("lettermon").getOrCreate()
-    tables = Tables.from_catalog(spark) if a.catalog else Tables.from_parquet(spark, a.inputs)
-    cfg = replace(DEFAULT, product_join=a.product_join, null_safe_segments=a.null_safe_segments)
+    tables = (Tables.from_catalog(spark, zone=a.time_zone) if a.catalog
+              else Tables.from_parquet(spark, a.inputs, a.suffix, a.time_zone))
+    cfg = replace(DEFAULT, product_join=a.product_join, null_safe_segments=a.null_safe_segments,
+                  zero_provision=a.zero_provision)
     run(tables, a.out, cfg, a.report_format, a.partition_sinks)
 
 

@@ -157,11 +157,11 @@ class MonitorConfig:
                         (many-to-many: a case is counted once per
                         (decision date, group) pair of its product);
         "product_date"  also match date_decision;
-        "case"          carry the case through, one group per case.
+        "case"          also match the case: one group per case.
     null_safe_segments: match NULL segment keys in the report joins
         (plain ``=`` drops them, as the campaign SQL does).
-    broadcast_max_rows: upper bound on rows of a side we broadcast after a
-        bounded count; above it the join stays a shuffle join.
+    zero_provision: what a pilot whose provision is zero does to its rate:
+        "fail" stops the run (division by zero), "null" gives a NULL rate.
     """
 
     arms: tuple = ARMS
@@ -170,7 +170,7 @@ class MonitorConfig:
     payment_start: dt.date = PAYMENT_START
     product_join: str = "product"
     null_safe_segments: bool = False
-    broadcast_max_rows: int = 1_000_000
+    zero_provision: str = "fail"
 
 
 DEFAULT = MonitorConfig()

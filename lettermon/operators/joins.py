@@ -1,4 +1,4 @@
-"""Join helpers: key conditions with explicit NULL semantics, bounded broadcast."""
+"""Join helpers: key conditions with explicit NULL semantics."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def key_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -19,24 +18,3 @@ def key_match(left: DataFrame, right: DataFrame, keys: Sequence[str],
     eq = (lambda a, b: a.eqNullSafe(b)) if null_safe else (lambda a, b: a == b)
     return reduce(lambda acc, k: acc & eq(left[k], right[k]),
                   keys[1:], eq(left[keys[0]], right[keys[0]]))
-
-
-def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                 null_safe: bool = False) -> DataFrame:
-    """Join on same-named ``keys`` keeping the left copy of each key column."""
-    cond = key_match(left, right, keys, null_safe)
-    rest = [right[c] for c in right.columns if c not in keys]
-    return left.join(right, cond, how).select(*[left[c] for c in left.columns], *rest)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``), so it reads at
-    most ``max_rows + 1`` rows.  Above the bound the DataFrame is returned
-    as is and the join stays a shuffle join (AQE may still switch it to a
-    broadcast at runtime from measured shuffle sizes).  Use it on scanned
-    dimension tables, not on expensive derived plans.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -9,21 +9,21 @@ the whole lineage.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-
-from .joins import bounded_broadcast
+from pyspark.sql.types import StructType
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Read from the SparkContext (``setCheckpointDir``) or the
-    ``spark.checkpoint.dir`` setting.  Only a local-mode session without
-    one (tests, benchmarks) gets a fresh temporary folder; on a cluster a
-    missing setting is an error rather than a machine-local folder.
+    ``spark.checkpoint.dir`` setting.  Only a session on one machine
+    (``local``, ``local[n]``) without one gets a fresh temporary folder; on
+    a cluster, ``local-cluster`` too, a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -39,18 +39,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="lettermon-ckpt-"))
     return sc.getCheckpointDir()
 
 
+#: What a text format needs to be read back as it was written.
+FORMAT_OPTIONS = {"csv": {"header": "true", "nullValue": "\\N", "emptyValue": ""}}
+
+
 class Store:
     """Where intermediate tables go.
 
     ``Store(spark)`` uses a fresh folder under the session's checkpoint
     root; ``Store(spark, path)`` writes named tables under ``path`` (the
-    pipeline's sinks), overwriting earlier runs.
+    pipeline's sinks), overwriting earlier runs.  A table is read back with
+    the schema it was written with.  Folders under the checkpoint root stay
+    until that root is cleared, as Spark's own checkpoints do.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, fmt: str = "parquet"):
@@ -72,18 +78,12 @@ class Store:
         w = df
         if partition_by:
             w = df.hint("rebalance", *partition_by)
-        w = w.write.mode("overwrite").format(self.fmt)
+        w = w.write.mode("overwrite").format(self.fmt).options(**FORMAT_OPTIONS.get(self.fmt, {}))
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(self.path(name))
-        return self.get(name)
-
-    def get(self, name: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self.path(name))
-
+        return self.get(name, df.schema)
 
-def small_side(store: Store, name: str, df: DataFrame, max_rows: int) -> DataFrame:
-    """A derived table expected to be small: written once, then broadcast if
-    a bounded count proves it holds at most ``max_rows`` rows (otherwise it
-    joins by shuffle)."""
-    return bounded_broadcast(store.put(name, df), max_rows)
+    def get(self, name: str, schema: StructType | None = None) -> DataFrame:
+        reader = self.spark.read.format(self.fmt).options(**FORMAT_OPTIONS.get(self.fmt, {}))
+        return (reader.schema(schema) if schema is not None else reader).load(self.path(name))

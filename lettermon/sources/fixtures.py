@@ -13,9 +13,10 @@ from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .schemas import SCHEMAS
-from .tables import Tables, spread
+from .tables import Tables
 
 _ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 _LINEITEM = ("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_quantity")
@@ -34,7 +35,7 @@ LT = "CASE o_orderkey % 3 WHEN 0 THEN 13 WHEN 1 THEN 121 ELSE 221 END"
 TXT = ("CASE o_orderkey % 11 WHEN 0 THEN 'Delivered' WHEN 1 THEN 'Delivered to client' "
        "WHEN 2 THEN 'Customer will pickup' WHEN 3 THEN '退件' WHEN 4 THEN 'Return to Post office' "
        "WHEN 5 THEN 'In transit' WHEN 6 THEN CAST(NULL AS STRING) ELSE 'Delivered to others' END")
-PROD = "CAST(FLOOR(o_orderkey / 7) % 50 AS BIGINT)"
+PROD = "CAST(FLOOR(o_orderkey / 7) % n_parts AS BIGINT)"  # n_parts: rows of part, so every product is used
 
 ARM_FILTER = "o_orderkey % 3 = {k}"
 DISTINCT_ROWS = ("ppl2_chch_client_list_tmp", "ppl2_iexa_client_list_tmp")  # one row per client/day
@@ -110,7 +111,8 @@ def derive(spark: SparkSession, driver: Callable[[str], DataFrame]) -> dict[str,
     ``part``.
     """
     def orders() -> DataFrame:
-        return driver("orders").select(*_ORDERS)
+        n_parts = driver("part").agg(F.count(F.lit(1))).scalar()
+        return driver("orders").select(*_ORDERS, n_parts.alias("n_parts"))
 
     def from_orders(name: str) -> Callable[[], DataFrame]:
         cond, exprs = SELECTS[name]
@@ -157,7 +159,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
     def driver(name: str) -> DataFrame:
         if name not in opened:
-            opened[name] = spread(spark.read.parquet(f"{root}/{name}.parquet"))
+            opened[name] = spark.read.parquet(f"{root}/{name}.parquet")
         return opened[name]
 
     return Tables.from_frames(derive(spark, driver))

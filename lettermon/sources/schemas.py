@@ -85,13 +85,3 @@ EMPTY_AS_NULL: dict[str, tuple[str, ...]] = {
     "ppl2_iexa_client_list_tmp": ("cpd_ranges",),
     "f_letter_result_tt": ("text_delivery_result",),
 }
-
-# Dimension tables: small and bounded by the business, not by volume.
-DIMENSIONS = (
-    "dc_product",
-    "cl_credit_type",
-    "cl_credit_acquisition_chnl",
-    "dc_goods_type",
-    "dc_dpd_tol_bucket",
-    "ft_coll_provision_rate",
-)

@@ -6,75 +6,57 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampType
 
-from .schemas import DIMENSIONS, EMPTY_AS_NULL, SCHEMAS
+from .schemas import EMPTY_AS_NULL, SCHEMAS
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
+def conform(df: DataFrame, name: str, zone: str | None = None) -> DataFrame:
     """Project ``df`` onto the declared schema of table ``name``.
 
     Only declared columns are kept (so the Parquet scan reads nothing else),
     each is cast to its declared type when it differs (a timestamp becomes
-    its date), and empty strings in free-text code columns become NULL.
+    its date, in ``zone`` if given, else in the session's time zone), and
+    empty strings in free-text code columns become NULL.
     """
     blanks = EMPTY_AS_NULL.get(name, ())
     have = {f.name.lower(): f.dataType for f in df.schema.fields}
     cols = []
     for f in SCHEMAS[name].fields:
+        is_type = have.get(f.name.lower())
         c = F.col(f.name)
-        if have.get(f.name.lower()) != f.dataType:
+        if zone and isinstance(is_type, TimestampType) and isinstance(f.dataType, DateType):
+            c = F.to_date(F.convert_timezone(None, F.lit(zone), c))
+        elif is_type != f.dataType:
             c = c.cast(f.dataType)
         if f.name in blanks:
             c = F.nullif(c, F.lit(""))
-        cols.append(c.alias(f.name) if f.name in blanks or have.get(f.name.lower()) != f.dataType
-                    else f.name)
+        cols.append(c.alias(f.name) if f.name in blanks or is_type != f.dataType else f.name)
     return df.select(*cols)
 
 
-def _table_path(root: str, name: str) -> str:
-    """``<root>/<name>.parquet`` if it exists, else ``<root>/<name>``."""
-    import os
-    p = f"{root}/{name}.parquet"
-    return p if "://" in root or os.path.exists(p) else f"{root}/{name}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that arrives in fewer partitions than the
-    cluster has cores (e.g. one file with a single row group), so that the
-    work above the scan runs on every core.  Only inputs smaller than
-    ``defaultParallelism`` file splits qualify, so at scale this never
-    shuffles a large table; filters and column pruning still reach the
-    scan below the repartition."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no partition probe in this session kind (e.g. Spark Connect)
-        return df
-    return df.repartition(want) if have < want else df
-
-
 class Tables:
     """Named input DataFrames, conformed to :data:`SCHEMAS`.
 
-    Build with :meth:`from_parquet` (one ``<root>/<name>.parquet`` file or
-    directory per table), :meth:`from_catalog` (metastore tables) or
+    Build with :meth:`from_parquet` (one ``<root>/<name><suffix>`` file or
+    folder per table), :meth:`from_catalog` (metastore tables) or
     :meth:`from_frames` (DataFrames, or zero-argument callables returning
     one).  Tables are opened and conformed on first use only, so a plan
-    that needs three inputs never touches the other thirteen.
+    that needs three inputs never touches the other thirteen.  ``zone`` is
+    the time zone in which timestamps become dates (default: the session's).
     """
 
-    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]], zone: str | None = None):
         missing = sorted(set(SCHEMAS) - set(frames))
         if missing:
             raise ValueError(f"missing input tables: {missing}")
-        self._sources = dict(frames)
+        self._sources, self._zone = dict(frames), zone
         self._frames: dict[str, DataFrame] = {}
-        self._rows_within: dict[tuple[str, int], bool] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             src = self._sources[name]
-            self._frames[name] = conform(src() if callable(src) else src, name)
+            self._frames[name] = conform(src() if callable(src) else src, name, self._zone)
         return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -85,34 +67,19 @@ class Tables:
     def names(self):
         return list(SCHEMAS)
 
-    def rows_within(self, name: str, max_rows: int) -> bool:
-        """Whether table ``name`` holds at most ``max_rows`` rows (a bounded
-        count, reading at most ``max_rows + 1`` rows; memoised)."""
-        key = (name, max_rows)
-        if key not in self._rows_within:
-            self._rows_within[key] = self[name].limit(max_rows + 1).count() <= max_rows
-        return self._rows_within[key]
-
-    def small(self, name: str, max_rows: int) -> DataFrame:
-        """Table ``name`` marked for broadcast if it provably holds at most
-        ``max_rows`` rows, else as is (joins with it then shuffle)."""
-        df = self[name]
-        return F.broadcast(df) if self.rows_within(name, max_rows) else df
-
     @classmethod
-    def from_frames(cls, frames) -> "Tables":
-        return cls(frames)
+    def from_frames(cls, frames, zone: str | None = None) -> "Tables":
+        return cls(frames, zone)
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str) -> "Tables":
+    def from_parquet(cls, spark: SparkSession, root: str, suffix: str = "", zone: str | None = None) -> "Tables":
+        """``root`` may be any URI that Spark reads; nothing but Spark opens it."""
         root = root.rstrip("/")
-        def read(n: str) -> DataFrame:
-            df = spark.read.parquet(_table_path(root, n))
-            return df if n in DIMENSIONS else spread(df)  # dimensions are broadcast
-        return cls({n: (lambda n=n: read(n)) for n in SCHEMAS})
+        return cls({n: (lambda n=n: spark.read.parquet(f"{root}/{n}{suffix}")) for n in SCHEMAS}, zone)
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, names: Mapping[str, str] | None = None) -> "Tables":
+    def from_catalog(cls, spark: SparkSession, names: Mapping[str, str] | None = None,
+                     zone: str | None = None) -> "Tables":
         """``names`` maps our table name to a catalog identifier."""
         names = names or {}
-        return cls({n: (lambda n=n: spark.table(names.get(n, n))) for n in SCHEMAS})
+        return cls({n: (lambda n=n: spark.table(names.get(n, n))) for n in SCHEMAS}, zone)
