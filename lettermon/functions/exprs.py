@@ -44,11 +44,11 @@ def age_bucket(end, start) -> Column:
     ``7k-(7k+6)``), everything from 63 days on in the top bucket; negative or
     NULL ages get NULL.
     """
-    d = days_between(end, start)
-    lo = F.floor(d / C.AGE_BUCKET_DAYS) * C.AGE_BUCKET_DAYS
-    label = F.concat(lo.cast("string"), F.lit("-"), (lo + (C.AGE_BUCKET_DAYS - 1)).cast("string"))
-    return (F.when(d >= C.AGE_BUCKET_COUNT * C.AGE_BUCKET_DAYS, C.AGE_BUCKET_TOP_LABEL)
-            .when(d >= 0, label))
+    d, width = days_between(end, start), C.AGE_BUCKET_DAYS
+    label = F.when(d >= C.AGE_BUCKET_COUNT * width, C.AGE_BUCKET_TOP_LABEL)
+    for lo in range(0, C.AGE_BUCKET_COUNT * width, width):
+        label = label.when(d.between(lo, lo + width - 1), f"{lo}-{lo + width - 1}")
+    return label
 
 
 def week_start(d) -> Column:
@@ -89,9 +89,11 @@ def half(c) -> Column:
     return F.lit(Decimal("0.5")) * _col(c)
 
 
-def ratio(num, den) -> Column:
-    """``num / den`` in double precision (both sides cast before dividing)."""
-    return _col(num).cast("double") / _col(den).cast("double")
+def ratio(num, den, zero: str = "fail") -> Column:
+    """``num / den`` in double precision (both sides cast before dividing).
+    A zero ``den`` fails under ANSI mode, or gives NULL if ``zero`` is ``"null"``."""
+    n, d = _col(num).cast("double"), _col(den).cast("double")
+    return F.try_divide(n, d) if zero == "null" else n / d
 
 
 def money(c) -> Column:

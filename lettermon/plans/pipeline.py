@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from .. import config as C
-from ..operators.materialize import Store, small_side
+from ..operators.materialize import Store
 from ..sources.tables import Tables
 from . import monitor as M
 from . import provision as P
@@ -31,12 +31,14 @@ class Monitor:
     dataset is then written to ``store`` on first use and read back) or
     through :meth:`stored` when it only needs the dataset once (a stored
     copy is used if there is one, else the plan).  With ``store=None``
-    nothing is written and every step is one lazy plan.
+    nothing is written and every step is one lazy plan.  ``work`` takes the
+    datasets that are no sinks (default: ``store``).
     """
 
     def __init__(self, tables: Tables, cfg: C.MonitorConfig = C.DEFAULT,
-                 store: Store | None = None, partition_by: dict | None = None):
-        self.t, self.cfg, self.store = tables, cfg, store
+                 store: Store | None = None, partition_by: dict | None = None,
+                 work: Store | None = None):
+        self.t, self.cfg, self.store, self.work = tables, cfg, store, work or store
         self.partition_by = partition_by or {}
         self._plans: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
@@ -50,8 +52,9 @@ class Monitor:
         if self.store is None:
             return self.stored(name)
         if name not in self._stored:
-            self._stored[name] = self.store.put(name, getattr(self, _BUILDERS[name])(),
-                                                self.partition_by.get(name))
+            store = self.store if name in SINKS else self.work
+            self._stored[name] = store.put(name, getattr(self, _BUILDERS[name])(),
+                                           self.partition_by.get(name))
         return self._stored[name]
 
     def stored(self, name: str) -> DataFrame:
@@ -64,27 +67,24 @@ class Monitor:
         return self._plan("clients", lambda: P.clients(self.t, self.cfg))
 
     def product_groups(self):
-        return self._plan("product_groups",
-                          lambda: P.product_groups(self.clients(), self.t, self.cfg))
+        return self._plan("product_groups", lambda: P.product_groups(
+            self.shared("clients"), self.t, self.cfg, keep_case=self.cfg.product_join == "case"))
 
     def client_products(self):
-        return self._plan("client_products",
-                          lambda: P.client_products(self.clients(), self.t, self.cfg))
+        return self._plan("client_products", lambda: P.client_products(
+            self.shared("clients"), self.t, self.cfg, self.shared("product_groups")))
 
     def product_weights(self):
-        def build():
-            w = P.product_weights(self.clients(), self.t, self.cfg)
-            if self.store is None or self.cfg.product_join == "product":
-                return w  # "product": broadcast iff the dc_product bound proves it small
-            return small_side(self.store, "product_weights", w, self.cfg.broadcast_max_rows)
-        return self._plan("product_weights", build)
+        return self._plan("product_weights", lambda: P.product_weights(
+            self.shared("clients"), self.t, self.cfg, self.stored("product_groups")))
 
     def provision(self):
         return self._plan("provision", lambda: P.provision(
-            self.clients(), self.t, self.cfg, self.product_weights()))
+            self.shared("clients"), self.t, self.cfg, self.shared("product_weights")))
 
     def daily_provision_rate(self):
-        return self._plan("rate", lambda: P.daily_provision_rate(self.provision(), self.cfg))
+        totals = P.provision_totals(self.shared("clients"), self.t, self.cfg, self.shared("product_weights"))
+        return self._plan("rate", lambda: P.daily_provision_rate(totals, self.cfg))
 
     # letter base and payments
     def base(self):
@@ -115,20 +115,17 @@ class Monitor:
                            self.stored("monitor_payment_cum"))
 
     def repaid_clients(self):
-        if "monitor_base_client" in self._stored:
-            return R.repaid_clients(self._stored["monitor_base_client"],
-                                    self.stored("monitor_payment_cum"),
-                                    self.stored("pre_lit_daily_provision"), self.cfg)
-        # monitor_base_client read once: count segment clients on monitor_base
-        return R.repaid_clients(self.base_client(), self.stored("monitor_payment_cum"),
-                                self.stored("pre_lit_daily_provision"), self.cfg,
-                                clients_from=self.shared("monitor_base"))
+        return R.repaid_clients(self.shared("monitor_base_client"), self.stored("monitor_payment_cum"),
+                                self.stored("pre_lit_daily_provision"), self.cfg)
 
     def provision_coverage(self):
-        return R.provision_coverage(self.stored("pre_lit_daily_provision"))
+        return R.provision_coverage(self.shared("pre_lit_daily_provision"))
 
 
 _BUILDERS = {
+    "clients": "clients",
+    "product_groups": "product_groups",
+    "product_weights": "product_weights",
     "pre_lit_daily_provision": "daily_provision_rate",
     "monitor_base": "base",
     "monitor_base_client": "base_client",
@@ -140,16 +137,19 @@ _BUILDERS = {
 def run(tables: Tables, out: str, cfg: C.MonitorConfig = C.DEFAULT,
         report_format: str = "parquet", partition_sinks: bool = False) -> dict[str, DataFrame]:
     """Build every table of the monitor into ``out`` (overwriting) and write
-    the two reports next to them; returns the reports read back.
+    the two reports next to them; returns the reports read back, report 2
+    sorted.  Datasets that are no sinks go to ``<out>/_work``.  With
+    ``report_format="csv"`` the reports have a header and ``\\N`` for NULL.
 
     ``partition_sinks`` lays the case/client/payment tables out by
     ``extraction_date`` so readers of a date range prune folders."""
     spark = tables[next(iter(tables.names()))].sparkSession
     store = Store(spark, out)
     by_date = {n: ["extraction_date"] for n in SINKS if n != "pre_lit_daily_provision"}
-    m = Monitor(tables, cfg, store, by_date if partition_sinks else None)
+    m = Monitor(tables, cfg, store, by_date if partition_sinks else None, Store(spark, f"{store.root}/_work"))
     for name in SINKS:
         m.shared(name)
     reports = {"daily_recovery": m.daily_recovery(), "repaid_clients": m.repaid_clients()}
     out_store = Store(spark, out, report_format)
-    return {name: out_store.put(name, df) for name, df in reports.items()}
+    back = {name: out_store.put(name, df) for name, df in reports.items()}
+    return {**back, "repaid_clients": R.in_report_order(back["repaid_clients"])}

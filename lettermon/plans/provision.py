@@ -19,11 +19,10 @@ RESULT_COLUMNS = ("property", "extraction_date", "pilot", "skp_client", "due_amo
                   "product_group", "skp_credit_case")
 PROVISION_KEYS = ("property", "pilot", "extraction_date", "code_dpd_tol_subbucket",
                   "product_group", "provision_rate")
-PRODUCT_GROUPS = 9  # outcomes of functions.exprs.product_group
 PRODUCT_JOINS = {
     "product": ("skp_product",),
     "product_date": ("skp_product", "date_decision"),
-    "case": ("skp_credit_case",),
+    "case": ("skp_credit_case", "skp_product", "date_decision"),
 }
 
 
@@ -31,9 +30,7 @@ def clients(t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
     """Distinct campaign cases of every arm, tagged with the arm's property.
 
     Each arm carries its own property value, so one DISTINCT over the union
-    equals the union of per-arm DISTINCTs.  The rows are hash-partitioned
-    on the contract join keys (client, case, decision date) first: that one
-    shuffle serves both the DISTINCT and the contract join.
+    equals the union of per-arm DISTINCTs.
     """
     arms = []
     for arm in cfg.arms:
@@ -41,9 +38,7 @@ def clients(t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
         arms.append(df.where(F.col("extraction_date") >= F.lit(arm.start))
                     .select(*CLIENT_COLUMNS[:1], F.lit(arm.property).alias("property"),
                             *CLIENT_COLUMNS[2:]))
-    return (reduce(DataFrame.unionByName, arms)
-            .repartition(*CONTRACT_KEYS)
-            .distinct())
+    return reduce(DataFrame.unionByName, arms).distinct()
 
 
 def product_groups(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
@@ -52,20 +47,16 @@ def product_groups(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
 
     Cases are matched to ``dc_credit_case`` with a left-semi join: only the
     existence of a campaign row matters for a DISTINCT result, so duplicate
-    campaign rows never multiply the credit-case side.  The four dimension
-    joins broadcast after a bounded size check.  ``keep_case`` keeps
+    campaign rows never multiply the credit-case side.  ``keep_case`` keeps
     ``skp_credit_case`` in the result (for ``product_join="case"``).
     """
-    dims = {n: t.small(n, cfg.broadcast_max_rows)
-            for n in ("dc_product", "cl_credit_type", "cl_credit_acquisition_chnl",
-                      "dc_goods_type")}
     cc = t.dc_credit_case.join(
         cl.select("skp_credit_case", "date_decision"), ["skp_credit_case", "date_decision"],
         "left_semi")
-    joined = (cc.join(dims["dc_product"], "skp_product")
-              .join(dims["cl_credit_type"], "skp_credit_type")
-              .join(dims["cl_credit_acquisition_chnl"], "skp_credit_acquisition_chnl")
-              .join(dims["dc_goods_type"].withColumnRenamed("skp_goods_type", "skp_goods_type_exp"),
+    joined = (cc.join(t.dc_product, "skp_product")
+              .join(t.cl_credit_type, "skp_credit_type")
+              .join(t.cl_credit_acquisition_chnl, "skp_credit_acquisition_chnl")
+              .join(t.dc_goods_type.withColumnRenamed("skp_goods_type", "skp_goods_type_exp"),
                     "skp_goods_type_exp"))
     group = product_group("code_credit_acquisition_chnl", "code_credit_type",
                           "skp_product_channel", "date_decision", "code_product",
@@ -79,40 +70,47 @@ def _contracts(cl: DataFrame, t: Tables) -> DataFrame:
     return cl.join(c, list(CONTRACT_KEYS))
 
 
-def client_products(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
+def client_products(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
+                    prod: DataFrame | None = None) -> DataFrame:
     """Campaign cases with their product group via the contract (RESULTS).
 
     With ``product_join="product"`` a case meets every (decision date,
     group) row of its product, so it appears once per such row -- the
-    campaign SQL's many-to-many join, kept as is.
+    campaign SQL's many-to-many join, kept as is.  ``prod`` is the product
+    group table if it is stored already: the planner then knows its size.
     """
     keys = list(PRODUCT_JOINS[cfg.product_join])
-    prod = product_groups(cl, t, cfg, keep_case=cfg.product_join == "case")
+    if prod is None:
+        prod = product_groups(cl, t, cfg, keep_case=cfg.product_join == "case")
     prod = prod.select(*keys, F.col("goods_type").alias("product_group"))
     return _contracts(cl, t).join(prod, keys).select(*RESULT_COLUMNS)
 
 
-def product_weights(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
+def product_weights(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
+                    prod: DataFrame | None = None) -> DataFrame:
     """Product-group table collapsed to one row per (join key, group) with the
     number of rows it stands for (``weight``).
 
     Joining contracts to this instead of the raw table gives each case one
     row per group with a multiplicity, which sums exactly like the
-    many-to-many join without materialising its copies.
-
-    With ``product_join="product"`` the result has at most one row per
-    (product, group): at most ``PRODUCT_GROUPS`` times the rows of
-    ``dc_product``, so a bounded count of that dimension proves it small
-    and it is marked for broadcast without being computed first.
+    many-to-many join without its copies of equal groups.
     """
     keys = list(PRODUCT_JOINS[cfg.product_join])
-    prod = product_groups(cl, t, cfg, keep_case=cfg.product_join == "case")
-    w = (prod.groupBy(*keys, F.col("goods_type").alias("product_group"))
-         .agg(F.count(F.lit(1)).cast("decimal(9,0)").alias("weight")))
-    if cfg.product_join == "product" and t.rows_within(
-            "dc_product", cfg.broadcast_max_rows // PRODUCT_GROUPS):
-        return F.broadcast(w)
-    return w
+    if prod is None:
+        prod = product_groups(cl, t, cfg, keep_case=cfg.product_join == "case")
+    return (prod.groupBy(*keys, F.col("goods_type").alias("product_group"))
+            .agg(F.count(F.lit(1)).cast("decimal(9,0)").alias("weight")))
+
+
+def _bucketed(cl: DataFrame, t: Tables) -> DataFrame:
+    """Campaign cases with their contract's product and DPD sub-bucket."""
+    dpd = t.dpd_snapshot.select("skp_credit_case", "extraction_date", "skp_dpd_tol_bucket")
+    return (_contracts(cl, t).join(dpd, ["skp_credit_case", "extraction_date"])
+            .join(t.dc_dpd_tol_bucket, "skp_dpd_tol_bucket"))
+
+
+def _rates(t: Tables) -> DataFrame:
+    return t.ft_coll_provision_rate.withColumnRenamed("flag_bucket", "code_dpd_tol_subbucket")
 
 
 def provision(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
@@ -124,22 +122,14 @@ def provision(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
     date); a (group, bucket) pair without a rate drops out.  The product
     side is the weighted table of :func:`product_weights`: the amounts are
     ``sum(due * weight)`` and ``sum(due * rate * weight)``, exact decimals
-    equal to summing over the many-to-many rows.  Pass ``weights`` already
-    materialised (and broadcast when small) to avoid joining a plan whose
-    size is only known at run time.
+    equal to summing over the many-to-many rows.  A case has a row per group
+    of its product here, which the distinct counts need;
+    :func:`provision_totals` needs none.
     """
-    keys = list(PRODUCT_JOINS[cfg.product_join])
     if weights is None:
         weights = product_weights(cl, t, cfg)
-    buckets = t.small("dc_dpd_tol_bucket", cfg.broadcast_max_rows)
-    rates = t.small("ft_coll_provision_rate", cfg.broadcast_max_rows)
-    dpd = t.dpd_snapshot.select("skp_credit_case", "extraction_date", "skp_dpd_tol_bucket")
-    rows = (_contracts(cl, t)
-            .join(dpd, ["skp_credit_case", "extraction_date"])
-            .join(buckets, "skp_dpd_tol_bucket")
-            .join(weights, keys)
-            .join(rates.withColumnRenamed("flag_bucket", "code_dpd_tol_subbucket"),
-                  ["product_group", "code_dpd_tol_subbucket"]))
+    rows = (_bucketed(cl, t).join(weights, list(PRODUCT_JOINS[cfg.product_join]))
+            .join(_rates(t), ["product_group", "code_dpd_tol_subbucket"]))
     due, rate, w = F.col("due_amount"), F.col("provision_rate"), F.col("weight")
     return (rows.groupBy(*PROVISION_KEYS)
             .agg(money(F.sum(due * w)).alias("amt_receivable"),
@@ -151,25 +141,31 @@ def provision(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
                     "provision_rate"))
 
 
-def daily_provision_rate_join_form(prov: DataFrame, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
-    """:func:`daily_provision_rate` as the campaign SQL writes it: totals
-    joined with the base pilot's totals (for measurement)."""
-    totals = (prov.groupBy("property", "extraction_date", "pilot")
-              .agg(F.sum("amt_provision").alias("amt_provision_total")))
-    base = (prov.where(F.col("pilot") == cfg.base_pilot)
+def provision_totals(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
+                     weights: DataFrame | None = None) -> DataFrame:
+    """``amt_provision_total`` per property, extraction date and pilot: the sum
+    of :func:`provision` over buckets, groups and rates.
+
+    The debt is summed per (property, pilot, date, product key, bucket)
+    before it meets the product groups, and what a unit of debt provides is
+    summed per (product key, bucket), so no case is ever repeated.  Exact:
+    debts below 10^18, weighted rates below 10^9.
+    """
+    keys = list(PRODUCT_JOINS[cfg.product_join])
+    if weights is None:
+        weights = product_weights(cl, t, cfg)
+    debts = (_bucketed(cl, t).groupBy("property", "pilot", "extraction_date", *keys, "code_dpd_tol_subbucket")
+             .agg(F.sum("due_amount").cast("decimal(20,2)").alias("due")))
+    unit = (weights.join(_rates(t), "product_group").groupBy(*keys, "code_dpd_tol_subbucket")
+            .agg(F.sum(F.col("provision_rate") * F.col("weight")).cast("decimal(15,6)").alias("unit")))
+    return (debts.join(unit, [*keys, "code_dpd_tol_subbucket"])
             .groupBy("property", "extraction_date", "pilot")
-            .agg(F.sum("amt_provision").alias("amt_provision_total_base"))
-            .drop("pilot"))
-    return (totals.join(base, ["extraction_date", "property"])
-            .select("property", "extraction_date", "pilot",
-                    (F.col("amt_provision_total_base").cast("double")
-                     / F.col("amt_provision_total").cast("double")).alias("daily_provision_rate")))
+            .agg(F.sum(F.col("due") * F.col("unit")).cast("decimal(38,8)").alias("amt_provision_total")))
 
 
-def daily_provision_rate(prov: DataFrame, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
+def daily_provision_rate(totals: DataFrame, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
     """Provision of the base pilot over provision of each pilot, per property
-    and extraction date; (property, date) without the base pilot drop out."""
-    totals = (prov.groupBy("property", "extraction_date", "pilot")
-              .agg(F.sum("amt_provision").alias("amt_provision_total")))
+    and extraction date; (property, date) without the base pilot drop out.
+    ``totals`` are those of :func:`provision_totals`."""
     return ratio_to_base(totals, ["property", "extraction_date"], "pilot", cfg.base_pilot,
-                         "amt_provision_total", "daily_provision_rate")
+                         "amt_provision_total", "daily_provision_rate", cfg.zero_provision)

@@ -67,19 +67,24 @@ def debt_paid(base_client: DataFrame, payment_cum: DataFrame) -> DataFrame:
     Each client row meets the client's running totals on every payment day
     (joined on the client key only, across segments); non-payers form the
     NULL-day group with zero counts and NULL amounts.
+
+    The segments of a client that paid on the same day hold the same running
+    total, so equal totals are first reduced to one row with their number
+    (``times``): a client with many segments meets days, not segments x days.
     """
-    a, b = base_client.alias("a"), payment_cum.alias("b")
+    totals = (payment_cum.groupBy(*C.CLIENT_KEY, DAY, "amt_payment")
+              .agg(F.count(F.lit(1)).alias("times")))
+    a, b = base_client.alias("a"), totals.alias("b")
     joined = a.join(b, key_match(a, b, list(C.CLIENT_KEY)), "left").select(
         *[a[c] for c in SEGMENT], a["skp_client"], a["due_amount"],
-        b[DAY], b["amt_payment"])
-    out = threshold_agg(joined, [*SEGMENT, DAY], "amt_payment", "due_amount", "skp_client")
+        b[DAY], b["amt_payment"], b["times"])
+    out = threshold_agg(joined, [*SEGMENT, DAY], "amt_payment", "due_amount", "skp_client", "times")
     return out.select(*SEGMENT, DAY, *[f"cnt_client_{n}" for n in THRESHOLDS],
                       *[money(f"amt_{n}").alias(f"amt_{n}") for n in THRESHOLDS])
 
 
 def repaid_clients(base_client: DataFrame, payment_cum: DataFrame, rate: DataFrame,
-                   cfg: C.MonitorConfig = C.DEFAULT, clients_from: DataFrame | None = None
-                   ) -> DataFrame:
+                   cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
     """Report 2: repaid clients per segment and day, raw and scaled by the
     daily provision rate of the segment's (property, date, pilot).
 
@@ -87,12 +92,10 @@ def repaid_clients(base_client: DataFrame, payment_cum: DataFrame, rate: DataFra
     and the rate table inner (segments without a rate drop out).  The
     segment client count stays on the first row (NULL day last); the
     scaled count is repeated on every row.  Sorted by segment and day,
-    NULLs last.  The distinct clients per segment are counted on
-    ``clients_from`` if given (monitor_base has the same clients per
-    segment as monitor_base_client), else on ``base_client``.
+    NULLs last.  ``base_client`` has a row per segment and client, so its
+    rows are the segment's distinct clients.
     """
-    src = base_client if clients_from is None else clients_from
-    base = src.groupBy(*SEGMENT).agg(F.count_distinct("skp_client").alias("cnt_client"))
+    base = base_client.groupBy(*SEGMENT).agg(F.count("skp_client").alias("cnt_client"))
     paid = debt_paid(base_client, payment_cum)
     r = rate.select("property", "extraction_date", "pilot", "daily_provision_rate")
     j = (base.join(paid, key_match(base, paid, SEGMENT, cfg.null_safe_segments))
@@ -105,8 +108,12 @@ def repaid_clients(base_client: DataFrame, payment_cum: DataFrame, rate: DataFra
     adj.update({f"adj_amt_{n}": F.col(f"amt_{n}") * k for n in THRESHOLDS})
     j = j.withColumns(adj).withColumn("__rn", first_row_number(SEGMENT, DAY))
     j = j.withColumn("cnt_client", F.when(F.col("__rn") == 1, F.col("cnt_client")).otherwise(0))
-    return (j.select(*REPORT2_COLUMNS)
-            .orderBy(*[F.asc_nulls_last(c) for c in (*SEGMENT, DAY)]))
+    return in_report_order(j.select(*REPORT2_COLUMNS))
+
+
+def in_report_order(report: DataFrame) -> DataFrame:
+    """Sorted by segment and day, NULLs last (a report read back from files has no order)."""
+    return report.orderBy(*[F.asc_nulls_last(c) for c in (*SEGMENT, DAY)])
 
 
 def provision_coverage(rate: DataFrame) -> DataFrame:
