@@ -1,12 +1,15 @@
 """Invariants of the monitor on the driver data (sf0.001)."""
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from lettermon.config import DEFAULT
 from lettermon.plans.pipeline import Monitor
 from lettermon.sources.fixtures import fixture_tables
+from lettermon.sources.tables import Tables
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver data not present")
@@ -49,19 +52,37 @@ def test_payment_days_within_horizon(m):
     assert p.where("days_after_gen < 0 OR days_after_gen > 30").count() == 0
 
 
-def test_rate_window_equals_join_form(m):
-    from lettermon.plans import provision as P
-    a = m.daily_provision_rate()
-    b = P.daily_provision_rate_join_form(m.provision(), m.cfg)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-@pytest.mark.parametrize("mode", ["product_date", "case"])
-def test_product_join_options_run(spark, mode):
-    from dataclasses import replace
-    m = Monitor(fixture_tables(spark, SF))
-    m.cfg = replace(m.cfg, product_join=mode)
-    assert m.daily_provision_rate().count() > 0
-    # without the many-to-many copies the receivable equals the case debt
-    prov = m.provision().agg(F.sum("amt_receivable")).first()[0]
-    assert prov is not None
+def test_rate_equals_the_provision_it_sums(m):
+    """Q05 sums before the product join; Q04's rows give the same totals, and a self-join the same rate."""
+    totals = (m.provision().groupBy("property", "extraction_date", "pilot")
+              .agg(F.sum("amt_provision").alias("total")))
+    base = totals.where("pilot = 'Chal1'").select("property", "extraction_date", F.col("total").alias("base"))
+    want = totals.join(base, ["property", "extraction_date"]).select(
+        "property", "extraction_date", "pilot",
+        (F.col("base").cast("double") / F.col("total").cast("double")).alias("daily_provision_rate"))
+    got = m.daily_provision_rate()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["product", "product_date", "case"])
+def test_receivable_by_product_join(spark, mode):
+    """Only the "case" join counts every case once."""
+    cfg = replace(DEFAULT, product_join=mode)
+    m = Monitor(fixture_tables(spark, SF), cfg)
+    rated = m.t.ft_coll_provision_rate.where("NOT (product_group = 'TW')")  # TW lacks one bucket's rate
+    assert rated.count() == 32
+    receivable = m.client_products().agg(F.sum("due_amount")).first()[0]
+    debt = m.clients().agg(F.sum("due_amount")).first()[0]
+    assert receivable == debt if mode == "case" else receivable > debt
+
+
+def test_no_join_key_gathers_a_hot_client(spark):
+    """With one client behind every case, its rows still spread over the keys of the client joins."""
+    t = fixture_tables(spark, SF)
+    frames = {n: t[n].withColumn("skp_client", F.lit(7).cast("long")) if "skp_client" in t[n].columns else t[n]
+              for n in t.names()}
+    for n in ("ppl2_chch_client_list_tmp", "ppl2_iexa_client_list_tmp"):
+        frames[n] = frames[n].dropDuplicates(["selection_date", "skp_client"])
+    base = Monitor(Tables.from_frames(frames)).base()
+    top = base.groupBy("property", "pilot", "extraction_date", "skp_client").count().agg(F.max("count")).first()[0]
+    assert base.count() > 900 and top / base.count() < 0.03

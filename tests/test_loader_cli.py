@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+from datetime import date
 
 import pytest
 
@@ -11,7 +12,7 @@ from lettermon.operators.materialize import Store
 from lettermon.plans.pipeline import Monitor
 from lettermon.sources.fixtures import fixture_tables
 from lettermon.sources.schemas import SCHEMAS
-from lettermon.sources.tables import Tables
+from lettermon.sources.tables import Tables, conform
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver data not present")
@@ -34,6 +35,24 @@ def test_parquet_tables_conform(spark, inputs):
             [(f.name, f.dataType) for f in schema]
 
 
+def test_uri_root_and_suffix(spark, inputs):
+    """A root with a scheme is opened by Spark alone, in the layout the caller names."""
+    t = Tables.from_parquet(spark, f"file://{inputs}")
+    assert t.dc_product.count() == Tables.from_parquet(spark, inputs).dc_product.count() > 0
+    named = tempfile.mkdtemp(prefix="lettermon-inputs-")
+    t.dc_product.write.parquet(f"{named}/dc_product.parquet")
+    assert Tables.from_parquet(spark, f"file://{named}", ".parquet").dc_product.count() == t.dc_product.count()
+
+
+def test_timestamps_become_dates_in_the_named_zone(spark):
+    at = spark.sql("SELECT 1L skp_client, 2L skp_credit_case, TIMESTAMP'2019-11-04 23:30:00Z' date_payment_incoming, "
+                   "1.0 amt_payment, 'N' flag_waive_payment, 'a' code_status, 1 skp_incoming_payment_type, 'N' flag_payment_overpay")
+    days = {z: conform(at, "f_incoming_payment_tt", z).first()["date_payment_incoming"]
+            for z in (None, "UTC", "Asia/Shanghai", "America/New_York")}
+    assert days == {None: date(2019, 11, 4), "UTC": date(2019, 11, 4), "Asia/Shanghai": date(2019, 11, 5),
+                    "America/New_York": date(2019, 11, 4)}
+
+
 def test_reports_from_parquet_inputs(spark, inputs):
     m = Monitor(Tables.from_parquet(spark, inputs), store=Store(spark))
     want = E.queries()["q10_daily_recovery"](spark, SF)
@@ -43,6 +62,6 @@ def test_reports_from_parquet_inputs(spark, inputs):
 
 def test_cli_run(spark, inputs):
     out = tempfile.mkdtemp(prefix="lettermon-cli-")
-    main(["--inputs", inputs, "--out", f"{out}/m"])
+    main(["--inputs", f"file://{inputs}", "--out", f"file://{out}/m", "--time-zone", "UTC"])
     assert spark.read.parquet(f"{out}/m/repaid_clients").count() == 980
     assert spark.read.parquet(f"{out}/m/daily_recovery").count() == 1210

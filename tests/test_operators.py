@@ -1,10 +1,13 @@
 import datetime as dt
 from decimal import Decimal as M
 
+import pytest
+from pyspark.errors import ArithmeticException
+
 
 from lettermon.operators.aggregates import ratio_to_base, threshold_agg
 from lettermon.operators.intervals import within_horizon
-from lettermon.operators.joins import bounded_broadcast, join_on_keys
+from lettermon.operators.joins import key_match
 from lettermon.operators.windows import mask_repeats, running_total
 
 D = dt.date
@@ -59,18 +62,29 @@ def test_ratio_to_base(spark):
     assert got == {("p", 1, "Chal1"): 1.0, ("p", 1, "Cham1"): 0.5}  # no base on day 2; NULL key out
 
 
+def test_threshold_agg_of_repeated_rows(spark):
+    """A row that stands for three counts and sums like three rows."""
+    once = [("g", 1, M("50.00"), M("100.00"), 3), ("g", None, M("100.00"), M("100.00"), 2), ("h", 4, None, M("1.00"), None)]
+    cols = "g string, client long, paid decimal(18,2), due decimal(18,2)"
+    packed = spark.createDataFrame(once, cols + ", times long")
+    spread = spark.createDataFrame([r[:4] for r in once for _ in range(r[4] or 1)], cols)
+    a = threshold_agg(packed, ["g"], "paid", "due", "client", "times").collect()
+    b = threshold_agg(spread, ["g"], "paid", "due", "client").collect()
+    assert sorted(a) == sorted(b)
+
+
+def test_zero_denominator_fails_or_gives_null(spark):
+    df = spark.createDataFrame([("p", "Chal1", M("2.0")), ("p", "Cham1", M("0.0"))], "prop string, pilot string, v decimal(10,2)")
+    rate = {r.pilot: r.rate for r in ratio_to_base(df, ["prop"], "pilot", "Chal1", "v", "rate", "null").collect()}
+    assert rate == {"Chal1": 1.0, "Cham1": None}
+    with pytest.raises(ArithmeticException):
+        ratio_to_base(df, ["prop"], "pilot", "Chal1", "v", "rate").collect()
+
+
 def test_plain_and_null_safe_keys(spark):
     a = spark.createDataFrame([("x", 1), (None, 2)], "k string, a int")
     b = spark.createDataFrame([("x", 10), (None, 20)], "k string, b int")
-    plain = {(r.a, r.b) for r in join_on_keys(a, b, ["k"], "left").collect()}
-    safe = {(r.a, r.b) for r in join_on_keys(a, b, ["k"], "left", null_safe=True).collect()}
+    plain = {(r.a, r.b) for r in a.join(b, key_match(a, b, ["k"]), "left").collect()}
+    safe = {(r.a, r.b) for r in a.join(b, key_match(a, b, ["k"], null_safe=True), "left").collect()}
     assert plain == {(1, 10), (2, None)}
     assert safe == {(1, 10), (2, 20)}
-
-
-def test_bounded_broadcast(spark):
-    small = spark.range(5)
-    big = spark.range(100)
-    assert "broadcast" in bounded_broadcast(small, 10).join(spark.range(3), "id") \
-        ._jdf.queryExecution().analyzed().toString().lower()
-    assert bounded_broadcast(big, 10) is big

@@ -10,6 +10,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from lettermon.oracle import oracle_sql
+from lettermon.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver data not present")
@@ -28,10 +30,10 @@ def _key(row):
 
 
 def test_registries_match():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_parity(spark, duck, name):
     df = E.queries()[name](spark, SF)
     cols = sorted(df.columns)

@@ -170,3 +170,40 @@ def test_missing_rate_drops_provision_rows(spark):
     assert [(r["code_dpd_tol_subbucket"], r["amt_receivable"], r["amt_provision"], r["cnt_case"])
             for r in prov] == [("B1", M("100.00"), M("10.00000000"), 1)]
     assert as_dicts(m.daily_provision_rate())[0]["daily_provision_rate"] == 1.0
+
+
+def test_product_join_options_on_mismatched_products(spark):
+    """A contract that holds another product than its credit case: no option but "product" may pair them."""
+    from dataclasses import replace
+    dec, later = D(2018, 1, 1), D(2019, 1, 1)
+    t = tables(
+        spark,
+        prel_letter_infor_4=[case_360_plus(1, "Chal1", ED, 11, "100.00"), case_360_plus(2, "Chal1", ED, 12, "300.00"),
+                             case_360_plus(3, "Chal1", ED, 13, "7.00", decision=later)],
+        dc_credit_case=[(11, dec, 1, 3, 2, 1), (12, dec, 1, 3, 2, 1), (13, later, 2, 3, 2, 1)],
+        dc_product=[(1, 9, "STD1"), (2, 2, "STD2")],
+        dc_contract=[(1, 11, dec, 1), (2, 12, dec, 2), (3, 13, later, 2)],  # case 12's contract has product 2
+    )
+    got = {}
+    for mode in ("product", "product_date", "case"):
+        rows = as_dicts(Monitor(t, replace(Monitor(t).cfg, product_join=mode)).client_products(), ["skp_credit_case"])
+        got[mode] = [(r["skp_credit_case"], r["product_group"]) for r in rows]
+    assert got == {"product": [(11, "CD"), (12, "WCL"), (13, "WCL")], "product_date": [(11, "CD"), (13, "WCL")],
+                   "case": [(11, "CD"), (13, "WCL")]}
+
+
+def test_pilot_without_provision(spark):
+    from dataclasses import replace
+
+    from pyspark.errors import ArithmeticException
+    dec = D(2018, 1, 1)
+    t = tables(
+        spark,
+        prel_letter_infor_4=[case_360_plus(1, "Chal1", ED, 11, "100.00"), case_360_plus(2, "Cham1", ED, 12, "0.00")],
+        dc_credit_case=[(c, dec, 1, 3, 2, 1) for c in (11, 12)], dc_product=[(1, 9, "STD1")],
+        dc_contract=[(1, 11, dec, 1), (2, 12, dec, 1)], dpd_snapshot=[(11, ED, 1), (12, ED, 1)],
+        ft_coll_provision_rate=[("CD", "B1", M("0.100000"))])
+    safe = Monitor(t, replace(Monitor(t).cfg, zero_provision="null")).daily_provision_rate()
+    assert {r["pilot"]: r["daily_provision_rate"] for r in safe.collect()} == {"Chal1": 1.0, "Cham1": None}
+    with pytest.raises(ArithmeticException):
+        Monitor(t).daily_provision_rate().collect()
