@@ -1,7 +1,7 @@
 """BPE encoding of long texts by tree concatenation, and decoding.
 
-A text over ``leaf`` characters is halved again and again; the leaves are
-encoded on their own.  Two neighbours are joined by encoding a window of
+A long text is halved down to leaves, which are encoded on their own, in
+parallel.  Two neighbours are joined by encoding a window of
 tokens around the cut anew.  If the new tokens meet the left neighbour's
 and the right neighbour's own, at least a margin away from the cut, all
 beyond those meeting points stands; else the window grows.  In the end it
@@ -17,6 +17,7 @@ across neighbourhoods.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import unicodedata
 from functools import lru_cache
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 
 from .batches import slices
 
-LEAF = 1 << 16
+#: Characters of a leaf at most, and of a text that is encoded as a tree at least.
+LEAF, TREE_OVER = 1 << 12, 1 << 16
 WINDOW = 8
 _SPACE = re.compile(r"[ \t\r\n]+")
 _VOCABULARIES: dict[int, dict[int, str]] = {}
@@ -36,7 +38,12 @@ _VOCABULARIES: dict[int, dict[int, str]] = {}
 
 @lru_cache(maxsize=4)
 def load_tokenizer(path: str):
-    """The tokenizer of a file, without truncation and padding; one per Python worker."""
+    """The tokenizer of a file, without truncation and padding; one per Python worker.
+
+    Leaves are encoded by two threads unless ``RAYON_NUM_THREADS`` says
+    otherwise: Spark's tasks use the cores already.
+    """
+    os.environ.setdefault("RAYON_NUM_THREADS", "2")
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
@@ -53,8 +60,8 @@ def _starts_cleanly(ch: str) -> bool:
 class TreeEncoder:
     """Encodes as ``tokenizer`` does.
 
-    Texts over ``leaf`` characters become a tree of leaves of that size at
-    most.  If the tokenizer drops spaces, shorter texts are encoded word by
+    Texts over ``over`` characters (``leaf`` at least) become a tree of leaves
+    of ``leaf`` characters at most.  If the tokenizer drops spaces, shorter texts are encoded word by
     word, where a word is what stands between spaces and line ends: no rule
     of such a tokenizer reaches across those, so the ids of a text are those
     of its words in order.
@@ -62,8 +69,9 @@ class TreeEncoder:
     them, and as many older ones.
     """
 
-    def __init__(self, tokenizer, leaf: int = LEAF, window: int = WINDOW, memory: int = 250_000):
+    def __init__(self, tokenizer, leaf: int = LEAF, window: int = WINDOW, memory: int = 250_000, over: int = 0):
         self.tok, self.leaf, self.window, self.memory = tokenizer, max(leaf, 2), window, memory
+        self.over = max(over, self.leaf)
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers: a third of a list's memory
         self.older: dict[str, bytes] = {}
         special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
@@ -77,7 +85,7 @@ class TreeEncoder:
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
-        return [self._tree(t) if len(t) > self.leaf else self._words(t) if self.by_word
+        return [self._tree(t) if len(t) > self.over else self._words(t) if self.by_word
                 else self.tok.encode(t, add_special_tokens=False).ids for t in texts]
 
     def _words(self, text: str) -> list[int]:
@@ -184,8 +192,8 @@ def _vocabulary(tok) -> dict[int, str]:
 
 
 @lru_cache(maxsize=4)
-def load_encoder(path: str, leaf: int = LEAF) -> TreeEncoder:
-    return TreeEncoder(load_tokenizer(path), leaf)
+def load_encoder(path: str, leaf: int, over: int) -> TreeEncoder:
+    return TreeEncoder(load_tokenizer(path), leaf, over=over)
 
 
 @lru_cache(maxsize=1)
@@ -197,12 +205,12 @@ BPE_TYPE = "struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>
 _DIGEST = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def token_ids(text: Column, path: str, leaf: int = LEAF) -> Column:
+def token_ids(text: Column, path: str, leaf: int = LEAF, over: int = TREE_OVER) -> Column:
     """Ids of a text column (null: none) by the tokenizer file at ``path``,
     which every executor has."""
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        encoder = load_encoder(path, leaf)
+        encoder = load_encoder(path, leaf, over)
         return pa.array([ids for some in slices(texts) for ids in encoder.encode_batch([t or "" for t in some])],
                         pa.list_(pa.int32()))
     return encode(text.cast("string"))
@@ -216,13 +224,13 @@ def decoded(ids: Column, path: str) -> Column:
     return decode(ids)
 
 
-def round_trip_digest(text: Column, path: str, leaf: int = LEAF, rows: int = 256) -> Column:
+def round_trip_digest(text: Column, path: str, leaf: int = LEAF, over: int = TREE_OVER, rows: int = 256) -> Column:
     """Struct of ``n_tokens``, ``ids_sha256`` (decimal ids joined by one
     space) and ``decoded_sha256`` of a text column, ``rows`` texts at a time:
     the ids never leave the task."""
     @F.arrow_udf(BPE_TYPE)
     def digest(texts: pa.Array) -> pa.Array:
-        encoder, decimal, out = load_encoder(path, leaf), _decimals(), []
+        encoder, decimal, out = load_encoder(path, leaf, over), _decimals(), []
         for some in slices(texts, rows):
             batch = encoder.encode_batch([t or "" for t in some])
             for ids, back in zip(batch, decode_batch(encoder.tok, batch)):
@@ -234,9 +242,9 @@ def round_trip_digest(text: Column, path: str, leaf: int = LEAF, rows: int = 256
 
 
 def encode_round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
-                      leaf: int = LEAF) -> DataFrame:
+                      leaf: int = LEAF, over: int = TREE_OVER) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_tokens``, ``ids_sha256``,
     ``decoded_sha256``.  A null or empty text has no tokens and the digests
     of the empty string; null and repeated ids keep their rows."""
-    return (docs.select(F.col(doc_id).alias("doc_id"), round_trip_digest(F.col(text), path, leaf).alias("d"))
+    return (docs.select(F.col(doc_id).alias("doc_id"), round_trip_digest(F.col(text), path, leaf, over).alias("d"))
             .select("doc_id", "d.*"))
