@@ -45,7 +45,7 @@ def test_decoding_is_the_library(tok):
 def test_other_tokenizers_decode_with_their_decoder(spark):
     path = tokenizer_path("byte_bpe_50k.json")
     df = spark.createDataFrame([(1, "Ünï code 'tis <|endoftext|>\n x"), (2, None)], "doc_id long, text string")
-    ids = df.select("doc_id", token_ids(df["text"], path, leaf=6).alias("ids"))
+    ids = df.select("doc_id", token_ids(df["text"], path, leaf=6, over=6).alias("ids"))
     got = {r["doc_id"]: (r["ids"], r["back"]) for r in ids.withColumn("back", decoded(ids["ids"], path)).collect()}
     want = load_tokenizer(path).encode("Ünï code 'tis <|endoftext|>\n x", add_special_tokens=False).ids
     assert got == {1: (want, "Ünï code 'tis <|endoftext|>\n x"), 2: ([], "")}
@@ -68,7 +68,7 @@ def test_odd_documents(docs, no_docs, tok):
         ids = tok.encode(t or "", add_special_tokens=False).ids
         return str(i), len(ids), sha(" ".join(map(str, ids))), sha(tok.decode(ids, skip_special_tokens=False))
     want = sorted(row(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())
-    for leaf in (1 << 16, 1000):
-        got = encode_round_trip(docs, tokenizer_path(), leaf=leaf).collect()
+    for sizes in ({}, {"leaf": 1000, "over": 1000}):
+        got = encode_round_trip(docs, tokenizer_path(), **sizes).collect()
         assert sorted((str(r[0]), r[1], r[2], r[3]) for r in got) == want
     assert encode_round_trip(no_docs, tokenizer_path()).collect() == []
