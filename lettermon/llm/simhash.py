@@ -11,6 +11,8 @@ from one side only); the exact bit distance then decides.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -24,39 +26,57 @@ from .scratch import FILE, ROW, located, materialise
 
 BITS = 64
 SEED = 42
-_BLOCK = 1 << 16
+#: Bytes of text that become words at once.
+_BLOCK = 1 << 20
+_SPACE = re.compile(rb"[\x09-\x0D\x20]")
 #: _SPREAD[x] has bit i of the byte x in its byte i.
 _SPREAD = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.uint8).copy().view(np.uint64).ravel()
 
 
-def fingerprint(text: bytes | None, shingle: int = 3) -> int:
+def _word_blocks(text: bytes, size: int) -> Iterator[list[bytes]]:
+    """The words of a text, A-Z lower-cased, in lists of about ``size`` bytes of text each."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + size)
+        end = cut.start() if cut else len(text)
+        yield text[at:end].lower().split()
+        at = end
+
+
+def _bit_counts(words: list[bytes], shingle: int) -> np.ndarray:
+    """How many of the hashes of the runs of ``shingle`` words have each bit."""
+    import xxhash
+
+    digest, joined = xxhash.xxh64_intdigest, b" ".join(words)
+    after = list(accumulate(len(w) + 1 for w in words))
+    starts, ends = [0, *after[:len(words) - shingle]], after[shingle - 1:]
+    hashes = np.fromiter((digest(joined[s:e - 1], SEED) for s, e in zip(starts, ends)), np.uint64, len(starts))
+    lanes = _SPREAD[hashes.view(np.uint8).reshape(-1, 8)]
+    lanes = np.concatenate([lanes, np.zeros((-len(lanes) % 255, 8), np.uint64)])
+    sums = lanes.reshape(-1, 255, 8).sum(axis=1)  # 255 ones at most: no byte overflows
+    return sums.view(np.uint8).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+
+
+def fingerprint(text: bytes | None, shingle: int = 3, block: int = _BLOCK) -> int:
     """SimHash of a UTF-8 text as a signed 64-bit integer.
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased;
     each run of ``shingle`` words (all words if there are fewer) is hashed
     by XXH64 with seed 42, repeats included.  A bit is 1 if more than half
-    of the hashes have it; no words give 0.
+    of the hashes have it; no words give 0.  The text is read in blocks of
+    about ``block`` bytes, with the words that reach into the next one.
     """
-    import xxhash
-
-    words = (text or b"").lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    if len(words) <= shingle:
-        starts, ends = [0], [len(joined)]
-    else:
-        after = list(accumulate(len(w) + 1 for w in words))
-        starts, ends = [0, *after[:len(words) - shingle]], [e - 1 for e in after[shingle - 1:]]
-    digest, n = xxhash.xxh64_intdigest, len(starts)
-    ones = np.zeros(BITS, np.int64)
-    for at in range(0, n, _BLOCK):
-        some = np.fromiter((digest(joined[s:e], SEED)
-                            for s, e in zip(starts[at:at + _BLOCK], ends[at:at + _BLOCK])), np.uint64)
-        lanes = _SPREAD[some.view(np.uint8).reshape(-1, 8)]
-        lanes = np.concatenate([lanes, np.zeros((-len(lanes) % 255, 8), np.uint64)])
-        sums = lanes.reshape(-1, 255, 8).sum(axis=1)  # 255 ones at most: no byte overflows
-        ones += sums.view(np.uint8).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+    ones, n, tail = np.zeros(BITS, np.int64), 0, []
+    for some in _word_blocks(text or b"", block):
+        words = tail + some
+        if len(words) < shingle:
+            tail = words
+            continue
+        ones += _bit_counts(words, shingle)
+        n += len(words) - shingle + 1
+        tail = words[len(words) - shingle + 1:]
+    if not n and tail:
+        ones, n = _bit_counts(tail, len(tail)), 1
     bits = (2 * ones > n).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view(np.int64)[0])
 

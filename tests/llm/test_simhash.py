@@ -34,6 +34,15 @@ def test_fingerprint_is_the_plain_one(spark):
     assert fingerprint(b"a b c") == h  # one shingle: its hash, the one that Spark has too
 
 
+def test_fingerprint_does_not_depend_on_blocks():
+    rng = random.Random(3)
+    for _ in range(150):
+        text = "".join(rng.choice("aB é\n") for _ in range(rng.randint(0, 40)))
+        for shingle in (1, 3, 5):
+            want = signed(plain_fingerprint(text, shingle))
+            assert {fingerprint(text.encode(), shingle, block) for block in (1, 4, 9, 1000)} == {want}
+
+
 def test_offsets_cover_the_ball_from_one_side():
     from itertools import product
     segments, reach = 4, 2
