@@ -20,6 +20,9 @@ from .scratch import FILE, ROW, located, materialise, scratch
 BLANKS = r"[\x20\x09-\x0D]+"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Memory of all state stores of an executor together, in MB.
+STORES_MB = 256
+
 
 def normalised(text: Column) -> Column:
     """The text without spaces, tabs and line ends; null counts as empty."""
@@ -69,6 +72,9 @@ def _stateful_session(spark: SparkSession) -> SparkSession:
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     # a store takes the disk it fills: with many small stores, space set aside beforehand would be most of it
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+    # the stores of an executor share one bound on their memory; beyond it they write to disk
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", str(STORES_MB))
     return own
 
 
