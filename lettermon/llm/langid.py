@@ -21,12 +21,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import slices
+from .scratch import materialise
 
 UNKNOWN = "und"
 MAX_N = 3
 BUCKET_BITS = 15
 #: Characters of text that are turned into n-grams at once.
 BLOCK = 1 << 18
+#: Languages whose n-grams a task counts at once, and entries of a dense table that a task holds.
+LANGUAGES_AT_ONCE = 64
+ENTRIES = 1 << 20
+#: Margins are summed in steps of this size, so that the order of the sum does not matter.
+STEP = 2.0 ** -40
 
 
 @lru_cache(maxsize=1)
@@ -84,7 +90,8 @@ def codewords(classes: int, seed: int = 7, tries: int = 200) -> np.ndarray:
 
     Up to seven classes: every two-way split of the classes is a bit.  More:
     the random code with the largest least distance of ``tries``, of
-    ``10 log2(classes)`` bits (Allwein et al. 2000).
+    ``10 log2(classes)`` bits (Allwein et al. 2000).  From 200 classes on the
+    first random code without equal codewords or constant bits is taken.
     """
     if classes <= 7:
         splits = range(1, 1 << max(classes - 1, 0))
@@ -92,6 +99,14 @@ def codewords(classes: int, seed: int = 7, tries: int = 200) -> np.ndarray:
                         np.int8).reshape(classes, len(splits))
     rng, best, most = random.Random(seed), None, -1
     bits = int(np.ceil(10 * np.log2(classes)))
+    if classes > 200:  # pairs are too many to compare, and far apart by chance
+        draw = np.random.Generator(np.random.PCG64(seed))
+        while best is None:
+            code = draw.integers(0, 2, (classes, bits), np.int8) * np.int8(2) - np.int8(1)
+            packed = np.packbits(code > 0, axis=1)
+            if len(np.unique(packed, axis=0)) == classes and (np.abs(code.sum(axis=0, dtype=np.int64)) < classes).all():
+                best = code
+        return best
     for _ in range(tries):
         code = np.array([[rng.choice((-1, 1)) for _ in range(bits)] for _ in range(classes)], np.int8)
         apart = (bits - code.astype(int) @ code.T.astype(int)) // 2
@@ -101,6 +116,22 @@ def codewords(classes: int, seed: int = 7, tries: int = 200) -> np.ndarray:
     return best
 
 
+def bit_weights(counts: np.ndarray, totals: np.ndarray, code: np.ndarray,
+                smoothing: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (a row per bucket, a column per bit) of some buckets, and their
+    part of the mean margins (a row per language, a column per bit).
+
+    ``counts`` has a row per language and a column per bucket; ``totals`` are
+    the languages' smoothed sums over all buckets.
+    """
+    rates = (counts + smoothing) / totals[:, None]
+    weights = np.zeros((counts.shape[1], code.shape[1]))
+    for b in range(code.shape[1]):
+        weights[:, b] = (np.log(rates[code[:, b] > 0].mean(axis=0))
+                         - np.log(rates[code[:, b] < 0].mean(axis=0)))
+    return weights, rates @ weights
+
+
 @dataclass
 class LanguageModel:
     """``weights``: a row per n-gram bucket, a column per bit; ``scale``: the
@@ -122,12 +153,13 @@ class LanguageModel:
         rows it has.  The mean margin of a language follows from the counts.
         """
         code = codewords(len(languages))
-        rates = (counts + smoothing) / (counts + smoothing).sum(axis=1, keepdims=True)
-        weights = np.zeros((counts.shape[1], code.shape[1]))
-        for b in range(code.shape[1]):
-            weights[:, b] = (np.log(rates[code[:, b] > 0].mean(axis=0))
-                             - np.log(rates[code[:, b] < 0].mean(axis=0)))
-        margins = rates @ weights
+        weights, margins = bit_weights(counts, (counts + smoothing).sum(axis=1), code, smoothing)
+        return cls.from_weights(languages, code, weights, margins, ambiguous_below)
+
+    @classmethod
+    def from_weights(cls, languages: list[str], code: np.ndarray, weights: np.ndarray, margins: np.ndarray,
+                     ambiguous_below: float = 0.1) -> LanguageModel:
+        """``margins``: the mean margin of a language's n-grams, a column per bit."""
         scale = np.abs(margins).mean(axis=0) if len(languages) else np.ones(code.shape[1])
         scale[scale == 0] = 1.0
         trust = np.maximum(code * margins / scale, 1e-6)
@@ -153,8 +185,12 @@ class LanguageModel:
                     np.add.at(sums, owner[cuts], np.add.reduceat(self.weights[bucket], cuts, axis=0, dtype=np.float64))
                     np.add.at(grams, owner[cuts], np.diff(np.r_[cuts, len(owner)]))
         margin = sums / np.maximum(grams, 1)[:, None] / self.scale
-        loss = np.log1p(np.exp(-2 * margin[:, None, :] * self.code[None, :, :]))
-        far = (loss * self.trust[None, :, :]).sum(axis=2)
+        right, wrong = np.log1p(np.exp(-2 * margin)), np.log1p(np.exp(2 * margin))
+        far = np.empty((len(known), len(self.languages)))
+        some = max(1, ENTRIES // max(self.code.size, 1))
+        for at in range(0, len(known), some):
+            loss = np.where(self.code > 0, right[at:at + some, None, :], wrong[at:at + some, None, :])
+            far[at:at + some] = (loss * self.trust[None, :, :]).sum(axis=2)
         near = np.exp(-4 * (far - far.min(axis=1, keepdims=True)))
         share = near / near.sum(axis=1, keepdims=True)
         for row, k in enumerate(known):
@@ -165,41 +201,94 @@ class LanguageModel:
         return out
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", max_languages: int = 200,
-          bucket_bits: int = BUCKET_BITS) -> LanguageModel:
-    """The model of all rows of ``docs`` with a language and a text.
+def counted(rows: DataFrame, languages: list[str], bucket_bits: int = BUCKET_BITS) -> DataFrame:
+    """N-gram counts of ``rows`` (text, language), those above zero: ``lang``
+    (its place in ``languages``), ``bucket``, ``n``.
 
-    Each task counts its rows' n-grams into a table of languages by buckets;
-    the tables are summed on Spark, and what reaches the driver is one such
-    table, whatever the number of rows.  ``max_languages`` bounds it: only
-    that many languages, the ones with the most rows, are learned.
+    A task holds the counts of ``LANGUAGES_AT_ONCE`` languages at most and
+    hands them on before it takes up another.
     """
-    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    top = [r[0] for r in rows.groupBy(F.col(lang).alias("lang")).count()
-           .orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
-    languages = sorted(top)
     number, size = {x: k for k, x in enumerate(languages)}, 1 << bucket_bits
-    counts = np.zeros((len(languages), size))
-    if not languages:
-        return LanguageModel.from_counts([], counts)
 
     def count(batches):
-        mine = np.zeros(len(languages) * size, np.int64)
+        mine: dict[int, np.ndarray] = {}
+
+        def handed_on():
+            at = [np.flatnonzero(n) for n in mine.values()]
+            lang = np.repeat(np.fromiter(mine, np.int64, len(mine)), [len(x) for x in at])
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(lang, pa.int64()), pa.array(np.concatenate([*at, np.zeros(0, np.int64)]), pa.int64()),
+                 pa.array(np.concatenate([*(n[x] for n, x in zip(mine.values(), at)), np.zeros(0, np.int64)]), pa.int64())],
+                ["lang", "bucket", "n"])
+            mine.clear()
+            return out
         for batch in batches:
             for texts, langs in zip(slices(batch.column(0)), slices(batch.column(1))):
-                pairs = [(t, number[x]) for t, x in zip(texts, langs) if x in number]
-                which = np.array([k for _, k in pairs], np.int64)
-                for owner, bucket in ngram_blocks([t for t, _ in pairs], bucket_bits):
-                    mine += np.bincount(which[owner] * size + bucket, minlength=len(mine))
-        at = np.flatnonzero(mine)
-        yield pa.RecordBatch.from_arrays([pa.array(at // size, pa.int64()), pa.array(at % size, pa.int64()),
-                                          pa.array(mine[at], pa.int64())], ["lang", "bucket", "n"])
-    summed = (rows.select(F.col(text).cast("string"), F.col(lang).cast("string"))
-              .mapInArrow(count, "lang long, bucket long, n long")
-              .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+                by_lang: dict[int, list[str]] = {}
+                for t, x in zip(texts, langs):
+                    by_lang.setdefault(number[x], []).append(t)
+                for k, own in by_lang.items():
+                    if k not in mine:
+                        if len(mine) == LANGUAGES_AT_ONCE:
+                            yield handed_on()
+                        mine[k] = np.zeros(size, np.int64)
+                    for _, bucket in ngram_blocks(own, bucket_bits):
+                        mine[k] += np.bincount(bucket, minlength=size)
+        yield handed_on()
+    return (rows.mapInArrow(count, "lang long, bucket long, n long")
+            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+
+
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", bucket_bits: int = BUCKET_BITS,
+          smoothing: float = 0.5) -> LanguageModel:
+    """The model of all rows of ``docs`` with a language and a text; every
+    language is learned, however rare.
+
+    The counts stay on Spark, a row per language and n-gram bucket that
+    occur together.  They are turned into weights a block of buckets at a
+    time, the smaller the more languages there are.  What reaches the driver
+    is the model itself: buckets by bits and languages by bits, and the bits
+    grow with the logarithm of the languages.
+    """
+    spark = docs.sparkSession
+    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+    languages = sorted(r[0] for r in rows.select("lang").distinct().collect())
+    size = 1 << bucket_bits
+    if not languages:
+        return LanguageModel.from_counts([], np.zeros((0, size)))
+    code = codewords(len(languages))
+    counts = materialise(counted(rows, languages, bucket_bits), "ngrams")
+    totals = np.full(len(languages), smoothing * size)
+    for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect():
+        totals[r["lang"]] += r["n"]
+    width = 1 << min(max((ENTRIES // len(languages)).bit_length() - 1, 0), max(bucket_bits - 5, 0))
+    kind = pa.schema([("of", pa.string()), ("id", pa.int64()), ("weights", pa.list_(pa.float64())),
+                      ("margins", pa.list_(pa.int64()))])
+
+    def block(found: pa.Table) -> pa.Table:
+        first = found["block"][0].as_py() * width
+        dense = np.zeros((len(languages), width))
+        found = found.filter(found["n"].is_valid())
+        dense[found["lang"].to_numpy(), found["bucket"].to_numpy() - first] = found["n"].to_numpy()
+        weights, margins = bit_weights(dense, totals, code, smoothing)
+        margins = np.rint(margins / STEP).astype(np.int64)
+        return pa.table([["bucket"] * width + ["lang"] * len(languages),
+                         [*range(first, first + width), *range(len(languages))],
+                         [*weights, *[None] * len(languages)], [*[None] * width, *margins]], schema=kind)
+    # every block has a row, also one without any count
+    blocks = (counts.withColumn("block", F.floor(F.col("bucket") / width))
+              .unionByName(spark.range(size // width).select(F.col("id").alias("block")), allowMissingColumns=True))
+    parts = materialise(blocks.groupBy("block").applyInArrow(
+        block, "of string, id long, weights array<double>, margins array<long>"), "bit-weights")
+    weights, margins = np.zeros((size, code.shape[1])), np.zeros(code.shape)
+    for r in parts.where("of = 'bucket'").select("id", "weights").toLocalIterator():
+        weights[r["id"]] = r["weights"]
+    summed = (parts.where("of = 'lang'").select("id", F.posexplode("margins").alias("bit", "margin"))
+              .groupBy("id", "bit").agg(F.sum("margin").alias("margin")))
     for r in summed.toLocalIterator():
-        counts[r["lang"], r["bucket"]] = r["n"]
-    return LanguageModel.from_counts(languages, counts)
+        margins[r["id"], r["bit"]] = r["margin"] * STEP
+    return LanguageModel.from_weights(languages, code, weights, margins)
 
 
 def predicted(text: Column, model: LanguageModel) -> Column:

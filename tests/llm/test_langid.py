@@ -6,6 +6,8 @@ import pytest
 
 from lettermon.llm.langid import UNKNOWN, LanguageModel, codewords, has_letter, identify, learn, ngram_blocks
 
+from .conftest import sentence
+
 SF = "/root/testdata/sf0.01"
 
 
@@ -55,6 +57,30 @@ def test_without_labels_or_with_one_language(spark):
     assert model.predict(["anything", "?"]) == [("xx", 1.0, False), (UNKNOWN, 0.0, False)]
 
 
+def test_every_language_is_learned(spark):
+    """More than 200 languages, the rarest with one row: each has n-grams of its own."""
+    def word(k):
+        return "".join(chr(0x4E00 + 40 * k + (7 * j * j + j) % 40) for j in range(30))
+    n = 230
+    rows = [(k, word(k), f"l{k:03}") for k in range(n) for _ in range(1 if k >= 200 else 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = learn(df)
+    assert model.languages == [f"l{k:03}" for k in range(n)]
+    assert [p[0] for p in model.predict([word(k) for k in range(n)])] == model.languages
+
+
+def test_counts_on_spark_give_the_same_model(spark):
+    rows = [(k, sentence(k, 20) + "äß"[k % 2] * (k % 3), "abc"[k % 3]) for k in range(30)]
+    model = learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    counts = np.zeros((3, 1 << 15))
+    for _, text, lang in rows:
+        for _, bucket in ngram_blocks([text]):
+            np.add.at(counts["abc".index(lang)], bucket, 1)
+    whole = LanguageModel.from_counts(["a", "b", "c"], counts)
+    assert (model.weights == whole.weights).all() and (model.code == whole.code).all()
+    assert model.scale == pytest.approx(whole.scale, rel=1e-8) and model.trust == pytest.approx(whole.trust, rel=1e-8)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver data not present")
 def test_held_out_accuracy(spark):
     from lettermon.llm.queries import op6_language_id, table
