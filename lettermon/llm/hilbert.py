@@ -84,6 +84,19 @@ def text_order(value: Column) -> Column:
     return F.when(value.isNull(), F.lit(-1)).otherwise(F.conv(head, 16, 10).cast("long"))
 
 
+def text_ranks(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with each of the string columns ``names`` replaced by the place
+    of its whole value among the column's distinct values in byte order,
+    from 0; null stays null.  Only distinct values are sorted, by range."""
+    for name in names:
+        values = numbered(df.select(F.col(name).alias("__value")).where(F.col(name).isNotNull()).distinct(), ["__value"], "__place")
+        # written, so that its size is known and a small one is sent to all tasks
+        values = materialise(values, f"ranks-{name}")
+        df = (df.join(values, F.col(name) == F.col("__value"), "left")
+              .withColumn(name, F.col("__place")).drop("__value", "__place"))
+    return df
+
+
 def quantised(df: DataFrame, dims: Mapping[str, Column], bits: int, accuracy: int = 10_000) -> list[Column]:
     """Cell coordinates of each dimension (integer columns; null comes
     first): how many of the ``2^bits - 1`` quantile cuts lie below.  The cuts
@@ -126,7 +139,8 @@ def shard_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     source: str = "source", shards: int = SHARDS, bits: int = 4) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``size`` (UTF-8 bytes of the
     text plus 1; null: 1), ``text_crc32`` (null counts as empty), ``curve``,
-    ``shard`` and ``slot``; the dimensions are language, source and size.
+    ``shard`` and ``slot``; the dimensions are language, source (both by
+    their whole names in byte order) and size.
 
     The law is ``rows``: shard counts differ by one at most, however large a
     source or a group of copies is.  Equal texts of one language and source
@@ -136,9 +150,9 @@ def shard_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     value = F.col(text).cast("string")
     meta = docs.select(F.col(doc_id).alias("doc_id"), (F.coalesce(F.octet_length(value), F.lit(0)) + 1).cast("long").alias("size"),
                        F.crc32(F.coalesce(value, F.lit("")).cast("binary")).alias("text_crc32"),
-                       text_order(F.col(lang).cast("string")).alias("lang"),
-                       text_order(F.col(source).cast("string")).alias("source"))
-    meta = materialise(meta, "shard-keys")  # the texts are read once; the cuts and the sort read this
+                       F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"))
+    meta = materialise(meta, "shard-names")  # the texts are read once; the ranks read this
+    meta = materialise(text_ranks(meta, "lang", "source"), "shard-keys")  # the cuts and the sort read this
     dims = {"lang": F.col("lang"), "source": F.col("source"), "size": F.col("size")}
     ties = [F.col("size"), F.col("text_crc32"), F.col("doc_id")]
     return hilbert_shards(meta, dims, ties, shards, bits, ["doc_id", "size", "text_crc32"])

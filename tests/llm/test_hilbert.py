@@ -4,7 +4,7 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from lettermon.llm.hilbert import curve_index, hilbert_shards, shard_documents, text_order, write_shards
+from lettermon.llm.hilbert import curve_index, hilbert_shards, shard_documents, text_order, text_ranks, write_shards
 from lettermon.llm.scratch import numbered
 
 
@@ -54,3 +54,22 @@ def test_shards_are_compact_and_written_as_files(spark, tmp_path):
     write_shards(df, shards, str(tmp_path / "out"), "id")
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 4096 and back.select("shard").distinct().count() == 16
+
+
+def test_whole_names_decide(spark):
+    """Sources and languages that share their first bytes still get cells of their own."""
+    def shards(source, lang="{:02}"):
+        rows = [(i, "t" * 5, lang.format(i % 3), source.format(i * 7 % 16)) for i in range(320)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        return {r["doc_id"]: (r["curve"], r["shard"], r["slot"]) for r in shard_documents(df, shards=16).collect()}
+    short = shards("{:02}")
+    assert len({c for c, *_ in short.values()}) == 48
+    assert shards("https://www.example.org/{:02}", "language-{:02}") == short
+
+
+def test_ranks_are_in_the_order_of_bytes(spark):
+    names = [None, "", "source_01", "source_02", "source_0", "é", "中", "A", "source_02"]
+    df = spark.createDataFrame([(n,) for n in names], "s string")
+    got = text_ranks(df.withColumn("r", F.col("s")), "r").collect()
+    order = sorted({n for n in names if n is not None}, key=str.encode)
+    assert sorted((str(s), r) for s, r in got) == sorted((str(n), None if n is None else order.index(n)) for n in names)
