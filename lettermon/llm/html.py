@@ -37,6 +37,31 @@ OUT_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner
 HEADER_WORDS = frozenset("banner header masthead".split())
 RAW = ("script", "style", "title", "textarea", "xmp", "noembed", "noframes")
 ARTICLE = ("article", "main")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Parts of an article whose id is mostly made of their own title, and the ids that name readers' comments all the same.
+TITLED = HEADINGS | {"p", "section"}
+COMMENT_IDS = frozenset("comment comments disqus replies respond".split())
+# The rules of HTML for end tags that are left out: what no end is looked for beyond, ...
+_TABLE = frozenset("caption table tbody td tfoot th thead tr".split())
+_SCOPE = frozenset("caption object table td template th".split())
+_SPECIAL = BLOCKS | frozenset("button iframe object select template".split())
+_LIST = _SPECIAL - {"address", "div", "p"}
+# ... which open elements a start tag ends, up to which other element, ...
+_ENDS = {
+    "li": ({"li"}, _LIST), "dt": ({"dt", "dd"}, _LIST), "dd": ({"dt", "dd"}, _LIST),
+    "td": ({"td", "th"}, {"tr", "table", "template"}), "th": ({"td", "th"}, {"tr", "table", "template"}),
+    "tr": ({"caption", "td", "th", "tr"}, {"table", "template"}),
+    **{x: (_TABLE - {"table"}, {"table", "template"}) for x in ("tbody", "tfoot", "thead")},
+    "option": ({"option"}, _SPECIAL), "optgroup": ({"option", "optgroup"}, _SPECIAL),
+    "button": ({"button"}, _SCOPE), "a": ({"a"}, _SPECIAL), **{x: (HEADINGS, _SPECIAL - HEADINGS) for x in HEADINGS},
+}
+# ... and up to which element an end tag looks for its start (others: a block up to _SCOPE, the rest up to _SPECIAL).
+_END_UP_TO = {
+    **{x: frozenset() for x in ARTICLE}, **{x: frozenset(("table", "template")) for x in _TABLE},
+    "li": _SCOPE | {"dir", "menu", "ol", "ul"}, "dt": _SCOPE | {"dl"}, "dd": _SCOPE | {"dl"},
+}
+#: Elements open at once; as in browsers, deeper ones take the place of the deepest.
+DEPTH = 512
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -48,24 +73,111 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|
 _PART = re.compile(r"[a-z]+|[0-9]+", re.I)
 
 
-def _names(attrs: str) -> set[str]:
-    return {w.lower() for m in _ATTR.finditer(attrs) for w in _PART.findall(m[2])}
+def _names(attrs: str, ids: bool = True) -> set[str]:
+    return {w.lower() for m in _ATTR.finditer(attrs) if ids or m[1].lower() != "id" for w in _PART.findall(m[2])}
 
 
 def _left_out(name: str, attrs: str, in_article: bool) -> bool:
     """Whether an element is no part of any article."""
     if name in OUT:
         return True
-    if name in ("html", "body", *ARTICLE) and not attrs:
+    if name in ("html", "head", "body", "main") or name == "article" and not attrs:
         return False
-    words = _names(attrs) if attrs else set()
+    titled = in_article and name in TITLED
+    words = _names(attrs, not titled) if attrs else set()
     if name == "header" or words & HEADER_WORDS:
         return not in_article  # an article's own header holds its title
-    if name in ("html", "body", "main"):
-        return False
+    if titled and name == "section" and any(
+            m[1].lower() == "id" and m[2].strip("\"' ").lower() in COMMENT_IDS for m in _ATTR.finditer(attrs)):
+        return True
     return bool(words & OUT_WORDS) or bool(attrs) and bool(_HIDDEN.search(attrs))
 
 
+class _Open:
+    """The open elements of a page, outermost first, and which of them, if
+    any, is left out (``out``, else -1).  Elements end as in HTML: by their
+    end tag, or, without one, by a sibling or with an element around them."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.starts: list[int] = []
+        self.counts: Counter = Counter()
+        self.out = -1
+        self.endless: set[int] = set()  # where elements start that ended without a tag of their own
+
+    def cut(self, k: int, own: int = 0) -> None:
+        """Close element ``k`` and all in it (``own``: 1 if by its own end tag)."""
+        self.endless.update(self.starts[k + own:])
+        for name in self.names[k:]:
+            self.counts[name] -= 1
+        del self.names[k:], self.starts[k:]
+        if self.out >= k:
+            self.out = -1
+
+    def find(self, wanted, stop, outermost: bool = False) -> int:
+        found = -1
+        if any(self.counts[w] for w in wanted):
+            for k in range(len(self.names) - 1, -1, -1):
+                if self.names[k] in wanted:
+                    found = k
+                    if not outermost:
+                        break
+                elif self.names[k] in stop:
+                    break
+        return found
+
+    def _paragraph(self) -> None:
+        if self.counts["p"] and (k := self.find(("p",), _SCOPE | {"button"})) >= 0:
+            self.cut(k)  # a block ends an open paragraph
+
+    def before(self, name: str) -> None:
+        """Close what a start tag ends."""
+        if name in BLOCKS:
+            self._paragraph()
+        if name in _ENDS and (k := self.find(*_ENDS[name], outermost=True)) >= 0:
+            self.cut(k)
+
+    def push(self, name: str, start: int) -> None:
+        if len(self.names) >= DEPTH:
+            if self.out == len(self.names) - 1:
+                return
+            self.cut(len(self.names) - 1)
+        self.names.append(name)
+        self.starts.append(start)
+        self.counts[name] += 1
+
+    def end(self, name: str) -> bool:
+        """Close what an end tag ends; whether there was any."""
+        if name in BLOCKS and name != "p":
+            self._paragraph()
+        wanted = HEADINGS if name in HEADINGS else (name,)
+        k = self.find(wanted, _END_UP_TO.get(name, _SCOPE if name in BLOCKS or name in OUT else _SPECIAL))
+        if k < 0 <= self.out and self.names[self.out] in wanted and not any(x in wanted for x in self.names[self.out + 1:]):
+            k = self.out
+        if k >= 0:
+            self.cut(k, 1)
+        return k >= 0
+
+
+def _opens(name: str, attrs: str) -> bool:
+    return name not in VOID and name not in ("html", "head", "body") and not attrs.rstrip().endswith("/")
+
+
+def _endless(markup: str) -> set[int]:
+    """Where the elements of a page start that have no end tag."""
+    open_ = _Open()
+    for m in _TOKEN.finditer(markup):
+        name = (m["name"] or "").lower()
+        if name and m["end"]:
+            open_.end(name)
+        elif name:
+            open_.before(name)
+            if _opens(name, m["attrs"]):
+                open_.push(name, m.start())
+    open_.cut(0)
+    return open_.endless
+
+
 class Page:
     """A page as tokens: ``(feature, words, block, in article, left out)``;
     tags have no words, words carry the block they belong to."""
@@ -74,11 +186,11 @@ class Page:
         self.tokens: list[tuple[str, int, int, bool, bool]] = []
         self.blocks: list[list[str]] = [[]]
         self.labelled = False
-        out_name, out_depth = "", 0
+        open_, endless, runs_on = _Open(), None, {}
         article = links = heads = items = 0
         at, markup = 0, markup or ""
         for m in _TOKEN.finditer(markup):
-            self._words(markup[at:m.start()], links, heads, items, article, out_depth)
+            self._words(markup[at:m.start()], links, heads, items, article, open_.out >= 0)
             at = m.end()
             name = (m["name"] or "").lower()
             if not name:
@@ -87,21 +199,37 @@ class Page:
             if name in BLOCKS:
                 if self.blocks[-1]:
                     self.blocks.append([])
-                if out_name == "p" and not (end and name == "p"):
-                    out_depth = 0  # a block ends an open paragraph
                 if not end:
                     links = 0
             elif name == "br":
                 self.blocks[-1].append(" ")
-            if out_depth and name == out_name and name not in VOID:
-                out_depth += -1 if end else 1
-            elif not out_depth and not end and _left_out(name, attrs, article > 0):
-                if name not in VOID and not attrs.rstrip().endswith("/"):
-                    out_name, out_depth = name, 1
-                self.tokens.append((_feature(name), 0, -1, article > 0, True))
-                continue
+            if end:
+                if not open_.end(name) and name in ARTICLE and article and open_.out >= 0:
+                    open_.cut(open_.out)
+            else:
+                open_.before(name)
+                if open_.out >= 0 and name in ARTICLE and not _left_out(name, attrs, article > 0):
+                    # an article inside stays out, unless it is only inside because an end tag is missing
+                    out = open_.starts[open_.out]
+                    if out not in runs_on:
+                        endless = _endless(markup) if endless is None else endless
+                        runs_on[out] = any(s in endless for n, s in zip(open_.names, open_.starts[:open_.out + 1])
+                                           if n == open_.names[open_.out])
+                    if runs_on[out]:
+                        open_.cut(open_.out)
+                        links = heads = items = 0
+                opens = _opens(name, attrs)
+                if open_.out < 0 and _left_out(name, attrs, article > 0):
+                    if opens:
+                        open_.push(name, m.start())
+                        open_.out = len(open_.names) - 1
+                    self.tokens.append((_feature(name), 0, -1, article > 0, True))
+                    continue
+                if opens:
+                    open_.push(name, m.start())
+            out = open_.out >= 0
             step = -1 if end else 1
-            if name in ARTICLE and not out_depth:
+            if name in ARTICLE and not out:
                 article = max(0, article + step)
                 self.labelled = True
             elif name == "a":
@@ -113,16 +241,16 @@ class Page:
             elif name in ("ul", "ol") and end:
                 items = 0
             if name not in ARTICLE:
-                self.tokens.append((_feature(name), 0, -1, article > 0, out_depth > 0))
-        self._words(markup[at:], links, heads, items, article, out_depth)
+                self.tokens.append((_feature(name), 0, -1, article > 0, out))
+        self._words(markup[at:], links, heads, items, article, open_.out >= 0)
 
-    def _words(self, text: str, links: int, heads: int, items: int, article: int, out: int) -> None:
+    def _words(self, text: str, links: int, heads: int, items: int, article: int, out: bool) -> None:
         if not text:
             return
         text = _html.unescape(text)
         if n := len(text.split()):
             kind = "word in link" if links else "word in heading" if heads else "word in item" if items else "word"
-            self.tokens.append((kind, n, len(self.blocks) - 1, article > 0, out > 0))
+            self.tokens.append((kind, n, len(self.blocks) - 1, article > 0, out))
         if not out:
             self.blocks[-1].append(text)
 

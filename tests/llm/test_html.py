@@ -7,6 +7,9 @@ from lettermon.llm.html import LEAST_TAG, LEAST_WORD, Page, extract_main_text, l
 WEIGHTS = {"word": 3.0, "word in link": 0.05, "word in heading": 3.0, "word in item": 1.0, "tag p": -0.05, "tag h1": -0.05,
            "tag b": -0.05, "tag br": -0.05, "tag a": -1.0, "tag li": -0.05, "tag ul": -0.5, "tag div": -4.0, "tag html": -4.0}
 
+FLAT = {k: -0.05 if k.startswith("tag") else v for k, v in WEIGHTS.items()} | {"tag table": -0.05, "tag tr": -0.05, "tag td": -0.05,
+                                                                               "tag aside": -0.05, "tag h2": -0.05}
+
 
 def text(markup, weights=WEIGHTS):
     return Page(markup).text(weights)
@@ -37,6 +40,45 @@ def test_broken_markup():
     assert text("<" * 20_000) == "<" * 20_000
 
 
+@pytest.mark.parametrize("before", [
+    '<ul><li class="social">a<li>b</ul>', '<ul><li>b<li class="social">a</ul>', '<ul><li class="social"><div>a</ul>',
+    '<dl><dt class="ad">a<dd>b</dl>', '<dl><dt>b<dd class="ad"><b>a</dl>', '<table><tr class="promo"><td>a<tr><td>b</table>',
+    '<table><tr><td class="sidebar">a<td>b</table>', '<table><tbody><tr><td>b<td class="sidebar"><p>a</table>',
+    '<div class="sidebar">a', '<div><div class="sidebar">a', '<nav><ul><li>a', '<div><nav>a</div>', '<aside><p>a',
+    '<form><input><p>a', '<p class="notice">a', '<select><option>a</select>', '<div><a class="share" href=x>a</div>'])
+def test_missing_end_tags_keep_the_article(before):
+    weights = WEIGHTS | {"word in item": 0.0, "word in link": 0.0, "tag table": -9.0, "tag dl": -9.0, "tag ul": -9.0, "tag main": -9.0}
+    for name in ("article", "main"):
+        page = f"{before}<{name}><p>Text of the article</p></{name}><div>x</div>"
+        assert text(page, weights) == "Text of the article", page
+        assert text(f"<body class='page banner'><div id=page>{page}</div></body>", weights) == "Text of the article", page
+
+
+def test_left_out_elements_end_inside_an_article():
+    assert text("<article><p>one</p><ul><li class=share>a<li>two</ul><p>three</p></article>", FLAT) == "one\ntwo\nthree"
+    assert text("<article><p>one</p><table><tr><td class=ad>a<td>two</table><p>three</p></article>", FLAT) == "one\ntwo\nthree"
+    assert text("<article><p>one</p><aside>a</article><p>two</p>", FLAT) == "one\ntwo"
+    assert text("<article><p>one</p><div class=ad>a<div>b</div>c</div><p>two</p></article>", FLAT) == "one\ntwo"
+
+
+def test_articles_in_closed_left_out_elements_stay_out():
+    cards = "<article><p>card</p></article>" * 2
+    for box in (f"<aside>{cards}</aside>", f"<div class=related><div>{cards}</div></div>", f'<section id="comments">{cards}</section>'):
+        assert text(f"<article><p>Text</p></article>{box}") == text(f"{box}<article><p>Text</p></article>") == "Text"
+
+
+def test_ids_of_titles_do_not_decide_in_an_article():
+    for start, end in (('<h2 id="related-work">', "</h2>"), ('<h2 id="search">', "</h2>"), ("<section id='social-context'><p>", "</section>"),
+                       ("<p id=comment-on-x>", "</p>")):
+        assert text(f"<article><p>one</p>{start}two{end}<p>three</p></article>") == "one\ntwo\nthree"
+    assert text("<article><p>one</p><h2 class=related>two</h2><div id=related-posts>x</div><p>three</p></article>", FLAT) == "one\nthree"
+
+
+def test_long_broken_pages_take_linear_time():
+    for piece in ("<b>", "<div>", "<li class=ad>", "<div class=ad><article>", "</a>", "<a><table></a>"):
+        assert text(piece * 30_000) == ""
+
+
 def test_best_run_is_contiguous_and_maximal():
     junk = "<div>x</div>" * 5
     assert text(f"{junk}<p>the main text of it</p><p>goes on here</p>{junk}") == "the main text of it\ngoes on here"
