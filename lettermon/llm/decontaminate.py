@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import slices
-from .scratch import FILE, ROW, located, materialise
+from .scratch import FILE, ROW, located, materialise, scratch
 from .words import word_blocks
 
 SHINGLE, CONTAINMENT = 5, 0.8
@@ -152,23 +152,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     ``item_id``, ``shared`` and ``shingles`` (distinct, of the item),
     ``containment``, and the row's place ``__file``, ``__row``.
 
-    The items go to the tasks in blocks of about ``block_words`` words,
-    chosen by a hash of the id, each with a pass over the documents, so what
-    is sent at once has a bound whatever the number of items.  Documents are
-    never shuffled.  Null and empty texts contain nothing and null or empty
+    The items, repeated ones once, go to the tasks in blocks of about
+    ``block_words`` words, chosen by a hash of id and text, each with a pass
+    over the documents.  A block's hits are written before the next block is
+    collected, so the driver and what is sent hold one block at a time,
+    whatever the number of items.  Documents are never shuffled.  Null and empty texts contain nothing and null or empty
     items are contained nowhere; repeated rows get the same answers.
     """
     docs = located(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), FILE, ROW)
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
+    items = materialise(benchmark.select(
+        F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).distinct(), "items")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / 2 / block_words))  # a word and its space: two characters at least
-    out = None
+    path = scratch(docs.sparkSession, "hits")
     for b in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        index = ItemIndex(sorted(set(map(tuple, mine.collect())), key=str), shingle, containment)
-        found = _search(docs, index)
-        out = found if out is None else out.unionByName(found)
-    return out
+        found = _search(docs, ItemIndex(sorted(map(tuple, mine.collect()), key=str), shingle, containment))
+        found.write.mode("append").parquet(path)
+    return docs.sparkSession.read.schema(found.schema).parquet(path)
 
 
 def _search(docs: DataFrame, index: ItemIndex) -> DataFrame:

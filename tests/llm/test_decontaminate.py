@@ -81,3 +81,25 @@ def test_tables(spark, docs, no_docs):
         str(r[0]) for r in docs.select("doc_id").collect() if str(r[0]) not in hit)
     assert decontaminate(docs, items.limit(0)).count() == docs.count()
     assert decontaminate(no_docs, items).collect() == []
+
+
+def test_repeated_items_are_one_and_blocks_do_not_add_up(spark, monkeypatch):
+    """An item in a thousand rows makes one block, and no index stays in the plan of the hits."""
+    from lettermon.llm import decontaminate as module
+
+    made = []
+
+    def index(items, *options):
+        made.append(list(items))
+        return ItemIndex(made[-1], *options)
+    monkeypatch.setattr(module, "ItemIndex", index)
+    names = ["alpha beta gamma delta epsilon", "one two three four five", "uno dos tres cuatro cinco"]
+    docs = spark.createDataFrame(list(enumerate(names)), "doc_id long, text string")
+    one = spark.createDataFrame([(7, names[0])] * 1000, "item_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in contaminated(docs, one, block_words=20).collect()] == [(0, 7)]
+    assert made == [[(7, names[0])]]
+    made.clear()
+    all_items = spark.createDataFrame(list(enumerate(names)), "item_id long, text string")
+    hits = contaminated(docs, all_items, block_words=5)
+    assert len(made) > 1 and "ArrowEvalPython" not in hits._jdf.queryExecution().toString()
+    assert sorted((r["doc_id"], r["item_id"]) for r in hits.collect()) == [(k, k) for k in range(3)]
