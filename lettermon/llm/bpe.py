@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .batches import slices
 
 #: Characters of a leaf at most, and of a text that is encoded as a tree at least.
-LEAF, TREE_OVER = 1 << 12, 1 << 16
+LEAF, TREE_OVER = 1 << 12, 1 << 15
 WINDOW = 8
 _SPACE = re.compile(r"[ \t\r\n]+")
 _VOCABULARIES: dict[int, dict[int, str]] = {}

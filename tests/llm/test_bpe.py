@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from lettermon.llm.bpe import TreeEncoder, decode_batch, decoded, encode_round_trip, load_tokenizer, token_ids
+from lettermon.llm.bpe import TREE_OVER, TreeEncoder, decode_batch, decoded, encode_round_trip, load_tokenizer, token_ids
 from lettermon.llm.queries import tokenizer_path
 
 PARTS = ["a", "b", "the", "<|endoftext|>", "<|start", "oftext|>", "'", "'s", "'ll", "!!!", "é", "e\u0301", "\u0301", "ß", "\u0130",
@@ -72,3 +72,12 @@ def test_odd_documents(docs, no_docs, tok):
         got = encode_round_trip(docs, tokenizer_path(), **sizes).collect()
         assert sorted((str(r[0]), r[1], r[2], r[3]) for r in got) == want
     assert encode_round_trip(no_docs, tokenizer_path()).collect() == []
+
+
+def test_texts_from_32768_characters_on_are_trees(monkeypatch):
+    encoder = TreeEncoder(load_tokenizer(tokenizer_path()), over=TREE_OVER)
+    trees, tree = [], encoder._tree
+    monkeypatch.setattr(encoder, "_tree", lambda text: trees.append(len(text)) or tree(text))
+    texts = [("Some words, über 12 of them.\n" * 2000)[:n] for n in (30_000, 40_000)]
+    assert encoder.encode_batch(texts) == [encoder.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert trees == [40_000]
