@@ -12,6 +12,7 @@ from .queries import URL_RULES
 
 _UP, _LOW = urls.UPPER, urls.LOWER
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _rule_case(column: str) -> str:
@@ -109,10 +110,72 @@ SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS se
 FROM conversations
 """
 
+RANKED = rf"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS d, doc_id, unnest(regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '{_TERMS}')) AS term
+  FROM documents WHERE text IS NOT NULL),
+sizes AS (SELECT d, doc_id, count(*) AS n FROM doc_words GROUP BY d, doc_id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM sizes),
+tfs AS (SELECT d, term, count(*) AS tf FROM doc_words GROUP BY d, term),
+terms AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, totals GROUP BY term),
+items AS (SELECT DISTINCT item_id, text FROM benchmark),
+item_terms AS (
+  SELECT i, item_id, term, count(*) AS repeats
+  FROM (SELECT row_number() OVER () AS i, item_id,
+               unnest(regexp_extract_all(translate(text, '{_UP}', '{_LOW}'), '{_TERMS}')) AS term FROM items)
+  GROUP BY i, item_id, term),
+scores AS (
+  SELECT i, item_id, d, doc_id,
+         CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // len)))) AS BIGINT) AS score
+  FROM item_terms JOIN terms USING (term) JOIN tfs USING (term) JOIN sizes USING (d), totals
+  GROUP BY i, item_id, d, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
+PHRASES = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[.,;:!?
+-]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS ws FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM worded GROUP BY lang),
+grams AS (
+  SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i
+  FROM worded, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(ws) >= k),
+f AS (
+  SELECT lang, k, phrase, count(*) AS a FROM (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM grams)
+  GROUP BY lang, k, phrase HAVING count(*) >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, c.cut,
+         CAST(CAST(2000000 AS HUGEINT) * c.a // (l.a + r.a) AS BIGINT) AS score
+  FROM (SELECT lang, phrase, a, k, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS cut FROM f WHERE k > 1) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:c.cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[c.cut + 1:], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, a, ws, k, m, unnest(range(1, k - m + 2)) AS i
+        FROM (SELECT lang, a, k, string_split(phrase, ' ') AS ws, unnest(range(2, k)) AS m FROM f WHERE k > 2))
+  GROUP BY ALL)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT w.*, t.n, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, CAST(encode(w.phrase) AS BLOB)) AS rank
+      FROM weakest w JOIN totals t ON t.lang = w.lang
+      LEFT JOIN inner_ i ON i.lang = w.lang AND i.phrase = w.phrase
+      WHERE i.longer IS NULL OR CAST(100 AS HUGEINT) * i.longer < CAST(80 AS HUGEINT) * w.a)
+WHERE rank <= 2000
+"""
+
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": _url_filter(),
     "op3_exact_dedup": EXACT,
     "op5_decontamination": DECONTAMINATION,
     "op9_chat_formatting": CHATS,
+    "op11_ranked_search": RANKED,
+    "op13_phrases": PHRASES,
 }

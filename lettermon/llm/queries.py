@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact, hilbert, html, langid, licenses, simhash, toolchat, urls
+from . import balltree, bpe, decontaminate, exact, hilbert, html, langid, licenses, phrases, simhash, toolchat, toxicity, urls
 
 # Rules for parts of sites.
 URL_RULES = (
@@ -85,8 +85,21 @@ def op10_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_url_filter, op3_exact_dedup, op4_html_extraction, op5_decontamination, op6_language_id,
-        op7_simhash, op8_bpe, op9_chat_formatting, op10_hilbert_sharding)
+        op7_simhash, op8_bpe, op9_chat_formatting, op10_hilbert_sharding, op11_ranked_search, op12_toxicity,
+        op13_phrases)
 }
