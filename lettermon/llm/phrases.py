@@ -7,10 +7,14 @@ the proposed phrases and their negative border: those that were not
 proposed but whose two shorter phrases were (every word is on it).  The
 border need not be written out: a phrase of it that does not occur has count 0,
 so a task tells by the two shorter phrases whether one that occurs is on it.
-A border phrase that turns out to be frequent is a failure of the sample:
-phrases that hold it may be frequent too and were not counted, so what is
-frequent by now becomes the next proposal and a further pass counts what
-this adds, until no failure is left.
+
+A border phrase that turns out to be frequent is a failure of the sample,
+and what holds it may be frequent too.  An expansion pass counts every
+phrase that holds a failure, was not counted yet and has frequent words only
+(those are known: every word was counted).  That closes the search: a
+frequent phrase that the first pass did not count holds a shortest frequent
+one that was not proposed, and the first pass did count that one and made it
+a failure.
 
 What was proposed goes to the tasks as a bitmap of hashes of bounded size.
 A phrase that meets a set bit by chance is counted without need; none that
@@ -21,6 +25,7 @@ Counts are of the phrases themselves, not of hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +68,18 @@ def text_hashes(texts: pa.Array) -> np.ndarray:
     return _mixed(np.add.reduceat(data * powers[place], at[:-1]) + lengths.astype(_U))
 
 
+def dense(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different codes (below ``size``) in order, and the number of each place's code among them."""
+    if size > 1 << 24:
+        return np.unique(codes, return_inverse=True)
+    there = np.zeros(size, bool)
+    there[codes] = True
+    known = np.flatnonzero(there)
+    number = np.empty(size, np.int32)
+    number[known] = np.arange(len(known), dtype=np.int32)
+    return known, number[codes]
+
+
 class Bitmap:
     """Set of hashes with false positives: one bit each of ``2 ** bits``."""
 
@@ -110,76 +127,102 @@ def _long_texts_cut(texts: list[bytes], limit: int) -> Iterator[bytes]:
         yield text[at:]
 
 
+@dataclass
+class Expansion:
+    """What an expansion pass is for: ``failures`` of the border, and all frequent ``words``."""
+    failures: Bitmap
+    words: Bitmap
+
+
 class PhraseCounter:
     """Counts phrases of up to ``max_words`` words in batches of texts.
 
-    With bitmaps ``b1 .. bn`` those are counted that ``bn`` makes eligible
-    and no earlier one does: a bitmap makes every word eligible, and a longer
-    phrase if its two shorter ones are eligible by it and in it.  ``level``
-    restricts the answer to phrases of so many words.
+    Every word is eligible, and a longer phrase if its two shorter ones are
+    eligible and ``proposed``.  Eligible phrases are counted (``level``: only
+    those of so many words); with ``expansion`` those that are not eligible,
+    hold a failure and have frequent words only.
     """
 
-    def __init__(self, bitmaps: list[Bitmap], max_words: int = MAX_WORDS, level: int | None = None):
-        self.bitmaps, self.max_words, self.level = bitmaps, max_words, level
-        self.new = np.uint32(1 << max(len(bitmaps) - 1, 0))
-        self.old = np.uint32(self.new - 1)
-
-    def _members(self, keys: np.ndarray) -> np.ndarray:
-        found = np.zeros(len(keys), np.uint32)
-        for i, b in enumerate(self.bitmaps):
-            found |= b.has(keys).astype(np.uint32) << np.uint32(i)
-        return found
+    def __init__(self, proposed: Bitmap | None, max_words: int = MAX_WORDS, level: int | None = None,
+                 expansion: Expansion | None = None):
+        self.proposed, self.max_words, self.level, self.expansion = proposed, max_words, level, expansion
 
     def count(self, langs: pa.Array, words: Words) -> Iterator[pa.RecordBatch]:
-        """Batches of ``lang``, ``phrase``, ``words``, ``key``, ``proposed``
-        (whether it is in the newest bitmap) and ``n``; words 0: all words."""
+        """Batches of ``lang``, ``phrase``, ``words``, ``key``, ``proposed`` and ``n``; words 0: all words."""
         lang = pc.fill_null(langs.cast(pa.string()), UNKNOWN).dictionary_encode()
         names, size = lang.dictionary, max(len(words.texts), 1)
-        of = lang.indices.to_numpy()[words.owner].astype(np.int64)
-        if self.level in (None, 0, 1) and not self.old:
+        of = lang.indices.to_numpy()[words.owner]
+        if self.level in (None, 1) and not self.expansion:
+            n = np.bincount(of, minlength=len(names))
             yield self._rows(names, np.arange(len(names)), pa.array([b""] * len(names), pa.large_binary()), 0,
-                             np.zeros(len(names), _U), np.zeros(len(names), bool), np.bincount(of, minlength=len(names)))
+                             np.zeros(len(names), _U), np.zeros(len(names), bool), n)
         if not len(words.ids):
             return
-        codes, ids, n = np.unique(of * size + words.ids, return_inverse=True, return_counts=True)
-        base = len(codes)
-        first_lang, texts = codes // size, words.texts.take(pa.array(codes % size))
-        word_keys = _mixed(text_hashes(words.texts)[codes % size])
-        langs_of = first_lang
+        pair, ids = dense(of.astype(np.int64) * size + words.ids, len(names) * size)
+        langs_of, texts = pair // size, words.texts.take(pa.array(pair % size))
         seeds = _mixed(text_hashes(pc.binary_join_element_wise(names.cast(pa.binary()), b"", b"l")))
-        keys = _mixed(word_keys ^ seeds[langs_of])
-        eligible = np.full(base, self.new | self.old, np.uint32)
-        phrases, places, level_ids = texts, np.arange(len(words.ids)), ids.astype(np.int64)
-        word_at, level_at = ids.astype(np.int64), np.full(len(words.ids) + 1, -1, np.int64)
+        word_keys = _mixed(text_hashes(words.texts)[pair % size] ^ seeds[langs_of])
+        self._block = (names, langs_of, texts, word_keys)
+        total = len(ids)
+        joined = np.append(words.joined, False)
+        at, keys = np.arange(total), word_keys[ids]  # places of eligible phrases of k words, and their hashes
+        touched = np.zeros(total + 1, bool)
+        if self.expansion:
+            usual = np.append(self.expansion.words.has(word_keys)[ids], False)
         for k in range(1, self.max_words + 1):
-            members = self._members(keys)
-            wanted = ((eligible & self.new) != 0) & ((eligible & self.old) == 0)
-            if self.level not in (None, k):
-                wanted[:] = False
-            if wanted.any():
-                at = np.flatnonzero(wanted)
-                yield self._rows(names, langs_of[at], phrases.take(pa.array(at)), k, keys[at],
-                                 (members[at] & self.new) != 0, n[at])
-            if k == self.max_words or k == self.level:
-                return
-            # the phrases of k + 1 words: one of k words here and one a word further on, in one piece
-            extends = eligible & members
-            level_at[:] = -1
-            level_at[places] = level_ids
-            on = places[(places + 1 < len(word_at)) & (extends[level_ids] != 0)]
-            on = on[words.joined[on + 1] & (level_at[on + 1] >= 0)]
-            both = extends[level_at[on]] & extends[level_at[on + 1]]
-            on = on[both != 0]
-            if not len(on):
+            eligible = np.zeros(total + 1, bool)
+            eligible[at] = True
+            if self.expansion:
+                # touched: holds a failure and only frequent words; before: of the two shorter phrases
+                wanted = np.flatnonzero(touched[:total] & ~eligible[:total]) if k > 1 else at[:0]
+                touched[at] |= self.expansion.failures.has(keys) & (usual[at] if k == 1 else True)
+            else:
+                wanted = at if self.level in (None, k) else at[:0]
+            if len(wanted):
+                yield from self._counted(ids, wanted, k)
+            if k in (self.max_words, self.level):
                 return
-            codes, level_ids, n = np.unique(level_at[on] * base + word_at[on + k], return_inverse=True, return_counts=True)
-            level_ids = level_ids.astype(np.int64)
-            head, tail = codes // base, codes % base
-            some = np.empty(len(codes), np.int64)
-            some[level_ids] = on  # a place of each phrase
-            eligible = extends[level_at[some]] & extends[level_at[some + 1]]
-            phrases = pc.binary_join_element_wise(phrases.take(pa.array(head)), texts.take(pa.array(tail)), pa.scalar(b" ", pa.large_binary()))
-            keys, langs_of, places = _mixed(keys[head] * _U(0x9E3779B97F4A7C15) + word_keys[tail]), langs_of[head], on
+            extends = np.zeros(total + 1, bool)
+            if self.proposed is not None:
+                extends[at] = self.proposed.has(keys)
+            on = at[extends[at] & extends[at + 1]]
+            if k == 1:
+                on = on[joined[on + 1]]
+            on = on[on + k < total]
+            spot = np.searchsorted(at, on)
+            at, keys = on, _mixed(keys[spot] * _U(0x9E3779B97F4A7C15) + word_keys[ids[on + k]])
+            if self.expansion:
+                whole = joined[1:] & usual[:-1] & usual[1:] if k == 1 else whole[:-1] & whole[1:]
+                whole = np.append(whole, False)
+                touched[:-1] |= touched[1:]
+                touched &= whole[:total + 1]
+
+    def _counted(self, ids: np.ndarray, at: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+        """Counts of the phrases of ``k`` words that begin at the places ``at``."""
+        names, langs_of, texts, word_keys = self._block
+        base = len(texts)
+        if k == 1:
+            n = np.bincount(ids[at], minlength=base)
+            parts = [np.flatnonzero(n)]
+            n = n[parts[0]]
+        elif base ** k < 1 << 62:
+            code = ids[at].astype(np.int64)
+            for m in range(1, k):
+                code = code * base + ids[at + m]
+            code, n = np.unique(code, return_counts=True)
+            parts = []
+            for _ in range(k):
+                code, last = np.divmod(code, base)
+                parts.insert(0, last)
+        else:
+            rows, n = np.unique(np.column_stack([ids[at + m] for m in range(k)]), axis=0, return_counts=True)
+            parts = list(rows.T)
+        keys, phrase = word_keys[parts[0]], texts.take(pa.array(parts[0]))
+        for p in parts[1:]:
+            keys = _mixed(keys * _U(0x9E3779B97F4A7C15) + word_keys[p])
+            phrase = pc.binary_join_element_wise(phrase, texts.take(pa.array(p)), pa.scalar(b" ", pa.large_binary()))
+        proposed = np.zeros(len(n), bool) if self.proposed is None else self.proposed.has(keys)
+        yield self._rows(names, langs_of[parts[0]], phrase, k, keys, proposed, n)
 
     @staticmethod
     def _rows(names, lang, phrase, k, keys, proposed, n) -> pa.RecordBatch:
@@ -189,13 +232,13 @@ class PhraseCounter:
             ["lang", "phrase", "words", "key", "proposed", "n"])
 
 
-def counted(rows: DataFrame, bitmaps: list[Bitmap], least: int, max_words: int = MAX_WORDS,
-            level: int | None = None) -> DataFrame:
+def counted(rows: DataFrame, proposed: Bitmap | None, least: int, max_words: int = MAX_WORDS, level: int | None = None,
+            expansion: Expansion | None = None) -> DataFrame:
     """Of ``rows`` (text, lang) the phrases that :class:`PhraseCounter` counts
     and that occur ``least`` times, with their exact counts: ``lang``,
     ``phrase``, ``words``, ``key``, ``proposed``, ``n``.  The row of 0 words
     has all words of a language and stays however few they are."""
-    counter = PhraseCounter(bitmaps, max_words, level)
+    counter = PhraseCounter(proposed, max_words, level, expansion)
 
     def count(batches):
         for batch in batches:
@@ -216,11 +259,11 @@ def sampled(rows: DataFrame, least: int, max_words: int, share: float, seed: int
     """The phrases that a sample of the rows proposes, mined level by level."""
     sample = materialise(rows.sample(share, seed), "phrase-sample")
     low = max(1, int(least * share * LOWERED))
-    found, bitmaps = None, []
-    for k in range(1, max_words + 1):
-        more = materialise(counted(sample, bitmaps, low, max_words, k).where(F.col("words") == k), f"sample-{k}")
+    found, proposed = None, None
+    for k in range(1, max_words):  # phrases of all words extend to nothing, so they need no proposal
+        more = materialise(counted(sample, proposed, low, max_words, k).where(F.col("words") == k), f"sample-{k}")
         found = more if found is None else found.unionByName(more)
-        bitmaps = [bitmap_of(found)]
+        proposed = bitmap_of(found)
     return found
 
 
@@ -231,18 +274,16 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     ``n``; the row of 0 words has the language's number of words.
 
     ``proposals`` (``key``) takes the place of the sample's.  The result does
-    not depend on them, only the number of passes does, at most
-    ``max_words``.
+    not depend on them; if all that is frequent was proposed there is one
+    pass, else two.
     """
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    bitmaps = [bitmap_of(sampled(rows, least, max_words, sample) if proposals is None else proposals)]
-    found = materialise(counted(rows, bitmaps, least, max_words), "phrases")
-    fresh = found
-    # a phrase of all words cannot be extended; any other that is frequent but was not proposed is a failure of the border
-    while not fresh.where(~F.col("proposed") & F.col("words").between(1, max_words - 1)).isEmpty():
-        bitmaps = [*bitmaps, bitmap_of(found.where("words > 0"))]
-        fresh = materialise(counted(rows, bitmaps, least, max_words).where("words > 0"), "phrases")
-        found = found.unionByName(fresh)
+    proposed = bitmap_of(sampled(rows, least, max_words, sample) if proposals is None else proposals)
+    found = materialise(counted(rows, proposed, least, max_words), "phrases")
+    failures = found.where(~F.col("proposed") & F.col("words").between(1, max_words - 1))
+    if not failures.isEmpty():
+        expansion = Expansion(bitmap_of(failures), bitmap_of(found.where("words = 1")))
+        found = found.unionByName(materialise(counted(rows, proposed, least, max_words, expansion=expansion), "phrases"))
     return found.select("lang", "phrase", "words", "n")
 
 

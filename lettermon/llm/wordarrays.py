@@ -11,7 +11,7 @@ import pyarrow as pa
 #: Kinds of bytes: of a word, between words, and between words that no phrase spans.
 IN_WORD, BLANK, BREAK = 0, 1, 2
 #: Bytes of text that are taken up at once.
-BLOCK = 1 << 22
+BLOCK = 1 << 23
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
@@ -46,12 +46,12 @@ def words_of(texts: pa.Array, kinds: np.ndarray) -> Words:
     first = at[:-1][np.diff(at) > 0]
     start[first] = in_word[first]  # a word does not go on in the next text
     places = np.flatnonzero(start)
-    before = np.cumsum(in_word, dtype=np.int64)
-    offsets = np.append(before[places] - 1, before[-1] if len(before) else 0).astype(np.int64)
+    before = np.cumsum(in_word, dtype=np.int32 if len(data) < 1 << 31 else np.int64)
+    offsets = np.append(before[places].astype(np.int64) - 1, before[-1] if len(before) else 0)
     letters = _LOWER[data[in_word]]
     words = pa.Array.from_buffers(pa.large_binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
     coded = words.dictionary_encode()
-    owner = np.searchsorted(at, places, side="right") - 1
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(places, at)))
     joined = np.zeros(len(places), bool)
     joined[1:] = owner[1:] == owner[:-1]
     if (kind == BREAK).any():
