@@ -35,6 +35,11 @@ OUT_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner
     pagination popup promo promoted related replies reply respond share sharing sidebar social sponsor sponsored
     subscribe toolbar widget alert alertdialog complementary contentinfo search""".split())
 HEADER_WORDS = frozenset("banner header masthead".split())
+#: Parts that may stand beside those words in a name of the same meaning (``ad-slot``, ``site_footer``); with any other
+#: part (``has-sidebar``, ``social-science``) a name tells of a layout or a topic.
+BESIDE_WORDS = frozenset("""area bar block bottom box btn button buttons container content form global group inner left
+    link links list main outer page panel post posts primary right secondary section signup site slot top unit wrap
+    wrapper""".split())
 RAW = ("script", "style", "title", "textarea", "xmp", "noembed", "noframes")
 ARTICLE = ("article", "main")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -60,7 +65,7 @@ _END_UP_TO = {
     **{x: frozenset() for x in ARTICLE}, **{x: frozenset(("table", "template")) for x in _TABLE},
     "li": _SCOPE | {"dir", "menu", "ol", "ul"}, "dt": _SCOPE | {"dl"}, "dd": _SCOPE | {"dl"},
 }
-#: Elements open at once; as in browsers, deeper ones take the place of the deepest.
+#: Elements that are followed at once; of deeper ones only how many of a name are open is kept.
 DEPTH = 512
 
 _TOKEN = re.compile(
@@ -68,29 +73,50 @@ _TOKEN = re.compile(
     r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>]).*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|<[a-z/!?][^>]*+(?:>|\Z)", re.S | re.I)
-_ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-_PART = re.compile(r"[a-z]+|[0-9]+", re.I)
+_ATTR = re.compile(r"""([^\s"'/=>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
+_PART = re.compile(r"[a-z]+", re.I)
 
 
-def _names(attrs: str, ids: bool = True) -> set[str]:
-    return {w.lower() for m in _ATTR.finditer(attrs) if ids or m[1].lower() != "id" for w in _PART.findall(m[2])}
+def _attributes(attrs: str) -> dict[str, str]:
+    """Attributes by lower-case name; of repeated ones the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTR.finditer(attrs):
+        if m[1]:
+            found.setdefault(m[1].lower(), (m[2] or "").strip("\"'").lower())
+    return found
 
 
-def _left_out(name: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element is no part of any article."""
+def _outside(names: list[str], words: frozenset[str]) -> bool:
+    """Whether a name as a whole says that its element is no part of an
+    article: it is one of ``words``, or made of those and what may stand beside them."""
+    for name in names:
+        parts = _PART.findall(name)
+        if any(p in words for p in parts) and all(p in words or p in BESIDE_WORDS for p in parts):
+            return True
+    return False
+
+
+def _left_out(name: str, attrs: str, in_article: bool, by_name: bool = True) -> bool:
+    """Whether an element is no part of any article; ``by_name``: whether class, id and role count."""
+    if name in ("html", "head", "body", *ARTICLE):
+        return False
     if name in OUT:
         return True
-    if name in ("html", "head", "body", "main") or name == "article" and not attrs:
+    if name == "header":
+        return not in_article  # an article's own header holds its title
+    given = _attributes(attrs) if attrs.strip(" /") else {}
+    if "hidden" in given or given.get("aria-hidden") == "true" or _NO_DISPLAY.search(given.get("style", "")):
+        return True
+    if not by_name or not given:
         return False
     titled = in_article and name in TITLED
-    words = _names(attrs, not titled) if attrs else set()
-    if name == "header" or words & HEADER_WORDS:
-        return not in_article  # an article's own header holds its title
-    if titled and name == "section" and any(
-            m[1].lower() == "id" and m[2].strip("\"' ").lower() in COMMENT_IDS for m in _ATTR.finditer(attrs)):
+    if titled and name == "section" and given.get("id") in COMMENT_IDS:
         return True
-    return bool(words & OUT_WORDS) or bool(attrs) and bool(_HIDDEN.search(attrs))
+    names = [w for a in ("class", "id", "role") if a != "id" or not titled for w in given.get(a, "").split()]
+    if _outside(names, HEADER_WORDS):
+        return not in_article
+    return _outside(names, OUT_WORDS)
 
 
 class _Open:
@@ -102,6 +128,8 @@ class _Open:
         self.names: list[str] = []
         self.starts: list[int] = []
         self.counts: Counter = Counter()
+        self.deeper: Counter = Counter()  # of elements open beyond DEPTH
+        self.around = self.deeper  # of those around the one that is left out
         self.out = -1
         self.endless: set[int] = set()  # where elements start that ended without a tag of their own
 
@@ -112,7 +140,9 @@ class _Open:
             self.counts[name] -= 1
         del self.names[k:], self.starts[k:]
         if self.out >= k:
-            self.out = -1
+            self.out, self.deeper = -1, self.around
+        if len(self.names) < DEPTH:
+            self.deeper = Counter()
 
     def find(self, wanted, stop, outermost: bool = False) -> int:
         found = -1
@@ -137,17 +167,22 @@ class _Open:
         if name in _ENDS and (k := self.find(*_ENDS[name], outermost=True)) >= 0:
             self.cut(k)
 
-    def push(self, name: str, start: int) -> None:
-        if len(self.names) >= DEPTH:
-            if self.out == len(self.names) - 1:
-                return
-            self.cut(len(self.names) - 1)
+    def push(self, name: str, start: int, out: bool = False) -> None:
+        """Open an element, left out if ``out``.  Beyond ``DEPTH`` only one that is left out is followed."""
+        if len(self.names) >= DEPTH and not out:
+            self.deeper[name] += 1
+            return
+        if out:
+            self.out, self.around, self.deeper = len(self.names), self.deeper, Counter()
         self.names.append(name)
         self.starts.append(start)
         self.counts[name] += 1
 
     def end(self, name: str) -> bool:
         """Close what an end tag ends; whether there was any."""
+        if self.deeper[name]:
+            self.deeper[name] -= 1
+            return True
         if name in BLOCKS and name != "p":
             self._paragraph()
         wanted = HEADINGS if name in HEADINGS else (name,)
@@ -183,9 +218,15 @@ class Page:
     tags have no words, words carry the block they belong to."""
 
     def __init__(self, markup: str | None):
+        if not self._read(markup):
+            # every article is in an element whose class, id or role would take it out: a wrapper, so names outside do not count
+            self._read(markup, by_name=False)
+
+    def _read(self, markup: str | None, by_name: bool = True) -> bool:
+        """Read the page; whether it has an article that is not left out, or none at all."""
         self.tokens: list[tuple[str, int, int, bool, bool]] = []
         self.blocks: list[list[str]] = [[]]
-        self.labelled = False
+        self.labelled = hidden = False
         open_, endless, runs_on = _Open(), None, {}
         article = links = heads = items = 0
         at, markup = 0, markup or ""
@@ -208,7 +249,8 @@ class Page:
                     open_.cut(open_.out)
             else:
                 open_.before(name)
-                if open_.out >= 0 and name in ARTICLE and not _left_out(name, attrs, article > 0):
+                if open_.out >= 0 and name in ARTICLE:
+                    hidden = True
                     # an article inside stays out, unless it is only inside because an end tag is missing
                     out = open_.starts[open_.out]
                     if out not in runs_on:
@@ -219,10 +261,9 @@ class Page:
                         open_.cut(open_.out)
                         links = heads = items = 0
                 opens = _opens(name, attrs)
-                if open_.out < 0 and _left_out(name, attrs, article > 0):
+                if open_.out < 0 and _left_out(name, attrs, article > 0, by_name or article > 0):
                     if opens:
-                        open_.push(name, m.start())
-                        open_.out = len(open_.names) - 1
+                        open_.push(name, m.start(), out=True)
                     self.tokens.append((_feature(name), 0, -1, article > 0, True))
                     continue
                 if opens:
@@ -243,6 +284,7 @@ class Page:
             if name not in ARTICLE:
                 self.tokens.append((_feature(name), 0, -1, article > 0, out))
         self._words(markup[at:], links, heads, items, article, open_.out >= 0)
+        return self.labelled or not hidden
 
     def _words(self, text: str, links: int, heads: int, items: int, article: int, out: bool) -> None:
         if not text:
@@ -334,9 +376,13 @@ def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "ur
     """One row per row of ``pages``: ``page_id``, ``url``, ``text``, ``n_chars``.
 
     Character references are decoded, white space inside a block becomes one
-    space, blocks are trimmed and joined by one line end.  A null or empty
-    page and one without words have the empty text.  Null or repeated ids
-    keep their rows.  Without ``weights`` they are learned from ``pages``.
+    space, blocks are trimmed and joined by one line end.  An article is
+    never left out for its own class, id or role, nor for those of wrappers
+    if all articles of the page are in such.  A null or empty page and one
+    without words have the empty text; of equally good runs the first and
+    shortest counts; very long pages are read whole, in linear time.  Null or
+    repeated ids keep their rows; an empty table gives none.  Other columns
+    are not looked at.  Without ``weights`` they are learned from ``pages``.
     """
     weights = learn_weights(pages, html) if weights is None else weights
     return (pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"),

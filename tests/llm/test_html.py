@@ -115,3 +115,66 @@ def test_pages_of_the_tables(spark):
         inner = re.search(r"<article>(.*?)(?:</article>|$)", r["html"], re.S)[1]
         parts = re.sub(r"<[^>]*(>|$)", " ", re.sub(r"</?(?:p|h1)>", "\x01", inner)).split("\x01")
         assert got[r["page_id"]] == "\n".join(t for t in (" ".join(H.unescape(p).split()) for p in parts) if t)
+
+
+@pytest.mark.parametrize("start, end", [
+    ('<article class="post has-sidebar">', "</article>"), ('<article class="post comments-open">', "</article>"),
+    ('<article class="hentry social">', "</article>"), ('<article id="comments" class="sidebar" role="complementary">', "</article>"),
+    ('<div class="layout-sidebar-right"><article>', "</article></div>"), ('<div class="post has-comments"><article>', "</article></div>"),
+    ('<main class="no-sidebar"><div class="sidebar-layout">', "</div></main>"),
+    # wrappers by whose name every article would go
+    ('<div class="sidebar"><article>', "</article></div>"), ('<div id="banner"><div class="widget promo"><main>', "</main></div></div>")])
+def test_layout_names_keep_the_article(start, end):
+    for page in (f"{start}<p>Text of it</p>{end}", f"<nav>menu</nav>{start}<h1>Head</h1><p>Text of it</p>{end}<footer>x</footer>"):
+        assert text(page, FLAT).endswith("Text of it"), page
+
+
+def test_topics_and_texts_in_attributes_do_not_take_parts_out():
+    parts = ['<p class="social-science">', '<h2 class="search-heading">', '<section class="product-widget"><p>',
+             '<div id="search-results-explained"><p>', '<p title="the hidden truth">', "<p title='x hidden y' data-x=hidden>",
+             '<p style="color:red" alt="display:none">', '<div class="has-ad footer-less"><p>']
+    page = "".join(f"{p}words {i}</p></h2></section></div>" for i, p in enumerate(parts))
+    assert text(f"<article>{page}</article>", FLAT | {"tag section": -0.05, "tag div": -0.05}) == "\n".join(
+        f"words {i}" for i in range(len(parts)))
+
+
+def test_names_that_take_parts_out():
+    for p in ('<div class="ad-slot">', '<div class="x sidebar">', '<div id=site_footer>', '<ul class="social-links"><li>', "<div hidden>",
+              '<div class="cookie-banner">', '<p style="display: none">', '<div aria-hidden="true">', '<div role="navigation">',
+              '<div class="related-posts">', '<div class="comments-list">', "<div class='newsletter_signup'>"):
+        assert text(f"<article><p>one</p>{p}gone</li></ul></div></p><p>two</p></article>", FLAT) == "one\ntwo", p
+
+
+def test_elements_beyond_the_depth_are_counted():
+    deep = "<div>" * 600 + "in" + "</div>" * 600
+    assert text(f"<div class='sidebar'>{deep}rest of the sidebar</div><article><p>Text</p></article>") == "Text"
+    assert text(f"<article><p>one</p><div class=ad>{deep}ad</div><p>two</p></article>", FLAT) == "one\ntwo"
+    flat = FLAT | {"tag div": 0.0}
+    assert text(f"<article>{'<div>' * 700}<p>one</p><div class=ad>gone<div>x</div></div><p>two</p>{'</div>' * 700}</article>", flat) == "one\ntwo"
+    assert text(f"{'<section>' * 600}{'</section>' * 600}<div class=sidebar>gone</div><article><p>Text</p></article>") == "Text"
+
+
+def test_run_against_all_runs():
+    """The best run of random pages has the largest sum of all contiguous runs, and is the first and shortest of those."""
+    import random
+
+    from lettermon.llm.html import TAG, WORD
+
+    rng = random.Random(3)
+    pieces = ["<p>", "</p>", "<div>", "</div>", "<a>", "</a>", "<li>", "w ", "w w w ", "<b>x</b>", "<div class=ad>out</div>", "<br>"]
+    for _ in range(300):
+        markup = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 25)))
+        weights = {k: rng.choice([0.5, 1.0, 2.0]) * (-1 if k.startswith("tag") else 1) for k in WEIGHTS}
+        page = Page(markup)
+        gains = [0.0 if out else (n * weights.get(kind, WORD) if n else weights.get(kind, TAG)) for kind, n, _, _, out in page.tokens]
+        runs = [(sum(gains[i:j]), -j, -i) for i in range(len(gains)) for j in range(i + 1, len(gains) + 1)]
+        best = max(runs, default=(0.0, 0, 0))
+        if best[0] <= 0:
+            assert page.text(weights) == ""
+            continue
+        wanted = [(i, j) for total, j, i in ((t, -j, -i) for t, j, i in runs) if total == best[0]]
+        texts = set()
+        for i, j in wanted:
+            inside = sorted({b for _, n, b, _, out in page.tokens[i:j] if n and not out})
+            texts.add("\n".join(t for t in (" ".join("".join(page.blocks[b]).split()) for b in inside) if t))
+        assert page.text(weights) in texts, markup
