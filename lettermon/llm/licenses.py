@@ -2,9 +2,12 @@
 
 The automaton holds every run of words of every template.  Reading a text
 word by word it knows, at each place, the longest run ending there that
-some template contains (the matching statistic).  Runs that cannot grow are
+some template contains (the matching statistic), and by its suffix links the longest one
+of every single template.  Runs that cannot grow in their template are
 anchors; anchors that follow each other in a text as in a template are
-chained, and a chain that covers enough of its template is a span.
+chained.  A chain is a span if it covers enough of its template and all of
+the words that tell the template's licence from others, and skips none of
+such words in the text.  Of spans that overlap the one that covers most stays.
 
 A phrase stands at a place exactly if it is a suffix of the run matched
 there, which the automaton's suffix links tell, so phrases are counted in
@@ -13,63 +16,24 @@ the same pass, all places included.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import slices
+from .licence_texts import MARKS, wordings
 from .words import word_blocks
 
-# Phrases whose places are counted, and the notices known by their wording.
+# Phrases whose places are counted.
 PHRASES = {
     "mit license": "mit",
     "apache license": "apache",
     "general public license": "gpl",
 }
-NOTICES = {
-    "mit": (
-        "Released under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
-        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
-    ),
-    "apache": (
-        "Licensed under the Apache License, Version 2.0.",
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-        "compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0",
-    ),
-    "gpl": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-        "General Public License as published by the Free Software Foundation, either version 3 of the License, "
-        "or (at your option) any later version.",
-    ),
-    "lgpl": ("licensed under the GNU Lesser General Public License",),
-    "agpl": ("licensed under the GNU Affero General Public License",),
-    "bsd": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met",
-        "licensed under the BSD License",
-    ),
-    "isc": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    ),
-    "mpl": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    ),
-    "cc-by": ("Licensed under CC BY 4.0.", "licensed under a Creative Commons Attribution 4.0 International License"),
-    "cc-by-sa": ("Licensed under CC BY-SA 4.0.",
-                 "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
-    "cc-by-nc": ("Licensed under CC BY-NC 4.0.",
-                 "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
-    "cc0": ("CC0 1.0 Universal (CC0 1.0) Public Domain Dedication",),
-    "unlicense": ("This is free and unencumbered software released into the public domain.",),
-}
 
 
 def words_of(text: str) -> list[bytes]:
@@ -132,19 +96,34 @@ class Scan:
     spans: list[tuple[int, int, int, int]] = field(default_factory=list)  # (first word, end, template, words covered)
 
 
+@dataclass
+class Chain:
+    """Anchors of a template that follow each other; ``marks``: marks of the template that they cover."""
+    first: int
+    end: int
+    template_end: int
+    marks: int
+    words: int
+
+
 class LicenseScanner:
     """Scans texts for ``phrases`` and ``notices`` (label to wordings).
 
     ``min_run``: words of the shortest anchor; ``max_gap``: words that may
     stand between two anchors of a chain, in the text and in the template;
-    ``min_cover``: share of a template that a span covers.
+    ``min_cover``: share of a template that a span covers; ``marks``: words
+    that name a licence.
     """
 
-    def __init__(self, phrases: dict[str, str] = PHRASES, notices: dict[str, tuple[str, ...]] = NOTICES,
-                 min_run: int = 2, max_gap: int = 4, min_cover: float = 0.8):
+    def __init__(self, phrases: dict[str, str] = PHRASES, notices: dict[str, tuple[str, ...]] | None = None,
+                 min_run: int = 2, max_gap: int = 4, min_cover: float = 0.8, marks: frozenset[str] = MARKS):
         self.min_run, self.max_gap, self.min_cover = min_run, max_gap, min_cover
         self.phrases = [(words_of(p), label) for p, label in phrases.items()]
-        self.templates = [(words_of(w), label) for label, ws in notices.items() for w in ws]
+        self.templates = [(words_of(w), label) for label, ws in (wordings() if notices is None else notices).items() for w in ws]
+        self.longest = max((len(w) for w, _ in self.templates), default=0)
+        self.marks = frozenset(m.encode() for m in marks)
+        #: marks among the first words of a template, by how many
+        self.marks_before = [[0, *accumulate(w in self.marks for w in words)] for words, _ in self.templates]
         self.auto = SuffixAutomaton([w for w, _ in self.templates] + [w for w, _ in self.phrases])
         n = len(self.templates)
         self.ends = [[(t, e) for t, e in ends if t < n] for ends in self.auto.ends]
@@ -155,7 +134,7 @@ class LicenseScanner:
         self.suffixes: list[list[int]] = [[] for _ in self.auto.length]
         for s in sorted(range(1, len(self.auto.length)), key=self.auto.length.__getitem__):
             self.suffixes[s] = own.get(s, []) + self.suffixes[self.auto.link[s]]
-        self.vocabulary = frozenset(w for words, _ in self.templates + self.phrases for w in words)
+        self.vocabulary = frozenset(w for words, _ in self.templates + self.phrases for w in words) | self.marks
 
     def _walk(self, words: list[bytes]) -> int:
         state = 0
@@ -166,58 +145,94 @@ class LicenseScanner:
     def scan(self, text: bytes | None) -> Scan:
         out, known = Scan(), self.vocabulary
         nexts, link, length, suffixes = self.auto.next, self.auto.link, self.auto.length, self.suffixes
-        chains: dict[int, list[list[int]]] = {}
+        chains: dict[int, list[Chain]] = {}
+        marked: list[int] = []  # places of marks
+        region: list[tuple[int, int, int]] = []  # places in a row where a run of some template ends: (end, state, run)
         state = run = 0
-        seen = -2  # place of the last word of the run
+        seen = -2  # place of the last known word
         for block in word_blocks(text):
             first = out.n_words
             for i, word in enumerate(block, first):
                 if word not in known:
                     continue
+                if word in self.marks:
+                    marked.append(i)
                 if i != seen + 1:  # an unknown word ended the run
-                    if run >= self.min_run:
-                        self._anchor(out, chains, state, seen + 1 - run, run)
                     state = run = 0
                 seen = i
                 to = nexts[state].get(word)
+                while to is None and state:
+                    state = link[state]
+                    run = length[state]
+                    to = nexts[state].get(word)
                 if to is None:
-                    if run >= self.min_run:
-                        self._anchor(out, chains, state, i - run, run)
-                    while to is None and state:
-                        state = link[state]
-                        run = length[state]
-                        to = nexts[state].get(word)
-                    if to is None:
-                        continue
+                    continue
                 state, run = to, run + 1
+                if run >= self.min_run:
+                    if region and region[-1][0] != i:
+                        self._anchors(out, chains, marked, region)
+                        region = []
+                    region.append((i + 1, state, run))
                 if suffixes[state]:
                     for p in suffixes[state]:
                         if (n := len(self.phrases[p][0])) <= run:
                             out.places.append((i + 1 - n, p))
             out.n_words += len(block)
-        if run >= self.min_run:
-            self._anchor(out, chains, state, seen + 1 - run, run)
+        self._anchors(out, chains, marked, region)
+        out.spans = self._apart(out.spans)
         return out
 
-    def _anchor(self, out: Scan, chains: dict[int, list[list[int]]], state: int, start: int, run: int) -> None:
-        """Chain a run to the ends of earlier ones, in every template that has it."""
-        for t, end in self.ends[state]:
-            mine = chains.setdefault(t, [])
-            mine[:] = [c for c in mine if start - c[1] <= self.max_gap]
-            best = [start, start + run, end, run]  # first word, end, end in the template, words covered
-            for c in mine:
-                lap = max(c[1] - start, c[2] - (end - run), 0)
-                if lap < run and (end - run) - c[2] <= self.max_gap and c[3] + run - lap > best[3]:
-                    best = [c[0], start + run, end, c[3] + run - lap]
-            mine.append(best)
-            if best[3] >= self.min_cover * len(self.templates[t][0]):
-                span = (best[0], best[1], t, best[3])
-                same = next((k for k in range(len(out.spans) - 1, -1, -1) if out.spans[k][2] == t), None)
-                if same is not None and out.spans[same][1] > span[0]:  # the same place: keep what covers more
-                    if span[3] > out.spans[same][3]:
-                        out.spans[same] = span
-                else:
-                    out.spans.append(span)
+    def _runs(self, state: int, run: int) -> dict[tuple[int, int], int]:
+        """The longest runs that end here, by template and place in it."""
+        found: dict[tuple[int, int], int] = {}
+        while state and run >= self.min_run:
+            for at in self.ends[state]:
+                found.setdefault(at, run)
+            state = self.auto.link[state]
+            run = self.auto.length[state]
+        return found
+
+    def _anchors(self, out: Scan, chains: dict[int, list[Chain]], marked: list[int], region: list[tuple[int, int, int]]) -> None:
+        """Chain the runs of a region that cannot grow in their template."""
+        here = self._runs(*region[0][1:]) if region else {}
+        for k, (end, _, _) in enumerate(region):
+            after = self._runs(*region[k + 1][1:]) if k + 1 < len(region) else {}
+            for (t, template_end), run in here.items():
+                if (t, template_end + 1) not in after:
+                    self._anchor(out, chains, marked, t, end, template_end, run)
+            here = after
+
+    def _anchor(self, out: Scan, chains: dict[int, list[Chain]], marked: list[int], t: int, end: int, template_end: int,
+                run: int) -> None:
+        start, before = end - run, self.marks_before[t]
+        mine = chains.setdefault(t, [])
+        if mine and mine[0].end + self.max_gap + self.longest < end:
+            mine[:] = [c for c in mine if c.end + self.max_gap + self.longest >= end]
+        best = Chain(start, end, template_end, before[template_end] - before[template_end - run], run)
+        for c in mine:
+            lap = max(c.end - start, c.template_end - (template_end - run), 0)
+            if lap >= run or start - c.end > self.max_gap or template_end - run - c.template_end > self.max_gap:
+                continue
+            # the first lap words of the run are the chain's already; a mark in between names another licence
+            skipped = bisect_left(marked, start + lap) - bisect_left(marked, c.end)
+            marks = c.marks + before[template_end] - before[template_end - run + lap]
+            if skipped <= 0 and (marks, c.words + run - lap) > (best.marks, best.words):
+                best = Chain(c.first, end, template_end, marks, c.words + run - lap)
+        mine.append(best)
+        if best.marks == before[-1] and best.words >= self.min_cover * len(self.templates[t][0]):
+            out.spans.append((best.first, best.end, t, best.words))
+
+    @staticmethod
+    def _apart(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+        """Of spans that overlap the one that covers most words, then the shortest, then the first."""
+        kept: list[tuple[int, int, int, int]] = []
+        starts: list[int] = []
+        for span in sorted(set(spans), key=lambda s: (-s[3], s[1] - s[0], s[0], s[2])):
+            k = bisect_left(starts, span[0])
+            if (k == 0 or kept[k - 1][1] <= span[0]) and (k == len(kept) or kept[k][0] >= span[1]):
+                kept.insert(k, span)
+                starts.insert(k, span[0])
+        return kept
 
     def row(self, text: bytes | None) -> dict:
         found = self.scan(text)
@@ -265,8 +280,11 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     template, 0 without a span) and ``spans``.
 
     Null and empty texts have no words and no labels.  Null or repeated ids
-    keep their rows.  Whole texts are read, in blocks of bounded size; the
-    automaton is a fixed value that travels with the task.
+    keep their rows; an empty table gives none.  Of spans that overlap the
+    one that covers most words stays, of those that tie the shortest, then
+    the first.  Whole texts are read, in blocks of bounded size; the
+    automaton is a fixed value that travels with the task.  Other columns
+    are not looked at.
     """
     return (docs.select(F.col(doc_id).alias("doc_id"), scan_column(F.col(text), scanner).alias("scan"))
             .select("doc_id", "scan.*"))
