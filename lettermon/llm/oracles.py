@@ -23,6 +23,15 @@ def _rule_case(column: str) -> str:
             f"ORDER BY length(h || p) DESC LIMIT 1)")
 
 
+#: Any public suffix of several labels, as a pattern.
+_SUFFIX = "(" + "|".join(s.replace(".", "[.]") for s in urls.PUBLIC_SUFFIXES) + ")"
+
+
+def _site(listed: str, plain: str, address: str) -> str:
+    """Part of a bare host: under a listed suffix, under any other, or of an IP address."""
+    return f"CASE WHEN regexp_matches(bare, '{urls.IP_ADDRESS}') THEN {address} WHEN regexp_matches(bare, '(^|[.]){_SUFFIX}$') THEN {listed} ELSE {plain} END"
+
+
 def _url_filter() -> str:
     def level(name, rows):
         return f"""
@@ -48,10 +57,11 @@ outcomes AS (
   SELECT host, CAST(quality = 1 AND toxic = 0 AS BIGINT) AS good FROM sites JOIN labels ON doc_id = page_id
   WHERE (quality = 1 AND toxic = 0) IS NOT NULL),
 hosts AS (
-  SELECT h.host, regexp_extract(regexp_replace(h.host, ':[0-9]*$', ''), '[^.]*$') AS suffix,
-         regexp_extract(regexp_replace(h.host, ':[0-9]*$', ''), '([^.]*\\.)?[^.]*$') AS domain,
+  SELECT h.host, {_site("regexp_extract(bare, '" + _SUFFIX + "$')", "regexp_extract(bare, '[^.]*$')", repr(urls.IP_SUFFIX))} AS suffix,
+         {_site("regexp_extract(bare, '([^.]*[.])?" + _SUFFIX + "$')", "regexp_extract(bare, '([^.]*[.])?[^.]*$')", "bare")} AS domain,
          count(good) AS n, CAST(coalesce(sum(good), 0) AS BIGINT) AS good
-  FROM (SELECT DISTINCT host FROM sites) h LEFT JOIN outcomes o ON o.host = h.host GROUP BY h.host),
+  FROM (SELECT DISTINCT host, regexp_replace(host, ':[0-9]*$', '') AS bare FROM sites) h
+  LEFT JOIN outcomes o ON o.host = h.host GROUP BY h.host, bare),
 domains AS (SELECT suffix, domain, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY suffix, domain),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM domains GROUP BY suffix),
 overall AS (SELECT coalesce(sum(good) / nullif(sum(n), 0), 0.5) AS p FROM suffixes),
@@ -140,7 +150,8 @@ PHRASES = rf"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents),
 worded AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS ws FROM pieces),
 totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM worded GROUP BY lang),

@@ -43,7 +43,8 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's labelled outcome is the ``labels`` row of its id."""
-    return urls.filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+    return urls.filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES,
+                            suffixes=urls.PUBLIC_SUFFIXES)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A level's prior weighs as much as this many labelled pages: the least, the most, and where it cannot be told.
 PRIOR_LEAST, PRIOR_MOST, PRIOR_UNKNOWN = 1.0, 10_000.0, 20.0
 
+# Suffixes of several labels under which anyone registers names; what is not here has one label.
+PUBLIC_SUFFIXES = tuple("""ac.jp ac.kr ac.nz ac.uk ac.za appspot.com blogspot.com cloudfront.net co.id co.il co.in co.jp co.kr
+    co.nz co.th co.uk co.za com.ar com.au com.br com.cn com.co com.eg com.hk com.mx com.my com.ng com.pe com.ph com.pk com.sa
+    com.sg com.tr com.tw com.ua com.vn edu.au edu.br edu.cn edu.hk edu.mx edu.tw fly.dev github.io gitlab.io go.id go.jp go.kr
+    gob.ar gob.mx gov.au gov.br gov.cn gov.in gov.uk gov.za govt.nz herokuapp.com ltd.uk me.uk ne.jp net.au net.br net.cn net.in
+    net.nz net.uk netlify.app nhs.uk nom.br or.jp or.kr org.ar org.au org.br org.cn org.il org.in org.mx org.nz org.tw org.uk
+    org.za pages.dev plc.uk sch.uk vercel.app web.app wordpress.com""".split())
+IP_ADDRESS, IP_SUFFIX = r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[.*\])$", "[ip]"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -60,7 +69,8 @@ def domain_levels(host: Column, suffixes: Sequence[str] = ()) -> tuple[Column, C
 
     The suffix is the longest of ``suffixes`` that the host ends with, else
     its last label; the registered domain has one label more.  A host of one
-    label is its own suffix and domain.
+    label is its own suffix and domain.  An IP address is its own domain,
+    and all of them have the suffix ``IP_SUFFIX``.
     """
     bare = F.regexp_replace(host, r":[0-9]*$", "")
     suffix = F.substring_index(bare, ".", -1)
@@ -69,7 +79,8 @@ def domain_levels(host: Column, suffixes: Sequence[str] = ()) -> tuple[Column, C
         ends = (bare == s) | bare.endswith("." + s)
         suffix = F.when(ends, F.lit(s)).otherwise(suffix)
         domain = F.when(ends, F.substring_index(bare, ".", -(s.count(".") + 2))).otherwise(domain)
-    return suffix, domain
+    address = bare.rlike(IP_ADDRESS)
+    return F.when(address, F.lit(IP_SUFFIX)).otherwise(suffix), F.when(address, bare).otherwise(domain)
 
 
 def _prior_weights(groups: DataFrame) -> DataFrame:
@@ -148,7 +159,10 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[Rule] = (),
     rule's, else ``allow`` if the host's posterior bound is at least
     ``threshold``, else ``block``.  A url that is null or has no ``://`` has
     the empty host, which has a reputation like any other.  Null ids have no
-    label; an id labelled twice counts twice.
+    label; an id labelled twice counts twice; repeated rows get the same
+    answer.  Very long urls are read whole.  Without any labels all hosts
+    count as one half; an empty table of pages gives no rows.  Other columns
+    are not looked at.
 
     Only ids and urls are read.  Pages are counted per host before anything
     is joined, so a host with a third of all pages is one row there.

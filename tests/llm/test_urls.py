@@ -103,3 +103,36 @@ def test_nulls_repeats_and_empty_tables(spark):
     none_p, none_l = pages.limit(0), labels.limit(0)
     assert urls.filter_urls(none_p, labels).collect() == []
     assert {r["n_labels"] for r in urls.filter_urls(pages, none_l).collect()} == {0}
+
+
+def test_public_suffixes_and_addresses(spark):
+    hosts = {"a.b.co.uk": ("co.uk", "b.co.uk"), "co.uk": ("co.uk", "co.uk"), "x.github.io:80": ("github.io", "x.github.io"),
+             "deep.x.github.io": ("github.io", "x.github.io"), "xco.uk": ("uk", "xco.uk"), "www.example.com": ("com", "example.com"),
+             "10.0.0.1": ("[ip]", "10.0.0.1"), "10.0.0.1:8080": ("[ip]", "10.0.0.1"), "[::1]:443": ("[ip]", "[::1]"),
+             "1.2.3": ("3", "2.3"), "localhost": ("localhost", "localhost"), "": ("", "")}
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = {r[0]: (r[1], r[2]) for r in df.select("host", *urls.domain_levels(F.col("host"), urls.PUBLIC_SUFFIXES)).collect()}
+    assert got == hosts
+
+
+def test_suffixes_in_the_sql(spark, tmp_path):
+    """Priors of hosts under listed suffixes, and of addresses, are those of the registered query's SQL."""
+    import random
+
+    import duckdb
+
+    from lettermon.llm.oracles import ORACLE_SQL
+    from lettermon.llm.queries import op2_url_filter
+    rng = random.Random(6)
+    hosts = ["a.x.co.uk", "b.x.co.uk", "y.co.uk", "u.github.io", "v.github.io", "w.v.github.io", "10.0.0.1", "10.0.0.2:81", "[::1]",
+             "s.example.net", "t.example.net", "other.net", "z.de"]
+    pages = [(i, f"http://{rng.choice(hosts)}/p{i}", "<p>x") for i in range(400)] + [(400, None, None), (401, "none", "")]
+    labels = [(i, int(rng.random() < 0.3 + 0.05 * hosts.index(pages[i][1].split("/")[2])), int(rng.random() < 0.1)) for i in range(0, 400, 2)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    got = op2_url_filter(spark, str(tmp_path))
+    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({ORACLE_SQL['op2_url_filter']})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str) and len({r[-1] for r in want}) > 8
