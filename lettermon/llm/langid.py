@@ -48,15 +48,16 @@ def ngram_blocks(texts: list[str], bucket_bits: int = BUCKET_BITS) -> Iterator[t
     """Hashed n-grams of the lower-cased texts: arrays of text numbers and buckets.
 
     Runs of anything but letters count as one space, also at both ends.
-    Texts over ``BLOCK`` characters go in pieces cut at fixed places, which
-    only loses the n-grams across a cut.
+    Texts over ``BLOCK`` characters go in pieces; the last characters of one
+    stand before the next, so no n-gram is lost and none is added.
     """
     def pieces():
         group, size = [], 0
         for k, text in enumerate(texts):
+            text = text.lower()
             for at in range(0, len(text), BLOCK):
                 piece = text[at:at + BLOCK]
-                group.append((k, piece))
+                group.append((k, (" " if at == 0 else "") + piece + (" " if at + BLOCK >= len(text) else ""), at > 0))
                 size += len(piece)
                 if size >= BLOCK:
                     yield group
@@ -64,16 +65,22 @@ def ngram_blocks(texts: list[str], bucket_bits: int = BUCKET_BITS) -> Iterator[t
         if group:
             yield group
 
+    before = np.zeros(0, np.uint32)  # the last letters and spaces of a text that goes on in the next group
     for group in pieces():
-        lowered = [p.lower() for _, p in group]
-        lengths = np.array([len(p) + 2 for p in lowered])
-        codes = np.frombuffer((" " + "  ".join(lowered) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-        owner = np.repeat(np.array([k for k, _ in group]), lengths)
+        lengths = np.array([len(p) for _, p, _ in group])
+        codes = np.frombuffer("".join(p for _, p, _ in group).encode("utf-32-le", "surrogatepass"), np.uint32)
+        if not group[0][2]:
+            before = before[:0]
+        goes_on = len(before)
+        codes = np.concatenate([before, codes])
+        lengths[0] += goes_on
+        owner = np.repeat(np.array([k for k, _, _ in group]), lengths)
         start = np.repeat(np.cumsum(lengths) - lengths, lengths)
         codes = np.where(_letters()[codes], codes, np.uint32(32))
         keep = np.ones(len(codes), bool)
         keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32) | (start[1:] != start[:-1])
         codes, owner, start = codes[keep], owner[keep], start[keep]
+        before = codes[start == start[-1]][1 - MAX_N:]
         value = np.zeros(len(codes), np.uint32)
         for n in range(1, MAX_N + 1):
             if len(codes) < n:
@@ -81,6 +88,7 @@ def ngram_blocks(texts: list[str], bucket_bits: int = BUCKET_BITS) -> Iterator[t
             last = len(codes) - n + 1
             value = value[:last] * np.uint32(0x01000193) + codes[n - 1:] + np.uint32(n)
             whole = start[:last] == start[n - 1:]
+            whole[:max(goes_on - n + 1, 0)] = False  # those that were there before
             hashed = (value ^ (value >> np.uint32(15))) * np.uint32(0x9E3779B1)
             yield owner[:last][whole], (hashed >> np.uint32(32 - bucket_bits))[whole]
 
@@ -313,8 +321,11 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     ``score``, ``ambiguous``.
 
     Without a ``model`` one is learned from the rows that are not held out.
-    A null text or one without a letter is ``und`` with score 0; repeated
-    rows get the same answer; an empty table gives no rows.
+    A null text or one without a letter is ``und`` with score 0; of languages
+    that tie the first in alphabetical order is taken and the answer is
+    ambiguous; very long texts are read whole, in pieces that lose no n-gram;
+    repeated rows get the same answer; an empty table gives no rows.  Other
+    columns are not looked at.
     """
     model = model or learn(docs.where(~held_out(doc_id)), text, lang)
     return (docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"),
