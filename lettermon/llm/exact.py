@@ -15,11 +15,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import FILE, ROW, located, materialise, scratch
+from .scratch import FILE, ROW, located, materialise, scratch, without
 
 BLANKS = r"[\x20\x09-\x0D]+"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Bits of the filter of digests that were hit, as powers of two.
+LEAST_BITS, MOST_BITS = 12, 23
+
 #: Memory of all state stores of an executor together, in MB.
 STORES_MB = 256
 
@@ -78,6 +81,30 @@ def _stateful_session(spark: SparkSession) -> SparkSession:
     return own
 
 
+def member_filter(values: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A condition that holds for every value of ``column`` and for few others.
+
+    The values' hashes set bits of an array of at most ``2 ** MOST_BITS``
+    bits, which goes to the tasks as one value of the plan.  With more values
+    than bits it holds for nearly everything, which costs work only."""
+    bits = min(max((16 * values.count()).bit_length(), LEAST_BITS), MOST_BITS)
+    spark, words = values.sparkSession, 1 << (bits - 6)
+
+    def place(value: Column) -> Column:
+        return F.xxhash64(value).bitwiseAND(F.lit((1 << bits) - 1))
+    at = place(F.col(column))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    filled = values.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(bit).alias("set"))
+    every = spark.range(words).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("set")).unionByName(filled)
+    merged = every.groupBy("word").agg(F.bit_or("set").alias("set"))
+    # as many rows as the array has words, whatever the data
+    stored = materialise(merged.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "set"))), lambda x: x["set"]).alias("sets")),
+                         "members")
+    sets = stored.select("sets").scalar()
+    return lambda value: F.getbit(F.get(sets, F.shiftright(place(value), 6).cast("int")),
+                                  place(value).bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  digest: Callable[[Column], Column] = sha256_hex) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``digest``, ``keep_id``,
@@ -96,10 +123,11 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     groups = keyed_state(rows, "digest", _stay())
     hits = groups.where(F.col("n") > 1).select("digest")
 
-    # full bytes of the hits: copies collapse in the task that reads them, and
-    # the texts alone are regrouped, so a large group of copies can be split
-    texts = (plain.select(digest(F.col("plain")).alias("digest"), "plain").join(hits, "digest", "left_semi")
-             .select("plain").distinct())
+    # full bytes of the hits: only texts whose digest may be a hit leave the task that reads them, copies collapse
+    # there, and the texts alone are regrouped, so a large group of copies can be split
+    may_hit = member_filter(hits, "digest")
+    texts = (plain.select(digest(F.col("plain")).alias("digest"), "plain").where(may_hit(F.col("digest")))
+             .join(hits, "digest", "left_semi").select("plain").distinct())
     mixed = materialise(texts.groupBy(digest(F.col("plain")).alias("digest")).agg(F.count(F.lit(1)).alias("texts"))
                         .where(F.col("texts") > 1).select("digest"), "mixed-digests")
     out = rows.join(groups, "digest")
@@ -115,6 +143,7 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def exact_survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay; same columns."""
-    docs = located(docs)
-    gone = exact_groups(docs.drop(FILE, ROW), doc_id, text).where(~F.col("kept")).select(FILE, ROW)
-    return docs.join(materialise(gone, "copies"), [FILE, ROW], "left_anti").drop(FILE, ROW)
+    def copies(located_docs: DataFrame) -> DataFrame:
+        gone = exact_groups(located_docs.drop(FILE, ROW), doc_id, text).where(~F.col("kept")).select(FILE, ROW)
+        return materialise(gone, "copies")
+    return without(docs, copies)

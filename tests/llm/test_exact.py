@@ -57,3 +57,21 @@ def test_frame_without_files_and_empty_table(spark, docs, no_docs):
     assert got == [(1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True)]
     assert exact_groups(no_docs).collect() == []
     assert exact_survivors(no_docs).collect() == []
+
+
+def test_member_filter_has_every_value_and_few_others(spark):
+    from lettermon.llm.exact import member_filter
+    values = spark.range(1000).select(F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    others = spark.range(100_000, 120_000).select(F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    has = member_filter(values, "v")
+    assert values.where(has(F.col("v"))).count() == 1000
+    assert others.where(has(F.col("v"))).count() < 20_000 * 0.12
+    assert others.where(member_filter(values.limit(0), "v")(F.col("v"))).count() == 0
+
+
+def test_a_full_filter_changes_nothing(spark, docs, monkeypatch):
+    from lettermon.llm import exact as module
+    want = sorted(map(str, exact_groups(docs).drop("__file", "__row").collect()))
+    monkeypatch.setattr(module, "LEAST_BITS", 6)
+    monkeypatch.setattr(module, "MOST_BITS", 6)
+    assert sorted(map(str, exact_groups(docs).drop("__file", "__row").collect())) == want
