@@ -78,12 +78,6 @@ def curve_index(cells: list[Column], bits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), start, step, lambda acc: acc["place"])
 
 
-def text_order(value: Column) -> Column:
-    """A number that orders strings as their first seven bytes do; null comes first."""
-    head = F.rpad(F.hex(F.substring(F.coalesce(value, F.lit("")).cast("binary"), 1, 7)), 14, "0")
-    return F.when(value.isNull(), F.lit(-1)).otherwise(F.conv(head, 16, 10).cast("long"))
-
-
 def text_ranks(df: DataFrame, *names: str) -> DataFrame:
     """``df`` with each of the string columns ``names`` replaced by the place
     of its whole value among the column's distinct values in byte order,
@@ -120,9 +114,10 @@ def hilbert_shards(df: DataFrame, dims: Mapping[str, Column], ties: list[Column]
     the place in the run, from 0.  ``dims`` are integer columns, null first.
     Rows that tie in everything are neighbours in an unspecified order; an
     empty table gives no rows.  Equal rows need no common task: the sort is
-    by range, and only the ranges' counts meet.
+    by range, and only the ranges' counts meet.  Columns of ``df`` named
+    ``curve``, ``shard`` or ``slot`` make way for those of the result.
     """
-    columns = df.columns if columns is None else columns
+    columns = [c for c in (df.columns if columns is None else columns) if c.lower() not in ("curve", "shard", "slot")]
     cells = quantised(df, dims, bits)
     keyed = df.select(*columns, curve_index(cells, bits).alias("curve"),
                       *[t.alias(f"__tie{i}") for i, t in enumerate(ties)])

@@ -4,7 +4,7 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from lettermon.llm.hilbert import curve_index, hilbert_shards, shard_documents, text_order, text_ranks, write_shards
+from lettermon.llm.hilbert import curve_index, hilbert_shards, shard_documents, text_ranks, write_shards
 from lettermon.llm.scratch import numbered
 
 
@@ -22,12 +22,6 @@ def test_numbers_are_gapless_under_a_hot_key(spark):
     assert [p for _, _, p in sorted(got)] == list(range(5000))
 
 
-def test_text_order_is_the_byte_order(spark):
-    names = [None, "", "a", "aa", "ab", "b", "é", "中", "zzzzzzzzz", "A"]
-    got = spark.createDataFrame([(n,) for n in names], "s string").select("s", text_order(F.col("s"))).collect()
-    assert [r[0] for r in sorted(got, key=lambda r: r[1])] == sorted(names, key=lambda n: (n is not None, (n or "").encode()))
-
-
 def test_odd_documents(docs, no_docs):
     got = shard_documents(docs, shards=5).collect()
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
@@ -73,3 +67,10 @@ def test_ranks_are_in_the_order_of_bytes(spark):
     got = text_ranks(df.withColumn("r", F.col("s")), "r").collect()
     order = sorted({n for n in names if n is not None}, key=str.encode)
     assert sorted((str(s), r) for s, r in got) == sorted((str(n), None if n is None else order.index(n)) for n in names)
+
+
+def test_clashing_names_make_way(spark):
+    df = spark.range(20).select(F.col("id"), F.lit("u").alias("curve"), F.lit("v").alias("Shard"), F.lit("w").alias("slot"))
+    got = hilbert_shards(df, {"id": F.col("id")}, [F.col("id")], shards=3)
+    assert got.columns == ["id", "curve", "shard", "slot"]
+    assert sorted(r["shard"] for r in got.collect()) == [0] * 7 + [1] * 7 + [2] * 6
