@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import slices
-from .scratch import FILE, ROW, located, materialise, scratch
+from .scratch import FILE, ROW, located, materialise, scratch, without
 from .words import word_blocks
 
 SHINGLE, CONTAINMENT = 5, 0.8
@@ -156,26 +156,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     ``block_words`` words, chosen by a hash of id and text, each with a pass
     over the documents.  A block's hits are written before the next block is
     collected, so the driver and what is sent hold one block at a time,
-    whatever the number of items.  Documents are never shuffled.  Null and empty texts contain nothing and null or empty
-    items are contained nowhere; repeated rows get the same answers.
+    whatever the number of items; one item is never cut, so a block is at
+    least as long as its longest item.  Documents are never shuffled and
+    long ones read a block at a time.  Ids of items keep their type.  Null
+    and empty texts contain nothing and null or empty items are contained
+    nowhere; repeated rows get the same answers; an empty table of either
+    gives no rows.
     """
     docs = located(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), FILE, ROW)
     items = materialise(benchmark.select(
-        F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).distinct(), "items")
+        F.col(item_id).alias("item_id"), F.col(item_text).cast("string").alias("text")).distinct(), "items")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / 2 / block_words))  # a word and its space: two characters at least
-    path = scratch(docs.sparkSession, "hits")
+    path, id_type = scratch(docs.sparkSession, "hits"), items.schema["item_id"].dataType
+    arrow_type = items.limit(0).select("item_id").toArrow().schema.field("item_id").type
     for b in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        found = _search(docs, ItemIndex(sorted(map(tuple, mine.collect()), key=str), shingle, containment))
+        found = _search(docs, ItemIndex(sorted(map(tuple, mine.collect()), key=str), shingle, containment),
+                        id_type.simpleString(), arrow_type)
         found.write.mode("append").parquet(path)
     return docs.sparkSession.read.schema(found.schema).parquet(path)
 
 
-def _search(docs: DataFrame, index: ItemIndex) -> DataFrame:
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("shared", pa.int64()), ("shingles", pa.int64())]))
+def _search(docs: DataFrame, index: ItemIndex, id_type: str, arrow_type: pa.DataType) -> DataFrame:
+    kind = pa.list_(pa.struct([("item_id", arrow_type), ("shared", pa.int64()), ("shingles", pa.int64())]))
 
-    @F.arrow_udf("array<struct<item_id: bigint, shared: bigint, shingles: bigint>>")
+    @F.arrow_udf(f"array<struct<item_id: {id_type}, shared: bigint, shingles: bigint>>")
     def search(texts: pa.Array) -> pa.Array:
         return pa.array([[dict(zip(("item_id", "shared", "shingles"), x)) for x in index.search(t)]
                          for some in slices(texts.cast(pa.large_binary())) for t in some], kind)
@@ -185,7 +191,5 @@ def _search(docs: DataFrame, index: ItemIndex) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that contain an item; same columns."""
-    docs = located(docs)
-    hit = materialise(contaminated(docs.drop(FILE, ROW), benchmark, **options).select(FILE, ROW).distinct(),
-                      "contaminated")
-    return docs.join(hit, [FILE, ROW], "left_anti").drop(FILE, ROW)
+    return without(docs, lambda located_docs: materialise(
+        contaminated(located_docs.drop(FILE, ROW), benchmark, **options).select(FILE, ROW).distinct(), "contaminated"))
