@@ -245,6 +245,8 @@ def encode_round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text:
                       leaf: int = LEAF, over: int = TREE_OVER) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_tokens``, ``ids_sha256``,
     ``decoded_sha256``.  A null or empty text has no tokens and the digests
-    of the empty string; null and repeated ids keep their rows."""
+    of the empty string; null and repeated ids keep their rows; a very long
+    text is encoded whole, in one task; an empty table gives no rows.  Other
+    columns are not looked at."""
     return (docs.select(F.col(doc_id).alias("doc_id"), round_trip_digest(F.col(text), path, leaf, over).alias("d"))
             .select("doc_id", "d.*"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,18 +32,41 @@ def located(df: DataFrame) -> DataFrame:
     """``df`` with ``__file`` and ``__row``: where each row is stored.
 
     The pair names a row even if its id is null or repeated.  A frame read
-    from Parquet (columns selected and rows filtered at most) is located in
-    its own files; any other frame is written to the shared folder first.
+    from Parquet, with columns selected and rows filtered at most, is located
+    in its own files.  Any other frame (joins, unions and generators repeat
+    places) is written to the shared folder first.
     """
     def at(frame):
         meta = frame.metadataColumn("_metadata")
         return frame.select("*", meta["file_path"].alias(FILE), meta["row_index"].alias(ROW))
-    try:
-        out = at(df)
-        out.schema  # noqa: B018  analyses the plan: an error here means no such metadata
-        return out
-    except AnalysisException:
-        return at(materialise(df, "located"))
+    if _places_are_unique(df):
+        try:
+            out = at(df)
+            out.schema  # noqa: B018  analyses the plan: an error here means no such metadata
+            return out
+        except AnalysisException:
+            pass
+    return at(materialise(df, "located"))
+
+
+def _places_are_unique(df: DataFrame) -> bool:
+    """Whether the analysed plan of ``df`` is one scan under filters and projections."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.child()
+    return plan.nodeName().startswith(("LogicalRelation", "Relation"))
+
+
+def without(docs: DataFrame, gone: Callable[[DataFrame], DataFrame], how: str = "left_anti") -> DataFrame:
+    """``docs`` without the rows whose places ``gone`` returns, given the
+    located ``docs`` (``how="left_semi"``: only those rows); same columns.
+
+    Columns that have the places' names themselves are put aside meanwhile."""
+    aside = {c: f"{c}_{uuid.uuid4().hex}" for c in docs.columns if c.lower() in (FILE, ROW)}
+    docs = located(docs.withColumnsRenamed(aside))
+    found = gone(docs).select(FILE, ROW)
+    out = docs.join(found, [FILE, ROW], how).drop(FILE, ROW)
+    return out.withColumnsRenamed({v: k for k, v in aside.items()})
 
 
 def numbered(df: DataFrame, order: list, rank: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .batches import slices
 from .components import components
-from .scratch import FILE, ROW, located, materialise
+from .scratch import FILE, ROW, located, materialise, without
 
 BITS = 64
 SEED = 42
@@ -192,13 +192,11 @@ def simhash_survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """``docs`` with one row of each near-duplicate group: the smallest
     ``doc_id`` (a null id last), of repeated ids the first place.  Same
     columns as ``docs``."""
-    docs = located(docs)
-    groups = simhash_groups(docs.drop(FILE, ROW), doc_id, text, shingle, max_bits)
-    return keep_first(docs, groups, "component_id")
+    return without(docs, lambda located_docs: first_places(
+        simhash_groups(located_docs.drop(FILE, ROW), doc_id, text, shingle, max_bits), "component_id"), "left_semi")
 
 
-def keep_first(docs: DataFrame, groups: DataFrame, group: str) -> DataFrame:
-    """Of located ``docs`` the first row of each group by (doc_id, place)."""
+def first_places(groups: DataFrame, group: str) -> DataFrame:
+    """The place of the first row of each group by (doc_id, place)."""
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", FILE, ROW)).alias("first")
-    kept = groups.groupBy(group).agg(first).select(f"first.{FILE}", f"first.{ROW}")
-    return docs.join(kept, [FILE, ROW], "left_semi").drop(FILE, ROW)
+    return groups.groupBy(group).agg(first).select(f"first.{FILE}", f"first.{ROW}")

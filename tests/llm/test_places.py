@@ -1,0 +1,63 @@
+"""Rows are told apart whatever the frame they come from, and users' columns stay."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as C
+from lettermon.llm import decontaminate, exact, simhash
+from lettermon.llm.scratch import FILE, ROW, located
+
+TEXTS = ["one text of some seven or so words", "another text that has quite other words in it"]
+
+
+@pytest.fixture(scope="module")
+def two(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("two") / "documents.parquet")
+    spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(TEXTS)],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def frames(spark, two):
+    """The rows of ``two`` repeated in ways that repeat a row's place."""
+    twice = spark.range(3).select((F.col("id") % 1).alias("zero"))
+    return {"explode": two.withColumn("x", F.explode(F.array(F.lit(1), F.lit(2)))).drop("x"),
+            "join": two.join(twice, F.col("n_chars") == F.col("zero") + 1).drop("zero"), "union": two.unionByName(two),
+            "sample": two.unionByName(two).where("doc_id >= 0").select(*two.columns)}
+
+
+@pytest.mark.parametrize("kind", ["explode", "join", "union", "sample"])
+def test_repeated_places(spark, two, kind):
+    df = frames(spark, two)[kind]
+    at = located(df)
+    assert at.count() == df.count() == at.select(FILE, ROW).distinct().count() > 2
+    assert sorted(r["doc_id"] for r in exact.exact_survivors(df).collect()) == [0, 1]
+    assert sorted(r["doc_id"] for r in simhash.simhash_survivors(df).collect()) == [0, 1]
+    bench = spark.createDataFrame([("it1", TEXTS[0])], "item_id string, text string")
+    hits = decontaminate.contaminated(df, bench)
+    assert hits.count() == df.count() / 2 and {r["item_id"] for r in hits.collect()} == {"it1"}
+    assert {r["doc_id"] for r in decontaminate.decontaminate(df, bench).collect()} == {1}
+
+
+def test_scans_filters_and_projections_are_not_written(spark, two):
+    for df in (two, two.select("doc_id", "text"), two.where("doc_id = 1"), two.withColumn("x", F.lower("text")).where("x <> ''")):
+        files = {r[0] for r in located(df).select(FILE).distinct().collect()}
+        assert files <= {r[0] for r in two.select("_metadata.file_path").distinct().collect()}
+
+
+def test_columns_with_the_names_of_places_stay(spark, two, tmp_path):
+    named = two.select("*", F.col("doc_id").alias("__file"), F.lit("mine").alias("__ROW"))
+    bench = spark.createDataFrame([(1, TEXTS[0])], "item_id long, text string")
+    for found in (exact.exact_survivors(named), simhash.simhash_survivors(named), decontaminate.decontaminate(named, bench)):
+        assert found.columns == named.columns
+        rows = found.collect()
+        assert rows and all(r["__file"] == r["doc_id"] and r["__ROW"] == "mine" for r in rows)
+
+
+def test_pipeline_stages_on_such_a_frame(spark, two, tmp_path):
+    two.limit(0).select(F.col("doc_id").alias("item_id"), "text").write.parquet(str(tmp_path / "benchmark.parquet"))
+    df = frames(spark, two)["join"].withColumn("__row", F.lit("x"))
+    for name, stage in C.STAGES[1:4]:
+        df = stage(spark, df, str(tmp_path))
+        assert df.columns == [*two.columns, "__row"], name
+    assert sorted(r["doc_id"] for r in df.collect()) == [0, 1]
