@@ -33,22 +33,30 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the longest original, then the smallest id."""
+    """Of equal texts (null counts as empty) the longest original, then the
+    smallest id, null last; of repeated rows the first stored.  Very long
+    texts are compared whole; an empty table stays empty; all columns stay."""
     return exact.exact_survivors(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group (3-word shingles, 2 bits) the smallest id."""
+    """Of each SimHash group (3-word shingles, 2 bits) the smallest id, null
+    last; of repeated rows the first stored.  Null and blank texts are one
+    group; very long texts are read whole; an empty table stays empty; all
+    columns stay."""
     return simhash.simhash_survivors(docs, shingle=3, max_bits=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no item of the benchmark."""
+    """Documents that contain no item of the benchmark.  Null and empty texts
+    contain none; very long texts are searched whole; repeated rows go or
+    stay together; without items all stay; all columns stay."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what remains."""
+    """Token counts and digests of what remains, a row per row; a null text
+    counts as empty, very long ones are encoded whole."""
     return bpe.encode_round_trip(docs, tokenizer_path())
 
 
