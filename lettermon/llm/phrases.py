@@ -7,6 +7,8 @@ the proposed phrases and their negative border: those that were not
 proposed but whose two shorter phrases were (every word is on it).  The
 border need not be written out: a phrase of it that does not occur has count 0,
 so a task tells by the two shorter phrases whether one that occurs is on it.
+The border is long, so the pass has two steps: counts by hash, which are never
+too small, then the exact counts of the phrases whose hash occurs often enough.
 
 A border phrase that turns out to be frequent is a failure of the sample,
 and what holds it may be frequent too.  An expansion pass counts every
@@ -139,20 +141,22 @@ class PhraseCounter:
 
     Every word is eligible, and a longer phrase if its two shorter ones are
     eligible and ``proposed``.  Eligible phrases are counted (``level``: only
-    those of so many words); with ``expansion`` those that are not eligible,
+    those of so many words): by hash, or, those whose hash is in ``often``,
+    exactly.  With ``expansion`` those are counted that are not eligible,
     hold a failure and have frequent words only.
     """
 
     def __init__(self, proposed: Bitmap | None, max_words: int = MAX_WORDS, level: int | None = None,
-                 expansion: Expansion | None = None):
-        self.proposed, self.max_words, self.level, self.expansion = proposed, max_words, level, expansion
+                 often: Bitmap | None = None, expansion: Expansion | None = None):
+        self.proposed, self.max_words, self.level, self.often, self.expansion = proposed, max_words, level, often, expansion
 
     def count(self, langs: pa.Array, words: Words) -> Iterator[pa.RecordBatch]:
-        """Batches of ``lang``, ``phrase``, ``words``, ``key``, ``proposed`` and ``n``; words 0: all words."""
+        """Batches of ``key`` and ``n`` or, of exact counts, of ``lang``,
+        ``phrase``, ``words`` (0: all words), ``key``, ``proposed`` and ``n``."""
         lang = pc.fill_null(langs.cast(pa.string()), UNKNOWN).dictionary_encode()
         names, size = lang.dictionary, max(len(words.texts), 1)
         of = lang.indices.to_numpy()[words.owner]
-        if self.level in (None, 1) and not self.expansion:
+        if self.often and not self.expansion:
             n = np.bincount(of, minlength=len(names))
             yield self._rows(names, np.arange(len(names)), pa.array([b""] * len(names), pa.large_binary()), 0,
                              np.zeros(len(names), _U), np.zeros(len(names), bool), n)
@@ -178,8 +182,13 @@ class PhraseCounter:
                 touched[at] |= self.expansion.failures.has(keys) & (usual[at] if k == 1 else True)
             else:
                 wanted = at if self.level in (None, k) else at[:0]
-            if len(wanted):
+            if self.expansion:
                 yield from self._counted(ids, wanted, k)
+            elif self.often:
+                yield from self._counted(ids, wanted[self.often.has(keys)], k)
+            elif len(wanted):
+                found, n = (word_keys, np.bincount(ids, minlength=len(texts))) if k == 1 else np.unique(keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
             if k in (self.max_words, self.level):
                 return
             extends = np.zeros(total + 1, bool)
@@ -199,6 +208,8 @@ class PhraseCounter:
 
     def _counted(self, ids: np.ndarray, at: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
         """Counts of the phrases of ``k`` words that begin at the places ``at``."""
+        if not len(at):
+            return
         names, langs_of, texts, word_keys = self._block
         base = len(texts)
         if k == 1:
@@ -232,14 +243,8 @@ class PhraseCounter:
             ["lang", "phrase", "words", "key", "proposed", "n"])
 
 
-def counted(rows: DataFrame, proposed: Bitmap | None, least: int, max_words: int = MAX_WORDS, level: int | None = None,
-            expansion: Expansion | None = None) -> DataFrame:
-    """Of ``rows`` (text, lang) the phrases that :class:`PhraseCounter` counts
-    and that occur ``least`` times, with their exact counts: ``lang``,
-    ``phrase``, ``words``, ``key``, ``proposed``, ``n``.  The row of 0 words
-    has all words of a language and stays however few they are."""
-    counter = PhraseCounter(proposed, max_words, level, expansion)
-
+def _blocks(counter: PhraseCounter):
+    """What ``mapInArrow`` runs: the counter over blocks of texts."""
     def count(batches):
         for batch in batches:
             for block in text_blocks(batch):
@@ -249,19 +254,36 @@ def counted(rows: DataFrame, proposed: Bitmap | None, least: int, max_words: int
                         yield from counter.count(langs, words_of(pa.array([part], pa.large_binary()), KINDS))
                 else:
                     yield from counter.count(langs, words_of(texts, KINDS))
-    found = rows.mapInArrow(count, "lang string, phrase string, words int, key long, proposed boolean, n long")
+    return count
+
+
+def often(rows: DataFrame, proposed: Bitmap | None, least: int, max_words: int = MAX_WORDS, level: int | None = None) -> DataFrame:
+    """Hashes (``key``) of eligible phrases that occur ``least`` times, all phrases of a hash together."""
+    found = rows.mapInArrow(_blocks(PhraseCounter(proposed, max_words, level)), "key long, n long")
+    return found.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
+
+
+def counted(rows: DataFrame, proposed: Bitmap | None, least: int, max_words: int = MAX_WORDS, among: Bitmap | None = None,
+            expansion: Expansion | None = None) -> DataFrame:
+    """Exact counts of ``rows`` (text, lang): ``lang``, ``phrase``,
+    ``words``, ``key``, ``proposed``, ``n`` of the eligible phrases
+    ``among`` whose hashes they are, or those of the ``expansion``, if they
+    occur ``least`` times.  The row of 0 words has all words of a language
+    and stays however few they are."""
+    counter = PhraseCounter(proposed, max_words, often=among, expansion=expansion)
+    found = rows.mapInArrow(_blocks(counter), "lang string, phrase string, words int, key long, proposed boolean, n long")
     return (found.groupBy("lang", "phrase", "words")
             .agg(F.max("key").alias("key"), F.max("proposed").alias("proposed"), F.sum("n").alias("n"))
             .where((F.col("n") >= least) | (F.col("words") == 0)))
 
 
 def sampled(rows: DataFrame, least: int, max_words: int, share: float, seed: int = 11) -> DataFrame:
-    """The phrases that a sample of the rows proposes, mined level by level."""
+    """The hashes (``key``) of the phrases that a sample of the rows proposes, mined level by level."""
     sample = materialise(rows.sample(share, seed), "phrase-sample")
     low = max(1, int(least * share * LOWERED))
     found, proposed = None, None
     for k in range(1, max_words):  # phrases of all words extend to nothing, so they need no proposal
-        more = materialise(counted(sample, proposed, low, max_words, k).where(F.col("words") == k), f"sample-{k}")
+        more = materialise(often(sample, proposed, low, max_words, k), f"sample-{k}")
         found = more if found is None else found.unionByName(more)
         proposed = bitmap_of(found)
     return found
@@ -274,12 +296,13 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     ``n``; the row of 0 words has the language's number of words.
 
     ``proposals`` (``key``) takes the place of the sample's.  The result does
-    not depend on them; if all that is frequent was proposed there is one
-    pass, else two.
+    not depend on them; only if a frequent phrase was not proposed there is
+    an expansion pass.
     """
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     proposed = bitmap_of(sampled(rows, least, max_words, sample) if proposals is None else proposals)
-    found = materialise(counted(rows, proposed, least, max_words), "phrases")
+    among = bitmap_of(materialise(often(rows, proposed, least, max_words), "often"))
+    found = materialise(counted(rows, proposed, least, max_words, among), "phrases")
     failures = found.where(~F.col("proposed") & F.col("words").between(1, max_words - 1))
     if not failures.isEmpty():
         expansion = Expansion(bitmap_of(failures), bitmap_of(found.where("words = 1")))

@@ -11,7 +11,7 @@ import pyarrow as pa
 #: Kinds of bytes: of a word, between words, and between words that no phrase spans.
 IN_WORD, BLANK, BREAK = 0, 1, 2
 #: Bytes of text that are taken up at once.
-BLOCK = 1 << 23
+BLOCK = 1 << 22
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 

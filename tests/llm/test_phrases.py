@@ -68,15 +68,14 @@ def test_collocations_against_brute_force(spark, seed, least):
     assert got == brute(rows, least, 15) and got
 
 
-@pytest.mark.parametrize("kept", ["none", "words", "some", "odd words", "all"])
-@pytest.mark.parametrize("seed", [4, 5, 6])
+@pytest.mark.parametrize("kept", ["none", "half", "some", "all"])
+@pytest.mark.parametrize("seed", [4, 5])
 def test_any_proposal_gives_the_same_counts(spark, kept, seed, monkeypatch):
     """Whatever the sample misses, one expansion pass brings it back."""
     rows = corpus(seed)
     df = frame(spark, rows)
     keys = P.materialise(P.sampled(df, 10, 4, 1.0), "keys")
-    proposals = {"none": keys.limit(0), "words": keys.where("words = 1"), "some": keys.where(F.length("phrase") % 2 == 0),
-                 "odd words": keys.where(F.length("phrase") % 3 != 1), "all": keys}[kept]
+    proposals = {"none": keys.limit(0), "half": keys.where("key % 2 = 0"), "some": keys.where("key % 5 = 0"), "all": keys}[kept]
     passes = []
 
     def counted(*args, **options):
@@ -85,7 +84,7 @@ def test_any_proposal_gives_the_same_counts(spark, kept, seed, monkeypatch):
     original = P.counted
     monkeypatch.setattr(P, "counted", counted)
     found = [(r["lang"], tuple(r["phrase"].split(" ")) if r["words"] else (), r["n"])
-             for r in P.frequent(df, least=10, proposals=proposals.select("key")).collect()]
+             for r in P.frequent(df, least=10, proposals=proposals).collect()]
     assert len(passes) == (1 if kept == "all" else 2) and len(set(found)) == len(found)
     f, n = brute_counts(rows, 10)
     assert set(found) == {(lang, ws, a) for (lang, ws), a in f.items()} | {(lang, (), a) for lang, a in n.items()}
