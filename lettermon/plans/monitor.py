@@ -12,6 +12,8 @@ from .. import config as C
 from ..functions.exprs import age_bucket, days_between, delivery_class, delivery_detail, \
     eligible_payment, money, week_start
 from ..operators.intervals import within_horizon
+from ..operators.materialize import Store
+from ..operators.quality import by_reason
 from ..operators.windows import running_total
 from ..sources.tables import Tables
 
@@ -80,6 +82,28 @@ def monitor_base(t: Tables, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
     )
 
 
+def case_losses(t: Tables, store: Store, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
+    """Audit of the letter base: the arms' case rows and their debt, by
+    property and by whether the base has them (``reported``) or which of its
+    inner joins drops them: ``no_cpd_range`` (first) or ``no_letter_result``."""
+    frames = []
+    for arm in cfg.arms:
+        cases = _arm_cases(t, arm).select("property", "letter_type", "extraction_date", "skp_client", "skp_credit_case", "due_amount")
+        if arm.client_list is None:
+            frames.append(cases.withColumn("listed", F.lit(True)))
+        else:
+            listed = t[arm.client_list].select(F.col("selection_date").alias("extraction_date"), "skp_client",
+                                               F.lit(True).alias("listed")).distinct()
+            frames.append(cases.join(listed, ["extraction_date", "skp_client"], "left"))
+    answered = (t.f_letter_result_tt.where(F.col("skp_coll_letter_type").isin(*[a.letter_type for a in cfg.arms]))
+                .select(F.col("date_generated").alias("extraction_date"), "skp_credit_case",
+                        F.col("skp_coll_letter_type").alias("letter_type"), F.lit(True).alias("answered")).distinct())
+    rows = reduce(DataFrame.unionByName, frames).join(answered, ["extraction_date", "skp_credit_case", "letter_type"], "left")
+    reason = (F.when(F.col("listed").isNull(), "no_cpd_range").when(F.col("answered").isNull(), "no_letter_result")
+              .otherwise("reported"))
+    return by_reason(rows, reason, ["property"], ["due_amount"], store, "case_losses")
+
+
 def monitor_base_client(base: DataFrame) -> DataFrame:
     """Client level: debt and number of cases per client and segment."""
     return (base.groupBy(*CLIENT_GRAIN)

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.exprs import money, product_group
+from ..functions.exprs import product_group
 from ..operators.aggregates import ratio_to_base
+from ..operators.distinct import bitmap_counts, bitmap_pieces
+from ..operators.skew import heavy_keys, spread_join
 from ..sources.tables import Tables
 
 CLIENT_COLUMNS = ("skp_client", "property", "pilot", "date_decision", "extraction_date",
@@ -83,7 +85,12 @@ def client_products(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
     if prod is None:
         prod = product_groups(cl, t, cfg, keep_case=cfg.product_join == "case")
     prod = prod.select(*keys, F.col("goods_type").alias("product_group"))
-    return _contracts(cl, t).join(prod, keys).select(*RESULT_COLUMNS)
+    return _by_product(_contracts(cl, t), prod, keys).select(*RESULT_COLUMNS)
+
+
+def _by_product(cases: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """Join on the product keys; a product that holds many of the cases is spread over several tasks."""
+    return spread_join(cases, side, keys, heavy_keys(cases, keys), ["skp_client", "skp_credit_case"])
 
 
 def product_weights(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
@@ -124,21 +131,30 @@ def provision(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
     ``sum(due * weight)`` and ``sum(due * rate * weight)``, exact decimals
     equal to summing over the many-to-many rows.  A case has a row per group
     of its product here, which the distinct counts need;
-    :func:`provision_totals` needs none.
+    :func:`provision_totals` needs none.  Cases and clients are counted as
+    bits of their numbers (``case_no``, ``client_no`` of
+    :func:`numbered_clients`; keys themselves if ``cl`` has no numbers), so
+    no row is expanded and each is aggregated before the shuffle.
     """
     if weights is None:
         weights = product_weights(cl, t, cfg)
-    rows = (_bucketed(cl, t).join(weights, list(PRODUCT_JOINS[cfg.product_join]))
+    rows = (_by_product(_bucketed(cl, t), weights, list(PRODUCT_JOINS[cfg.product_join]))
             .join(_rates(t), ["product_group", "code_dpd_tol_subbucket"]))
     due, rate, w = F.col("due_amount"), F.col("provision_rate"), F.col("weight")
-    return (rows.groupBy(*PROVISION_KEYS)
-            .agg(money(F.sum(due * w)).alias("amt_receivable"),
-                 F.sum((due * rate) * w).cast("decimal(38,8)").alias("amt_provision"),
-                 F.count_distinct("skp_credit_case").alias("cnt_case"),
-                 F.count_distinct("skp_client").alias("cnt_client"))
-            .select("property", "pilot", "extraction_date", "amt_receivable", "amt_provision",
-                    "cnt_case", "cnt_client", "code_dpd_tol_subbucket", "product_group",
-                    "provision_rate"))
+    numbers = {"cnt_case": "case_no" if "case_no" in cl.columns else "skp_credit_case",
+               "cnt_client": "client_no" if "client_no" in cl.columns else "skp_client"}
+    amounts = {"amt_receivable": due * w, "amt_provision": (due * rate) * w}
+    pieces = bitmap_pieces(rows, PROVISION_KEYS, numbers, amounts)
+    return bitmap_counts(pieces, PROVISION_KEYS, list(numbers), list(amounts)).select(
+        "property", "pilot", "extraction_date", F.col("amt_receivable").cast("decimal(38,2)").alias("amt_receivable"),
+        F.col("amt_provision").cast("decimal(38,8)").alias("amt_provision"), "cnt_case", "cnt_client",
+        "code_dpd_tol_subbucket", "product_group", "provision_rate")
+
+
+def numbered_clients(cl: DataFrame, case_numbers: DataFrame, client_numbers: DataFrame) -> DataFrame:
+    """``cl`` with ``case_no`` and ``client_no``; a NULL case or client has none."""
+    return cl.join(case_numbers, "skp_credit_case", "left").join(client_numbers, "skp_client", "left").select(
+        *cl.columns, "case_no", "client_no")
 
 
 def provision_totals(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,

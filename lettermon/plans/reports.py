@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.exprs import money
 from ..operators.aggregates import threshold_agg
+from ..operators.distinct import bitmap_counts, bitmap_pieces, rolled_up
 from ..operators.joins import key_match
+from ..operators.materialize import Store
+from ..operators.ordering import numbered
+from ..operators.quality import by_reason
 from ..operators.windows import first_row_number, mask_repeats
 
 SEGMENT = list(C.SEGMENT)
@@ -16,6 +20,9 @@ DAY = "days_after_gen"
 
 REPORT1_COLUMNS = (*SEGMENT, DAY, "amt_payment", "due_amount", "cnt_client", "cnt_case")
 THRESHOLDS = ("repaid", "half", "full")
+SEGMENT_COUNTS = ["cnt_client", "cnt_case"]
+#: Groups of the roll-up, from fine to coarse.
+ROLLUP = {"segment": SEGMENT, "property_date": ["property", "extraction_date"], "property": ["property"]}
 REPORT2_COLUMNS = (
     *SEGMENT, DAY, "adj_cnt_client", "cnt_client",
     *[f"cnt_client_{n}" for n in THRESHOLDS],
@@ -27,11 +34,35 @@ REPORT2_COLUMNS = (
 
 
 def segment_base(base: DataFrame) -> DataFrame:
-    """Debt, distinct clients and distinct cases per segment."""
-    return (base.groupBy(*SEGMENT)
-            .agg(money(F.sum("due_amount")).alias("due_amount"),
-                 F.count_distinct("skp_client").alias("cnt_client"),
-                 F.count_distinct("skp_credit_case").alias("cnt_case")))
+    """Debt, distinct clients and distinct cases per segment.
+
+    Two plain aggregates in two steps each (by segment and key, then by
+    segment), where two distinct counts in one would expand every row."""
+    clients = (base.groupBy(*SEGMENT, "skp_client").agg(F.sum("due_amount").alias("due_amount"))
+               .groupBy(*SEGMENT).agg(money(F.sum("due_amount")).alias("due_amount"), F.count("skp_client").alias("cnt_client")))
+    cases = (base.select(*SEGMENT, "skp_credit_case").distinct()
+             .groupBy(*SEGMENT).agg(F.count("skp_credit_case").alias("cnt_case")))
+    return clients.join(cases, key_match(clients, cases, SEGMENT, null_safe=True)).select(
+        *[clients[c] for c in clients.columns], "cnt_case")
+
+
+def segment_pieces(base: DataFrame) -> DataFrame:
+    """Bitmaps of the clients and cases (by ``client_no``, ``case_no``) of each segment, with its debt."""
+    return bitmap_pieces(base, SEGMENT, {"cnt_client": "client_no", "cnt_case": "case_no"}, {"due_amount": F.col("due_amount")})
+
+
+def distinct_rollup(base: DataFrame) -> DataFrame:
+    """Debt, distinct clients and cases per segment, per property and date,
+    and per property (``level``), all from the bitmaps of one scan of ``base``."""
+    pieces, out = segment_pieces(base), None
+    for level, group in ROLLUP.items():
+        pieces = rolled_up(pieces, group, ["due_amount"]) if out is not None else pieces
+        counts = bitmap_counts(pieces, group, SEGMENT_COUNTS, ["due_amount"])
+        rows = counts.select(F.lit(level).alias("level"), *(
+            F.col(c) if c in group else F.lit(None).cast(base.schema[c].dataType).alias(c) for c in SEGMENT),
+            money("due_amount").alias("due_amount"), *SEGMENT_COUNTS)
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def segment_payments(payment: DataFrame) -> DataFrame:
@@ -116,6 +147,37 @@ def in_report_order(report: DataFrame) -> DataFrame:
     return report.orderBy(*[F.asc_nulls_last(c) for c in (*SEGMENT, DAY)])
 
 
+def ranked(report: DataFrame, store: Store, name: str) -> DataFrame:
+    """Report 2 with ``report_rank``, its rows' places in the promised order, as files without an order need it."""
+    return numbered(report, [F.asc_nulls_last(c) for c in (*SEGMENT, DAY)], store, name, "report_rank")
+
+
+def payment_losses(payment: DataFrame, store: Store) -> DataFrame:
+    """Audit of report 1: what was paid, by property and by whether the report shows it.
+
+    A segment finds its payments by plain ``=``, so those with a NULL in the
+    segment are ``null_<first such column>`` instead of ``reported``."""
+    return by_reason(payment, _null_segment().otherwise("reported"), ["property"], ["amt_payment"], store, "payment_losses")
+
+
+def client_losses(base_client: DataFrame, rate: DataFrame, store: Store) -> DataFrame:
+    """Audit of report 2: clients per segment (rows) and their debt, by property and by whether the report shows them.
+
+    Segments with a NULL drop out of the join with their repayments
+    (``null_<column>``), those without a daily rate of the join with it (``no_rate``)."""
+    rated = rate.select("property", "extraction_date", "pilot", F.lit(True).alias("rated")).distinct()
+    rows = base_client.join(rated, ["property", "extraction_date", "pilot"], "left")
+    reason = _null_segment().when(F.col("rated").isNull(), "no_rate").otherwise("reported")
+    return by_reason(rows, reason, ["property"], ["due_amount"], store, "client_losses")
+
+
+def _null_segment() -> Column:
+    out = F.when(F.lit(False), "")
+    for c in SEGMENT:
+        out = out.when(F.col(c).isNull(), f"null_{c}")
+    return out
+
+
 def provision_coverage(rate: DataFrame) -> DataFrame:
     """Rows of the daily rate table per extraction date and property."""
     return (rate.groupBy("extraction_date", "property").agg(F.count(F.lit(1)).alias("cnt_rows"))

@@ -76,6 +76,31 @@ SCHEMAS: dict[str, T.StructType] = {
     ),
 }
 
+# The day that a row of a table is of.
+DATED: dict[str, str] = {
+    "prel_letter_infor_4": "extraction_date",
+    "preli_360_lttr_hist": "date_generated",
+    "prel_letter_infor_iexa": "extraction_date",
+    "ppl2_chch_client_list_tmp": "selection_date",
+    "ppl2_iexa_client_list_tmp": "selection_date",
+    "f_letter_result_tt": "date_generated",
+    "f_incoming_payment_tt": "date_payment_incoming",
+    "dpd_snapshot": "extraction_date",
+}
+
+# Tables that joins take to have one row per key: a second one would multiply money.
+KEYS: dict[str, tuple[str, ...]] = {
+    "dc_product": ("skp_product",),
+    "cl_credit_type": ("skp_credit_type",),
+    "cl_credit_acquisition_chnl": ("skp_credit_acquisition_chnl",),
+    "dc_goods_type": ("skp_goods_type",),
+    "dc_dpd_tol_bucket": ("skp_dpd_tol_bucket",),
+    "ft_coll_provision_rate": ("product_group", "flag_bucket"),
+    "ppl2_chch_client_list_tmp": ("selection_date", "skp_client"),
+    "ppl2_iexa_client_list_tmp": ("selection_date", "skp_client"),
+    "dpd_snapshot": ("skp_credit_case", "extraction_date"),
+}
+
 # Text columns where an empty string means "no value" in the source systems.
 EMPTY_AS_NULL: dict[str, tuple[str, ...]] = {
     "prel_letter_infor_4": ("pilot",),

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampType
 
-from .schemas import EMPTY_AS_NULL, SCHEMAS
+from ..operators.materialize import Store
+from ..operators.quality import checked
+from .schemas import EMPTY_AS_NULL, KEYS, SCHEMAS
 
 
 def conform(df: DataFrame, name: str, zone: str | None = None) -> DataFrame:
@@ -67,6 +69,12 @@ class Tables:
     def names(self):
         return list(SCHEMAS)
 
+    def with_checked_keys(self, policy: str, quarantine: Store) -> "Tables":
+        """These tables with those of :data:`KEYS` held against their keys on
+        first use (see :func:`..operators.quality.checked`)."""
+        return Tables({n: (lambda n=n: checked(self[n], n, KEYS[n], policy, quarantine) if n in KEYS else self[n])
+                       for n in SCHEMAS})
+
     @classmethod
     def from_frames(cls, frames, zone: str | None = None) -> "Tables":
         return cls(frames, zone)
