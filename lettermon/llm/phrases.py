@@ -45,7 +45,7 @@ MAX_WORDS, LEAST, TOP = 4, 30, 2000
 #: Share of the rows that the sample has, and of its expected count that a proposal needs there.
 SAMPLE, LOWERED = 0.2, 0.5
 #: Bits of a bitmap: so many for each proposed phrase, and in all at least and at most (as powers of two).
-BITS_EACH, LEAST_BITS, MOST_BITS = 16, 16, 28
+BITS_EACH, LEAST_BITS, MOST_BITS = 32, 16, 28
 UNKNOWN = "und"
 _U = np.uint64
 
@@ -83,14 +83,20 @@ def dense(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Bitmap:
-    """Set of hashes with false positives: one bit each of ``2 ** bits``."""
+    """Set of hashes with false positives: a hash sets two of ``2 ** bits``
+    bits, named by its highest and by its lowest bits."""
 
     def __init__(self, bits: int, packed: np.ndarray | None = None):
         self.bits = bits
         self.packed = np.zeros(1 << (bits - 3), np.uint8) if packed is None else packed
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        place = keys >> _U(64 - self.bits)
+        found = self._set(keys >> _U(64 - self.bits))
+        some = np.flatnonzero(found)
+        found[some] = self._set(keys[some] & _U((1 << self.bits) - 1))
+        return found
+
+    def _set(self, place: np.ndarray) -> np.ndarray:
         return (self.packed[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & np.uint8(1) != 0
 
 
@@ -103,10 +109,10 @@ def bitmap_of(phrases: DataFrame) -> Bitmap:
     the driver is the bitmap, at most ``2 ** MOST_BITS`` bits."""
     wanted = BITS_EACH * max(phrases.count(), 1)
     bits = min(max(wanted.bit_length(), LEAST_BITS), MOST_BITS)
-    place = F.shiftrightunsigned(F.col("key"), 64 - bits)
+    places = F.array(F.shiftrightunsigned(F.col("key"), 64 - bits), F.col("key").bitwiseAND(F.lit((1 << bits) - 1)))
     out = Bitmap(bits)
     # bucket numbers count from 1, bit positions from 0, of buckets of 32,768 bits
-    chunks = (phrases.select((place + 1).alias("place"))
+    chunks = (phrases.select((F.explode(places) + 1).alias("place"))
               .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")))
     for r in chunks.toLocalIterator():
