@@ -109,10 +109,10 @@ def bitmap_of(phrases: DataFrame) -> Bitmap:
     the driver is the bitmap, at most ``2 ** MOST_BITS`` bits."""
     wanted = BITS_EACH * max(phrases.count(), 1)
     bits = min(max(wanted.bit_length(), LEAST_BITS), MOST_BITS)
-    places = F.array(F.shiftrightunsigned(F.col("key"), 64 - bits), F.col("key").bitwiseAND(F.lit((1 << bits) - 1)))
+    places = F.array(F.shiftrightunsigned(F.col("key"), 64 - bits), F.col("key").bitwiseAND(F.lit((1 << bits) - 1).cast("long")))
     out = Bitmap(bits)
     # bucket numbers count from 1, bit positions from 0, of buckets of 32,768 bits
-    chunks = (phrases.select((F.explode(places) + 1).alias("place"))
+    chunks = (phrases.select(F.explode(F.transform(places, lambda x: x + 1)).alias("place"))
               .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")))
     for r in chunks.toLocalIterator():
