@@ -46,6 +46,8 @@ MAX_WORDS, LEAST, TOP = 4, 30, 2000
 SAMPLE, LOWERED = 0.2, 0.5
 #: Bits of a bitmap: so many for each proposed phrase, and in all at least and at most (as powers of two).
 BITS_EACH, LEAST_BITS, MOST_BITS = 32, 16, 28
+#: Lowest bits of a hash that counts by hash leave out: what is left is enough to tell phrases apart and is less to move.
+SPARED = 16
 UNKNOWN = "und"
 _U = np.uint64
 
@@ -70,6 +72,34 @@ def text_hashes(texts: pa.Array) -> np.ndarray:
     return _mixed(np.add.reduceat(data * powers[place], at[:-1]) + lengths.astype(_U))
 
 
+def _seeds(langs: pa.Array) -> np.ndarray:
+    return _mixed(text_hashes(pc.binary_join_element_wise(langs.cast(pa.binary()), b"", b"l")))
+
+
+def _longer(keys: np.ndarray, word_keys: np.ndarray) -> np.ndarray:
+    """Hashes of phrases with a word more."""
+    return _mixed(keys * _U(0x9E3779B97F4A7C15) + word_keys)
+
+
+def phrase_key(lang: Column, phrase: Column) -> Column:
+    """The hash that the tasks know a phrase (words joined by a space) by."""
+    @F.arrow_udf("long")
+    def key(langs: pa.Array, phrases: pa.Array) -> pa.Array:
+        if not len(phrases):
+            return pa.array([], pa.int64())
+        name, words = langs.dictionary_encode(), pc.split_pattern(phrases.cast(pa.string()), " ")
+        size = pc.list_value_length(words).to_numpy()
+        first = np.cumsum(size) - size
+        seeds = np.repeat(_seeds(name.dictionary)[name.indices.to_numpy()], size)
+        word_keys = _mixed(text_hashes(pc.list_flatten(words)) ^ seeds)
+        keys = word_keys[first]
+        for m in range(1, int(size.max())):
+            more = np.flatnonzero(size > m)
+            keys[more] = _longer(keys[more], word_keys[first[more] + m])
+        return pa.array(keys.view(np.int64))
+    return key(lang, phrase)
+
+
 def dense(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The different codes (below ``size``) in order, and the number of each place's code among them."""
     if size > 1 << 24:
@@ -84,7 +114,7 @@ def dense(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 class Bitmap:
     """Set of hashes with false positives: a hash sets two of ``2 ** bits``
-    bits, named by its highest and by its lowest bits."""
+    bits, named by its highest bits and by those above the lowest ``SPARED``."""
 
     def __init__(self, bits: int, packed: np.ndarray | None = None):
         self.bits = bits
@@ -93,7 +123,7 @@ class Bitmap:
     def has(self, keys: np.ndarray) -> np.ndarray:
         found = self._set(keys >> _U(64 - self.bits))
         some = np.flatnonzero(found)
-        found[some] = self._set(keys[some] & _U((1 << self.bits) - 1))
+        found[some] = self._set((keys[some] >> _U(SPARED)) & _U((1 << self.bits) - 1))
         return found
 
     def _set(self, place: np.ndarray) -> np.ndarray:
@@ -109,7 +139,8 @@ def bitmap_of(phrases: DataFrame) -> Bitmap:
     the driver is the bitmap, at most ``2 ** MOST_BITS`` bits."""
     wanted = BITS_EACH * max(phrases.count(), 1)
     bits = min(max(wanted.bit_length(), LEAST_BITS), MOST_BITS)
-    places = F.array(F.shiftrightunsigned(F.col("key"), 64 - bits), F.col("key").bitwiseAND(F.lit((1 << bits) - 1).cast("long")))
+    places = F.array(F.shiftrightunsigned(F.col("key"), 64 - bits), 
+                     F.shiftrightunsigned(F.col("key"), SPARED).bitwiseAND(F.lit((1 << bits) - 1).cast("long")))
     out = Bitmap(bits)
     # bucket numbers count from 1, bit positions from 0, of buckets of 32,768 bits
     chunks = (phrases.select(F.explode(F.transform(places, lambda x: x + 1)).alias("place"))
@@ -157,22 +188,20 @@ class PhraseCounter:
         self.proposed, self.max_words, self.level, self.often, self.expansion = proposed, max_words, level, often, expansion
 
     def count(self, langs: pa.Array, words: Words) -> Iterator[pa.RecordBatch]:
-        """Batches of ``key`` and ``n`` or, of exact counts, of ``lang``,
-        ``phrase``, ``words`` (0: all words), ``key``, ``proposed`` and ``n``."""
+        """Batches of ``key`` (without its ``SPARED`` lowest bits) and ``n`` or,
+        of exact counts, of ``lang``, ``phrase``, ``words`` (0: all words) and ``n``."""
         lang = pc.fill_null(langs.cast(pa.string()), UNKNOWN).dictionary_encode()
         names, size = lang.dictionary, max(len(words.texts), 1)
         of = lang.indices.to_numpy()[words.owner]
         if self.often and not self.expansion:
             n = np.bincount(of, minlength=len(names))
-            yield self._rows(names, np.arange(len(names)), pa.array([b""] * len(names), pa.large_binary()), 0,
-                             np.zeros(len(names), _U), np.zeros(len(names), bool), n)
+            yield self._rows(names, np.arange(len(names)), pa.array([b""] * len(names), pa.large_binary()), 0, n)
         if not len(words.ids):
             return
         pair, ids = dense(of.astype(np.int64) * size + words.ids, len(names) * size)
         langs_of, texts = pair // size, words.texts.take(pa.array(pair % size))
-        seeds = _mixed(text_hashes(pc.binary_join_element_wise(names.cast(pa.binary()), b"", b"l")))
-        word_keys = _mixed(text_hashes(words.texts)[pair % size] ^ seeds[langs_of])
-        self._block = (names, langs_of, texts, word_keys)
+        word_keys = _mixed(text_hashes(words.texts)[pair % size] ^ _seeds(names)[langs_of])
+        self._block = (names, langs_of, texts)
         total = len(ids)
         joined = np.append(words.joined, False)
         at, keys = np.arange(total), word_keys[ids]  # places of eligible phrases of k words, and their hashes
@@ -194,7 +223,8 @@ class PhraseCounter:
                 yield from self._counted(ids, wanted[self.often.has(keys)], k)
             elif len(wanted):
                 found, n = (word_keys, np.bincount(ids, minlength=len(texts))) if k == 1 else np.unique(keys, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+                found = (found >> _U(SPARED)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], ["key", "n"])
             if k in (self.max_words, self.level):
                 return
             extends = np.zeros(total + 1, bool)
@@ -205,7 +235,7 @@ class PhraseCounter:
                 on = on[joined[on + 1]]
             on = on[on + k < total]
             spot = np.searchsorted(at, on)
-            at, keys = on, _mixed(keys[spot] * _U(0x9E3779B97F4A7C15) + word_keys[ids[on + k]])
+            at, keys = on, _longer(keys[spot], word_keys[ids[on + k]])
             if self.expansion:
                 whole = joined[1:] & usual[:-1] & usual[1:] if k == 1 else whole[:-1] & whole[1:]
                 whole = np.append(whole, False)
@@ -216,7 +246,7 @@ class PhraseCounter:
         """Counts of the phrases of ``k`` words that begin at the places ``at``."""
         if not len(at):
             return
-        names, langs_of, texts, word_keys = self._block
+        names, langs_of, texts = self._block
         base = len(texts)
         if k == 1:
             n = np.bincount(ids[at], minlength=base)
@@ -234,19 +264,16 @@ class PhraseCounter:
         else:
             rows, n = np.unique(np.column_stack([ids[at + m] for m in range(k)]), axis=0, return_counts=True)
             parts = list(rows.T)
-        keys, phrase = word_keys[parts[0]], texts.take(pa.array(parts[0]))
+        phrase = texts.take(pa.array(parts[0]))
         for p in parts[1:]:
-            keys = _mixed(keys * _U(0x9E3779B97F4A7C15) + word_keys[p])
             phrase = pc.binary_join_element_wise(phrase, texts.take(pa.array(p)), pa.scalar(b" ", pa.large_binary()))
-        proposed = np.zeros(len(n), bool) if self.proposed is None else self.proposed.has(keys)
-        yield self._rows(names, langs_of[parts[0]], phrase, k, keys, proposed, n)
+        yield self._rows(names, langs_of[parts[0]], phrase, k, n)
 
     @staticmethod
-    def _rows(names, lang, phrase, k, keys, proposed, n) -> pa.RecordBatch:
+    def _rows(names, lang, phrase, k, n) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [names.take(pa.array(lang)), phrase.cast(pa.binary()).cast(pa.string()), pa.array(np.full(len(lang), k, np.int32)),
-             pa.array(keys.view(np.int64)), pa.array(proposed), pa.array(np.asarray(n, np.int64))],
-            ["lang", "phrase", "words", "key", "proposed", "n"])
+             pa.array(np.asarray(n, np.int64))], ["lang", "phrase", "words", "n"])
 
 
 def _blocks(counter: PhraseCounter):
@@ -266,20 +293,19 @@ def _blocks(counter: PhraseCounter):
 def often(rows: DataFrame, proposed: Bitmap | None, least: int, max_words: int = MAX_WORDS, level: int | None = None) -> DataFrame:
     """Hashes (``key``) of eligible phrases that occur ``least`` times, all phrases of a hash together."""
     found = rows.mapInArrow(_blocks(PhraseCounter(proposed, max_words, level)), "key long, n long")
-    return found.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
+    return (found.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+            .select(F.shiftleft("key", SPARED).alias("key")))
 
 
 def counted(rows: DataFrame, proposed: Bitmap | None, least: int, max_words: int = MAX_WORDS, among: Bitmap | None = None,
             expansion: Expansion | None = None) -> DataFrame:
     """Exact counts of ``rows`` (text, lang): ``lang``, ``phrase``,
-    ``words``, ``key``, ``proposed``, ``n`` of the eligible phrases
-    ``among`` whose hashes they are, or those of the ``expansion``, if they
-    occur ``least`` times.  The row of 0 words has all words of a language
+    ``words``, ``n`` of the eligible phrases whose hashes are ``among``
+    those, or of those of the ``expansion``, if they occur ``least`` times.  The row of 0 words has all words of a language
     and stays however few they are."""
     counter = PhraseCounter(proposed, max_words, often=among, expansion=expansion)
-    found = rows.mapInArrow(_blocks(counter), "lang string, phrase string, words int, key long, proposed boolean, n long")
-    return (found.groupBy("lang", "phrase", "words")
-            .agg(F.max("key").alias("key"), F.max("proposed").alias("proposed"), F.sum("n").alias("n"))
+    found = rows.mapInArrow(_blocks(counter), "lang string, phrase string, words int, n long")
+    return (found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
             .where((F.col("n") >= least) | (F.col("words") == 0)))
 
 
@@ -295,6 +321,13 @@ def sampled(rows: DataFrame, least: int, max_words: int, share: float, seed: int
     return found
 
 
+def _has(bitmap: Bitmap, key: Column) -> Column:
+    @F.arrow_udf("boolean")
+    def has(keys: pa.Array) -> pa.Array:
+        return pa.array(bitmap.has(keys.to_numpy(zero_copy_only=False).astype(np.int64).view(_U)))
+    return has(key)
+
+
 def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, max_words: int = MAX_WORDS,
              sample: float = SAMPLE, proposals: DataFrame | None = None) -> DataFrame:
     """All phrases of up to ``max_words`` words that occur ``least`` times in
@@ -309,9 +342,11 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     proposed = bitmap_of(sampled(rows, least, max_words, sample) if proposals is None else proposals)
     among = bitmap_of(materialise(often(rows, proposed, least, max_words), "often"))
     found = materialise(counted(rows, proposed, least, max_words, among), "phrases")
-    failures = found.where(~F.col("proposed") & F.col("words").between(1, max_words - 1))
+    keyed = materialise(found.where(F.col("words").between(1, max_words - 1)).select(
+        "words", phrase_key(F.col("lang"), F.col("phrase")).alias("key")), "phrase-keys")
+    failures = materialise(keyed.where(~_has(proposed, F.col("key"))), "failures")
     if not failures.isEmpty():
-        expansion = Expansion(bitmap_of(failures), bitmap_of(found.where("words = 1")))
+        expansion = Expansion(bitmap_of(failures), bitmap_of(keyed.where("words = 1")))
         found = found.unionByName(materialise(counted(rows, proposed, least, max_words, expansion=expansion), "phrases"))
     return found.select("lang", "phrase", "words", "n")
 
