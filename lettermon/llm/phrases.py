@@ -48,6 +48,8 @@ SAMPLE, LOWERED = 0.2, 0.5
 BITS_EACH, LEAST_BITS, MOST_BITS = 32, 16, 28
 #: Lowest bits of a hash that counts by hash leave out: what is left is enough to tell phrases apart and is less to move.
 SPARED = 16
+#: Bytes of text that are counted at once: a task's memory, and how often a phrase is handed on.
+BYTES_AT_ONCE = 1 << 21
 UNKNOWN = "und"
 _U = np.uint64
 
@@ -280,7 +282,7 @@ def _blocks(counter: PhraseCounter):
     """What ``mapInArrow`` runs: the counter over blocks of texts."""
     def count(batches):
         for batch in batches:
-            for block in text_blocks(batch):
+            for block in text_blocks(batch, size=BYTES_AT_ONCE):
                 texts, langs = block.column(0).cast(pa.large_binary()), block.column(1)
                 if len(texts) == 1 and texts[0].is_valid and len(texts[0].as_py()) > BLOCK:
                     for part in _long_texts_cut([texts[0].as_py()], BLOCK):
