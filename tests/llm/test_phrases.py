@@ -69,7 +69,7 @@ def test_collocations_against_brute_force(spark, seed, least):
 
 
 @pytest.mark.parametrize("kept", ["none", "half", "some", "all"])
-@pytest.mark.parametrize("seed", [4, 5])
+@pytest.mark.parametrize("seed", [4])
 def test_any_proposal_gives_the_same_counts(spark, kept, seed, monkeypatch):
     """Whatever the sample misses, one expansion pass brings it back."""
     rows = corpus(seed)
