@@ -225,13 +225,31 @@ def log_ratios(grams: DataFrame, order: int = ORDER, shared: int = SHARED,
 
 @dataclass
 class RatioTable:
-    """Log ratios in steps by hash bucket; ``tags`` tell apart what shares a bucket (0: nothing there)."""
+    """Log ratios in steps by hash bucket; ``tags`` tell apart what shares a
+    bucket (0: nothing there).  ``rest`` and ``rest_steps`` have the n-grams
+    whose bucket another one took, by their whole hash, in its order."""
     steps: np.ndarray
     tags: np.ndarray
+    rest: np.ndarray
+    rest_steps: np.ndarray
 
     @classmethod
     def empty(cls, bits: int) -> RatioTable:
-        return cls(np.zeros(1 << bits, np.int16), np.zeros(1 << bits, np.uint8))
+        return cls(np.zeros(1 << bits, np.int16), np.zeros(1 << bits, np.uint8), np.zeros(0, np.uint64), np.zeros(0, np.int16))
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, steps: np.ndarray, n: np.ndarray, bits: int) -> RatioTable:
+        """All n-grams of some hashes; the most frequent of a bucket is found the fastest."""
+        out = cls.empty(bits)
+        bucket, tag = cls.places(hashes, bits)
+        order = np.lexsort((hashes, -n, bucket))
+        first = np.ones(len(order), bool)
+        first[1:] = bucket[order[1:]] != bucket[order[:-1]]
+        most, rest = order[first], order[~first]
+        out.steps[bucket[most]], out.tags[bucket[most]] = steps[most], tag[most]
+        rest = rest[np.argsort(hashes[rest], kind="stable")]
+        out.rest, out.rest_steps = hashes[rest], steps[rest]
+        return out
 
     @staticmethod
     def places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -240,35 +258,35 @@ class RatioTable:
     def get(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Steps, and which of the hashes are there."""
         bucket, tag = self.places(hashes, len(self.tags).bit_length() - 1)
-        return self.steps[bucket], self.tags[bucket] == tag
+        steps, known = self.steps[bucket], self.tags[bucket] == tag
+        if len(self.rest):
+            shared = np.flatnonzero(self.tags[bucket])
+            at = np.minimum(np.searchsorted(self.rest, hashes[shared]), len(self.rest) - 1)
+            there = self.rest[at] == hashes[shared]
+            steps[shared[there]], known[shared[there]] = self.rest_steps[at[there]], True
+        return steps, known
 
 
 def ratio_tables(ratios: DataFrame, bits: int) -> dict[int, RatioTable]:
-    """The table of each model's ``ratios``; of n-grams that share a bucket
-    the most frequent stays and the others count as unseen.  The driver gets
-    ``2 ** bits`` small rows a model at most, whatever the corpus."""
-    kind = pa.struct([("bucket", pa.int64()), ("tag", pa.int16())])
-
-    @F.arrow_udf("struct<bucket: long, tag: short>")
-    def placed(grams: pa.Array) -> pa.Array:
+    """The table of each model's ``ratios``, with all its n-grams however
+    many share a bucket.  The driver gets three numbers for each different
+    n-gram of the labelled texts; a scorer keeps 3 bytes a bucket and 10 for
+    each n-gram whose bucket is taken."""
+    @F.arrow_udf("long")
+    def hashed(grams: pa.Array) -> pa.Array:
         texts = grams.to_pylist()
         hashes, sizes = np.zeros(len(texts), np.uint64), np.array([len(g) for g in texts])
         for size in np.unique(sizes).tolist():
             own = np.flatnonzero(sizes == size)
             codes = np.frombuffer("".join(texts[i] for i in own).encode("utf-32-le"), np.uint32)
             hashes[own] = _hashed(codes.reshape(-1, size))
-        bucket, tag = RatioTable.places(hashes, bits)
-        return pa.StructArray.from_arrays([pa.array(bucket.astype(np.int64)), pa.array(tag.astype(np.int16))], fields=list(kind))
+        return pa.array(hashes.view(np.int64))
     steps = F.rint(F.greatest(F.lit(-MOST_STEPS), F.least(F.lit(MOST_STEPS), F.col("ratio") / STEP))).cast("short")
-    kept = (ratios.select("model", placed("gram").alias("at"), "n", "gram", steps.alias("steps")).groupBy("model", "at.bucket")
-            .agg(F.max(F.struct("n", "gram", "steps", "at.tag")).alias("most")).select("model", "bucket", "most.steps", "most.tag"))
-    found, tables = kept.toArrow(), {}
-    of = found["model"].to_numpy()
+    found, tables = ratios.select("model", hashed("gram").alias("hash"), steps.alias("steps"), "n").toArrow(), {}
+    of, hashes, steps, n = (found[c].to_numpy() for c in ("model", "hash", "steps", "n"))
     for k in np.unique(of):
-        table, own = RatioTable.empty(bits), of == k
-        at = found["bucket"].to_numpy()[own]
-        table.steps[at], table.tags[at] = found["steps"].to_numpy()[own], found["tag"].to_numpy()[own]
-        tables[int(k)] = table
+        own = of == k
+        tables[int(k)] = RatioTable.of(hashes[own].view(np.uint64), steps[own], n[own], bits)
     return tables
 
 

@@ -63,6 +63,15 @@ def test_ratios_against_the_recursion(spark, order, shared):
     assert all(w is None or abs(s * X.STEP - w) < 0.01 for s, w in zip(steps.tolist(), want)) and any(w is not None for w in want)
 
 
+def test_ngrams_that_share_a_bucket_all_stay(spark):
+    ratios = [(0, a + b + c, 1 + k, k / 100 - 2) for k, (a, b, c) in enumerate((a, b, c) for a in "abcdefg" for b in "hij\u00e9" for c in "klmnopqr")]
+    frame = spark.createDataFrame(ratios, "model int, gram string, n long, ratio double")
+    for bits in (1, 4, 16):
+        table = X.ratio_tables(frame, bits)[0]
+        steps, known = table.get(X._hashed(np.array([[ord(c) for c in r[1]] for r in ratios])))
+        assert known.all() and np.abs(steps * X.STEP - [r[3] for r in ratios]).max() <= X.STEP
+
+
 def test_counts_of_both_sets(spark):
     data = [("aaab", True, True), ("aaab", True, False), ("aaa", False, False), (None, True, False), ("", False, True)]
     got = {r["gram"]: tuple(r)[1:] for r in X.gram_counts(spark.createDataFrame(data, "text string, toxic boolean, fit boolean"), 3).collect()}
