@@ -130,7 +130,7 @@ class Monitor:
             payment = self._stored["monitor_payment"]
         else:  # read once: aggregate the pairs straight to segment x day
             payment = M.payment_pairs(base, M.eligible_payments(self.t, self.cfg), self.cfg)
-        return R.daily_recovery(base, payment, self.cfg)
+        return R.daily_recovery(base, payment, self.cfg, self._stored.get("monitor_base_client"))
 
     def debt_paid(self):
         return R.debt_paid(self.stored("monitor_base_client"),

@@ -33,13 +33,16 @@ REPORT2_COLUMNS = (
 )
 
 
-def segment_base(base: DataFrame) -> DataFrame:
+def segment_base(base: DataFrame, base_client: DataFrame | None = None) -> DataFrame:
     """Debt, distinct clients and distinct cases per segment.
 
     Two plain aggregates in two steps each (by segment and key, then by
-    segment), where two distinct counts in one would expand every row."""
-    clients = (base.groupBy(*SEGMENT, "skp_client").agg(F.sum("due_amount").alias("due_amount"))
-               .groupBy(*SEGMENT).agg(money(F.sum("due_amount")).alias("due_amount"), F.count("skp_client").alias("cnt_client")))
+    segment), where two distinct counts in one would expand every row.
+    ``base_client`` is the first step of the clients if it is stored already:
+    it has a row per segment and client."""
+    if base_client is None:
+        base_client = base.groupBy(*SEGMENT, "skp_client").agg(F.sum("due_amount").alias("due_amount"))
+    clients = (base_client.groupBy(*SEGMENT).agg(money(F.sum("due_amount")).alias("due_amount"), F.count("skp_client").alias("cnt_client")))
     cases = (base.select(*SEGMENT, "skp_credit_case").distinct()
              .groupBy(*SEGMENT).agg(F.count("skp_credit_case").alias("cnt_case")))
     return clients.join(cases, key_match(clients, cases, SEGMENT, null_safe=True)).select(
@@ -74,8 +77,8 @@ def segment_payments(payment: DataFrame) -> DataFrame:
             .agg(money(F.sum("amt_payment")).alias("amt_payment")))
 
 
-def daily_recovery(base: DataFrame, payment: DataFrame,
-                   cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:
+def daily_recovery(base: DataFrame, payment: DataFrame, cfg: C.MonitorConfig = C.DEFAULT,
+                   base_client: DataFrame | None = None) -> DataFrame:
     """Report 1: recovered amount per segment and day next to the segment's
     debt and client/case counts.
 
@@ -83,9 +86,10 @@ def daily_recovery(base: DataFrame, payment: DataFrame,
     finds no payments under plain ``=`` (``cfg.null_safe_segments`` lets
     NULLs meet).  The debt and counts stay on the first row of the segment
     (earliest day, NULL day last) and are 0 on the others, so a pivot sum
-    counts them once.
+    counts them once.  ``base_client`` is monitor_base_client if it is stored
+    already; clients are then not gathered from ``base`` again.
     """
-    b, p = segment_base(base), segment_payments(payment)
+    b, p = segment_base(base, base_client), segment_payments(payment)
     joined = (b.join(p, key_match(b, p, SEGMENT, cfg.null_safe_segments), "left")
               .select(*[b[c] for c in b.columns], p[DAY], p["amt_payment"]))
     out = mask_repeats(joined, SEGMENT, DAY, ["due_amount", "cnt_client", "cnt_case"])

@@ -5,10 +5,13 @@ import os
 
 import pytest
 from helpers import D, case_360_plus, letter_result, payment, tables
+from pyspark.sql import functions as F
 
 from lettermon.config import DEFAULT
 from lettermon.operators.materialize import Store
 from lettermon.operators.publish import Versions
+from lettermon.plans import monitor as M
+from lettermon.plans import reports as R
 from lettermon.plans.pipeline import SINKS, Monitor, run
 from lettermon.plans.refresh import DATED_SINKS, between, open_since, refresh
 from lettermon.sources.fixtures import fixture_tables
@@ -143,3 +146,17 @@ def test_report_files_carry_the_order(spark):
         return tuple((x == "\\N", int(x) if i == 7 and x != "\\N" else x) for i, x in enumerate(row.split(",")[:8]))
     assert [key(x) for x in lines] == sorted(map(key, lines))
     assert reports["repaid_clients"].count() == 980
+
+
+def test_report_1_takes_its_clients_from_the_stored_client_table(spark):
+    cases = [(10, 1, "Cham1"), (10, 2, "Cham1"), (11, 3, "Cham1"), (None, 4, "Cham1"), (None, 5, "Cham1"), (12, 6, None), (12, 6, None), (12, None, "Hold")]
+    base = spark.createDataFrame(
+        [("p", pilot, D(2019, 12, 1), client, case, f"{case or 7}.25", "r", "m", None, "a") for client, case, pilot in cases],
+        "property string, pilot string, extraction_date date, skp_client long, skp_credit_case long, due string, "
+        "text_delivery_result string, text_delivery_result_more string, cpd_ranges string, days_exa_assignment_group string")
+    base = base.select("*", F.col("due").cast("decimal(18,2)").alias("due_amount")).drop("due")
+    stored = M.monitor_base_client(base)
+    whole, short = R.segment_base(base), R.segment_base(base, stored)
+    assert whole.schema == short.schema and same(whole, short)
+    # the clients are read where they are stored
+    assert R.segment_base(base, stored.limit(0)).count() == 0
