@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ SAMPLE, LOWERED = 0.2, 0.5
 BITS_EACH, LEAST_BITS, MOST_BITS = 32, 16, 28
 #: Lowest bits of a hash that counts by hash leave out: what is left is enough to tell phrases apart and is less to move.
 SPARED = 16
+#: In so many parts, by hash, the full pass counts: of all phrases that one task meets it keeps only a part's at once.
+PARTS = 2
 #: Bytes of text that are counted at once: a task's memory, and how often a phrase is handed on.
 BYTES_AT_ONCE = 1 << 21
 UNKNOWN = "und"
@@ -180,14 +183,19 @@ class PhraseCounter:
 
     Every word is eligible, and a longer phrase if its two shorter ones are
     eligible and ``proposed``.  Eligible phrases are counted (``level``: only
-    those of so many words): by hash, or, those whose hash is in ``often``,
-    exactly.  With ``expansion`` those are counted that are not eligible,
+    those of so many words; ``part``, a number and of how many: only those
+    hashes): by hash, or, those whose hash is in ``often``, exactly.  With ``expansion`` those are counted that are not eligible,
     hold a failure and have frequent words only.
     """
 
     def __init__(self, proposed: Bitmap | None, max_words: int = MAX_WORDS, level: int | None = None,
-                 often: Bitmap | None = None, expansion: Expansion | None = None):
+                 often: Bitmap | None = None, expansion: Expansion | None = None, part: tuple[int, int] = (0, 1)):
         self.proposed, self.max_words, self.level, self.often, self.expansion = proposed, max_words, level, often, expansion
+        self.part = part
+
+    def _in_part(self, keys: np.ndarray) -> np.ndarray:
+        which, parts = self.part
+        return (keys >> _U(SPARED)) % _U(parts) == _U(which)
 
     def count(self, langs: pa.Array, words: Words) -> Iterator[pa.RecordBatch]:
         """Batches of ``key`` (without its ``SPARED`` lowest bits) and ``n`` or,
@@ -224,7 +232,11 @@ class PhraseCounter:
             elif self.often:
                 yield from self._counted(ids, wanted[self.often.has(keys)], k)
             elif len(wanted):
-                found, n = (word_keys, np.bincount(ids, minlength=len(texts))) if k == 1 else np.unique(keys, return_counts=True)
+                if k == 1:
+                    own = self._in_part(word_keys)
+                    found, n = word_keys[own], np.bincount(ids, minlength=len(texts))[own]
+                else:
+                    found, n = np.unique(keys[self._in_part(keys)], return_counts=True)
                 found = (found >> _U(SPARED)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], ["key", "n"])
             if k in (self.max_words, self.level):
@@ -292,11 +304,18 @@ def _blocks(counter: PhraseCounter):
     return count
 
 
-def often(rows: DataFrame, proposed: Bitmap | None, least: int, max_words: int = MAX_WORDS, level: int | None = None) -> DataFrame:
-    """Hashes (``key``) of eligible phrases that occur ``least`` times, all phrases of a hash together."""
-    found = rows.mapInArrow(_blocks(PhraseCounter(proposed, max_words, level)), "key long, n long")
-    return (found.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-            .select(F.shiftleft("key", SPARED).alias("key")))
+def often(rows: DataFrame, proposed: Bitmap | None, least: int, max_words: int = MAX_WORDS, level: int | None = None,
+          parts: int = 1) -> DataFrame:
+    """Hashes (``key``) of eligible phrases that occur ``least`` times, all phrases of a hash together.
+
+    With ``parts`` the texts are read so often, each time for the hashes of a
+    part: what a task has to add up before the shuffle gets shorter, and no
+    hash is in two parts."""
+    def of(which: int) -> DataFrame:
+        counter = PhraseCounter(proposed, max_words, level, part=(which, parts))
+        found = rows.mapInArrow(_blocks(counter), "key long, n long")
+        return found.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return reduce(DataFrame.unionByName, map(of, range(parts))).select(F.shiftleft("key", SPARED).alias("key"))
 
 
 def counted(rows: DataFrame, proposed: Bitmap | None, least: int, max_words: int = MAX_WORDS, among: Bitmap | None = None,
@@ -342,7 +361,7 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     """
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     proposed = bitmap_of(sampled(rows, least, max_words, sample) if proposals is None else proposals)
-    among = bitmap_of(materialise(often(rows, proposed, least, max_words), "often"))
+    among = bitmap_of(materialise(often(rows, proposed, least, max_words, parts=PARTS), "often"))
     found = materialise(counted(rows, proposed, least, max_words, among), "phrases")
     keyed = materialise(found.where(F.col("words").between(1, max_words - 1)).select(
         "words", phrase_key(F.col("lang"), F.col("phrase")).alias("key")), "phrase-keys")

@@ -112,6 +112,26 @@ def test_bitmap_has_what_was_put_in(spark):
     assert not P.bitmap_of(spark.createDataFrame([], "key long")).has(others).any()
 
 
+@pytest.mark.parametrize("parts", [2, 3])
+def test_parts_split_what_a_task_adds_up(spark, parts):
+    """Each part is a share of the hashes, and together they are all."""
+    import pyarrow as pa
+    rows = corpus(6)
+    words = P.words_of(pa.array([t for t, _ in rows], pa.string()).cast(pa.large_binary()), P.KINDS)
+    every = P.Bitmap(16)
+    every.packed[:] = 255
+
+    def met(part):
+        batches = P.PhraseCounter(every, part=part).count(pa.array([x for _, x in rows], pa.string()), words)
+        return Counter(x for b in batches for x in zip(*(c.to_pylist() for c in b.columns)))
+    whole, split = met((0, 1)), [met((k, parts)) for k in range(parts)]
+    assert sum(split, Counter()) == whole and len(whole) > 200
+    assert max(len({key for key, _ in x}) for x in split) < 1.5 * len({key for key, _ in whole}) / parts
+    df = frame(spark, rows)
+    whole, split = (sorted(r["key"] for r in P.often(df, every, 5, parts=k).collect()) for k in (1, parts))
+    assert split == whole and len(set(whole)) == len(whole) > 0
+
+
 def test_long_texts_in_parts_lose_nothing(spark, monkeypatch):
     rows = [("one two three four. " * 500 + "five six", "en"), ("no break at all " * 300, "en")]
     want = P.frequent(frame(spark, rows), least=2).collect()
