@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 from .batches import slices
 from .scratch import materialise
@@ -41,6 +42,8 @@ STEP = 2.0 ** -10
 MOST_STEPS = (1 << 15) - 1
 #: Characters of text that are taken up at once, and entries of a table of n-grams of theirs.
 BLOCK, DENSE = 1 << 20, 1 << 24
+#: Bits for each labelled id, and in all at least and at most (as powers of two), that tell which texts may have a label.
+MARK_BITS_EACH, LEAST_MARK_BITS, MOST_MARK_BITS = 16, 15, 27
 #: Ids whose rows the logistic function is fitted on at most: those with the smallest hashes.
 FIT_ROWS = 50_000
 #: The learnable rows whose crc32 modulo ``FOLDS`` is this are left out of the counts while it is fitted.
@@ -369,6 +372,28 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(fold(doc_id) == TEST_FOLD, F.lit(False))
 
 
+def maybe_marked(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``id`` is in ``marks``, and a few others:
+    what need not be moved to a join with them.
+
+    The ids of ``marks`` are bits of at most ``2 ** MOST_MARK_BITS`` by their
+    hash, in pieces that every task gets; a row whose bit is not set has no
+    mark.  Ids of types that are not equal exactly as their hashes are (or
+    differ between the tables) leave all rows."""
+    kind = docs.schema["id"].dataType
+    if kind != marks.schema["id"].dataType or not (isinstance(kind, IntegralType) or kind == StringType()):
+        return docs
+    bits = min(max((MARK_BITS_EACH * marks.count()).bit_length(), LEAST_MARK_BITS), MOST_MARK_BITS)
+    place = F.shiftrightunsigned(F.xxhash64("id"), 64 - bits) + 1  # buckets of 32,768 bits count places from 1
+    pieces = (marks.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("__bucket"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("__bits")))
+    at = F.bitmap_bit_position(F.col("__place"))
+    byte = F.conv(F.hex(F.substring("__bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    there = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
+    return (docs.withColumn("__place", place).withColumn("__bucket", F.bitmap_bucket_number("__place"))
+            .join(F.broadcast(pieces), "__bucket").where(there).select(*docs.columns))
+
+
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
           order: int = ORDER) -> ToxicityModel:
     """The model of all rows of ``docs`` with a label that may be learned from.
@@ -380,9 +405,10 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """
     marks = (labels.select(F.col("doc_id").alias("id"), F.col(label).alias("mark")).where("mark IS NOT NULL AND id IS NOT NULL")
              .groupBy("id").agg((F.max("mark") > 0).alias("toxic")))
-    rows = (docs.where(~held_out(doc_id)).select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"),
-                                                (fold(doc_id) == FIT_FOLD).alias("fit")).join(marks, "id"))
-    rows = materialise(rows, "labelled")
+    marks = materialise(marks, "marks")
+    rows = docs.where(~held_out(doc_id)).select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"),
+                                                (fold(doc_id) == FIT_FOLD).alias("fit"))
+    rows = materialise(maybe_marked(rows, marks).join(marks, "id"), "labelled")
     n, toxic, fit_n, fit_toxic = rows.agg(
         F.count(F.lit(1)), F.count(F.when(F.col("toxic"), 1)), F.count(F.when(F.col("fit"), 1)),
         F.count(F.when(F.col("fit") & F.col("toxic"), 1))).first()
@@ -403,7 +429,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     model, first = (ToxicityModel(by_gram.get(k, none), by_context.get(k, none), order) for k in (0, int(apart)))
     own = rows.where("fit") if apart else rows
     ids = own.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS)  # no text meets in one task
-    some = own.join(ids, "id", "left_semi")
+    some = own.join(F.broadcast(ids), "id", "left_semi")  # their number is bounded, the texts' size is not
     measured = some.select(_feature_columns(F.col("text"), first).alias("f"), "toxic").select("f.*", "toxic").toArrow()
     features = np.column_stack([measured["whole"].to_numpy(), measured["passage"].to_numpy()])
     model.fit = logistic(features, measured["toxic"].to_numpy(zero_copy_only=False).astype(float))

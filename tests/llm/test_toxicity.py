@@ -94,6 +94,19 @@ def test_long_texts_in_parts_have_the_same_features(spark, monkeypatch):
     assert (want[-5:-2] == 0).all()
 
 
+@pytest.mark.parametrize("kind", ["long", "int", "string"])
+def test_texts_without_a_label_are_not_moved(spark, kind):
+    docs = spark.range(20_000).selectExpr(f"CAST(IF(id = 7, NULL, id) AS {kind}) AS id", "'x' AS text").unionAll(
+        spark.range(3).selectExpr(f"CAST(id AS {kind})", "'again'"))
+    marks = spark.range(0, 30_000, 10).selectExpr(f"CAST(id AS {kind}) AS id", "id % 3 = 0 AS toxic")
+    left = X.maybe_marked(docs, marks)
+    assert left.columns == docs.columns and left.where("id IS NULL").isEmpty()
+    assert sorted(left.join(marks, "id").collect()) == sorted(docs.join(marks, "id").collect())
+    assert 2001 <= left.count() < 2001 + 2000
+    assert X.maybe_marked(docs, marks.limit(0)).isEmpty()
+    assert X.maybe_marked(docs, marks.select(marks["id"].cast("double").alias("id"), "toxic")).count() == 20_003
+
+
 def test_held_out_rows_are_told_apart(spark):
     data = rows()
     docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
