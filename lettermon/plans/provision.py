@@ -51,14 +51,17 @@ def product_groups(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
     existence of a campaign row matters for a DISTINCT result, so duplicate
     campaign rows never multiply the credit-case side.  ``keep_case`` keeps
     ``skp_credit_case`` in the result (for ``product_join="case"``).
+
+    The code lists (credit types, channels, goods types) are broadcast:
+    joined by a shuffle, all cases would meet in as many tasks as a list has codes.
     """
     cc = t.dc_credit_case.join(
         cl.select("skp_credit_case", "date_decision"), ["skp_credit_case", "date_decision"],
         "left_semi")
     joined = (cc.join(t.dc_product, "skp_product")
-              .join(t.cl_credit_type, "skp_credit_type")
-              .join(t.cl_credit_acquisition_chnl, "skp_credit_acquisition_chnl")
-              .join(t.dc_goods_type.withColumnRenamed("skp_goods_type", "skp_goods_type_exp"),
+              .join(F.broadcast(t.cl_credit_type), "skp_credit_type")
+              .join(F.broadcast(t.cl_credit_acquisition_chnl), "skp_credit_acquisition_chnl")
+              .join(F.broadcast(t.dc_goods_type.withColumnRenamed("skp_goods_type", "skp_goods_type_exp")),
                     "skp_goods_type_exp"))
     group = product_group("code_credit_acquisition_chnl", "code_credit_type",
                           "skp_product_channel", "date_decision", "code_product",
@@ -113,11 +116,12 @@ def _bucketed(cl: DataFrame, t: Tables) -> DataFrame:
     """Campaign cases with their contract's product and DPD sub-bucket."""
     dpd = t.dpd_snapshot.select("skp_credit_case", "extraction_date", "skp_dpd_tol_bucket")
     return (_contracts(cl, t).join(dpd, ["skp_credit_case", "extraction_date"])
-            .join(t.dc_dpd_tol_bucket, "skp_dpd_tol_bucket"))
+            .join(F.broadcast(t.dc_dpd_tol_bucket), "skp_dpd_tol_bucket"))
 
 
 def _rates(t: Tables) -> DataFrame:
-    return t.ft_coll_provision_rate.withColumnRenamed("flag_bucket", "code_dpd_tol_subbucket")
+    """Rates per product group and bucket: a short list, broadcast like the other code lists."""
+    return F.broadcast(t.ft_coll_provision_rate.withColumnRenamed("flag_bucket", "code_dpd_tol_subbucket"))
 
 
 def provision(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,

@@ -1,11 +1,14 @@
 """A product on a third of the contracts is spread over many tasks; results stay the same."""
 
 import datetime as dt
+import re
+from dataclasses import replace
 
 import pytest
 from helpers import D, DIMENSIONS, M, tables
 from pyspark.sql import functions as F
 
+from lettermon.config import DEFAULT
 from lettermon.operators.skew import SHARE, heavy_keys, spread_join
 from lettermon.plans import provision as P
 from lettermon.plans.pipeline import Monitor
@@ -89,3 +92,16 @@ def test_a_hot_product_in_q03(spark, shuffled):
 def test_a_hot_product_in_q04(spark):
     got = Monitor(_hot_tables(spark)).provision().collect()
     assert {(r.product_group, r.cnt_case, r.cnt_client) for r in got} == {("XCL_STD_NEW", 500, 500), ("WCL", 1000, 700)}
+
+
+@pytest.mark.parametrize("product_join", ["product", "case"])
+def test_no_case_is_dealt_out_by_the_codes_of_a_short_list(spark, shuffled, product_join):
+    """A shuffle by a code would put all cases into as many tasks as there are codes."""
+    cfg = replace(DEFAULT, product_join=product_join)
+    t = tables(spark)
+    cl = P.clients(t, cfg)
+    for df in (P.product_groups(cl, t, cfg, keep_case=product_join == "case"), P.provision_totals(cl, t, cfg), P.provision(cl, t, cfg)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        by = re.findall(r"hashpartitioning\((\w+)#", plan)
+        assert by and not {"skp_credit_type", "skp_credit_acquisition_chnl", "skp_goods_type_exp", "skp_dpd_tol_bucket",
+                           "product_group", "code_dpd_tol_subbucket"} & set(by)
