@@ -167,20 +167,21 @@ def provision_totals(cl: DataFrame, t: Tables, cfg: C.MonitorConfig = C.DEFAULT,
     of :func:`provision` over buckets, groups and rates.
 
     The debt is summed per (property, pilot, date, product key, bucket)
-    before it meets the product groups, and what a unit of debt provides is
-    summed per (product key, bucket), so no case is ever repeated.  Exact:
-    debts below 10^18, weighted rates below 10^9.
+    before it meets the product groups, so no case is repeated, only such a
+    sum for each group of its product.  Rates come last and are broadcast:
+    no table of all product keys and buckets is made, which with
+    ``product_join="case"`` has a row per case and bucket.  Exact: debts below
+    10^18, weighted rates below 10^9.
     """
     keys = list(PRODUCT_JOINS[cfg.product_join])
     if weights is None:
         weights = product_weights(cl, t, cfg)
     debts = (_bucketed(cl, t).groupBy("property", "pilot", "extraction_date", *keys, "code_dpd_tol_subbucket")
              .agg(F.sum("due_amount").cast("decimal(20,2)").alias("due")))
-    unit = (weights.join(_rates(t), "product_group").groupBy(*keys, "code_dpd_tol_subbucket")
-            .agg(F.sum(F.col("provision_rate") * F.col("weight")).cast("decimal(15,6)").alias("unit")))
-    return (debts.join(unit, [*keys, "code_dpd_tol_subbucket"])
+    unit = (F.col("provision_rate") * F.col("weight")).cast("decimal(15,6)")
+    return (debts.join(weights, keys).join(_rates(t), ["product_group", "code_dpd_tol_subbucket"])
             .groupBy("property", "extraction_date", "pilot")
-            .agg(F.sum(F.col("due") * F.col("unit")).cast("decimal(38,8)").alias("amt_provision_total")))
+            .agg(F.sum(F.col("due") * unit).cast("decimal(38,8)").alias("amt_provision_total")))
 
 
 def daily_provision_rate(totals: DataFrame, cfg: C.MonitorConfig = C.DEFAULT) -> DataFrame:

@@ -105,3 +105,11 @@ def test_no_case_is_dealt_out_by_the_codes_of_a_short_list(spark, shuffled, prod
         by = re.findall(r"hashpartitioning\((\w+)#", plan)
         assert by and not {"skp_credit_type", "skp_credit_acquisition_chnl", "skp_goods_type_exp", "skp_dpd_tol_bucket",
                            "product_group", "code_dpd_tol_subbucket"} & set(by)
+
+
+def test_totals_make_no_row_per_case_and_bucket(spark, shuffled):
+    cfg = replace(DEFAULT, product_join="case")
+    t = tables(spark)
+    plan = P.provision_totals(P.clients(t, cfg), t, cfg)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(skp_credit_case#" in plan
+    assert not re.search(r"hashpartitioning\(skp_credit_case#[^)]*code_dpd_tol_subbucket", plan)
