@@ -2,12 +2,16 @@
 
 ``COUNT(DISTINCT a), COUNT(DISTINCT b)`` makes Spark expand every row into
 one copy per count.  Here the keys get dense numbers first; a group's
-numbers are bits of bitmaps of 32,768 bits, built map-side, and a count is
-the number of set bits.  Bitmaps of several groups are merged by OR, so the
+numbers are bits of bitmaps of 64 bits (a long), built map-side, and a count
+is the number of set bits.  Bitmaps of several groups are merged by OR, so the
 same pieces give the counts of any coarser group without a second scan.
 
 Numbers follow the order in which the groups are formed (date first), so the
-keys of a group lie close together and share few bitmaps.
+keys of a group lie close together and share few bitmaps.  Keys that recur in
+many groups (clients on many dates) do not: there a row has a bitmap almost to
+itself.  So a bitmap is a long, which a hash aggregate keeps in place, and a
+piece is never larger than its row; the 4 KB of ``bitmap_construct_agg`` for
+each would be held and sorted whole.
 """
 
 from __future__ import annotations
@@ -22,6 +26,9 @@ from .ordering import numbered
 
 MEASURE, BUCKET, BITS = "__measure", "__bucket", "__bits"
 
+#: The bits of a number below this are its place in its bitmap, those above it the bitmap.
+_BUCKET_BITS = 6
+
 
 def dense_numbers(rows: DataFrame, key: str, order: Sequence[str], store: Store, name: str, out: str) -> DataFrame:
     """``key`` and its number ``out`` (from 1, gapless), a row per distinct
@@ -46,19 +53,19 @@ def bitmap_pieces(rows: DataFrame, group: Sequence[str], keys: Mapping[str, str]
     stacked = inputs.withColumn("__of", F.explode(F.array(*measures)))
     number = F.col("__of.n")
     amounts = [F.sum(F.when(F.col("__of.m") == first, F.col(f"__s_{k}"))).alias(k) for k in sums]
-    bits = F.bitmap_construct_agg(F.when(number.isNotNull(), F.bitmap_bit_position(number)))
-    return (stacked.groupBy(*group, F.col("__of.m").alias(MEASURE), F.bitmap_bucket_number(number).alias(BUCKET))
-            .agg(bits.alias(BITS), *amounts))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit((1 << _BUCKET_BITS) - 1)).cast("int"))
+    return (stacked.groupBy(*group, F.col("__of.m").alias(MEASURE), F.shiftright(number, _BUCKET_BITS).alias(BUCKET))
+            .agg(F.bit_or(bit).alias(BITS), *amounts))
 
 
 def rolled_up(pieces: DataFrame, group: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:
     """The pieces of a coarser ``group``: bitmaps merged, amounts summed."""
-    return pieces.groupBy(*group, MEASURE, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS), *(F.sum(s).alias(s) for s in sums))
+    return pieces.groupBy(*group, MEASURE, BUCKET).agg(F.bit_or(BITS).alias(BITS), *(F.sum(s).alias(s) for s in sums))
 
 
 def bitmap_counts(pieces: DataFrame, group: Sequence[str], counts: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:
     """A row per group with its distinct ``counts`` and ``sums``."""
-    here = F.when(F.col(BUCKET).isNotNull(), F.bitmap_count(BITS)).otherwise(0)
+    here = F.when(F.col(BUCKET).isNotNull(), F.bit_count(BITS)).otherwise(0)
     return pieces.groupBy(*group).agg(
         *(F.sum(s).alias(s) for s in sums),
         *(F.sum(F.when(F.col(MEASURE) == c, here).otherwise(0)).alias(c) for c in counts))
