@@ -33,11 +33,17 @@ def spread_join(big: DataFrame, small: DataFrame, keys: Sequence[str], heavy: Da
     rows of ``small`` with that key are repeated for every part.  All other
     rows have the one part 0.  ``heavy`` is that of :func:`heavy_keys`; its
     size is bounded, so it is broadcast.  If no key is heavy this is the
-    plain join.
+    plain join.  The repeated rows take their keys from the parts, so a
+    ``small`` that lies by its keys is dealt by key and part even in a session
+    in which some of the keys are enough
+    (``spark.sql.requireAllClusterKeysForCoPartition`` off, as tables in
+    buckets need it).
     """
     keys = list(keys)
     salted = big.join(F.broadcast(heavy), keys, "left").withColumn(
         "__salt", F.coalesce(F.pmod(F.xxhash64(*by), F.col("__salts").cast("long")).cast("int"), F.lit(0))).drop("__salts")
-    repeated = small.join(F.broadcast(heavy), keys, "left").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))).drop("__salts")
+    parts = F.transform(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1),
+                        lambda salt: F.struct(*(F.col(k).alias(k) for k in keys), salt.alias("__salt")))
+    repeated = (small.join(F.broadcast(heavy), keys, "left").withColumn("__of", F.explode(parts))
+                .select("__of.*", *(c for c in small.columns if c not in keys)))
     return salted.join(repeated, [*keys, "__salt"]).drop("__salt")

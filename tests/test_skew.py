@@ -89,6 +89,19 @@ def test_a_hot_product_in_q03(spark, shuffled):
     assert rows.exceptAll(plain).count() == 0 and plain.exceptAll(rows).count() == 0
 
 
+def test_a_hot_product_in_a_session_with_tables_in_buckets(spark, shuffled):
+    """A store in buckets lets a join be dealt by some of its keys; the parts of a heavy product stay apart."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        t = _hot_tables(spark)
+        rows = P.client_products(P.clients(t), t)
+        assert most_rows(rows) <= rows.count() / 8
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_a_hot_product_in_q04(spark):
     got = Monitor(_hot_tables(spark)).provision().collect()
     assert {(r.product_group, r.cnt_case, r.cnt_client) for r in got} == {("XCL_STD_NEW", 500, 500), ("WCL", 1000, 700)}
